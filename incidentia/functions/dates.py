@@ -40,3 +40,7 @@ def hour_from_text(text: Column) -> Column:
     )
     clock = F.try_element_at(halves, F.lit(2))
     return F.try_element_at(F.split(clock, ":"), F.lit(1)).try_cast("int")
+
+
+def iso_text(instant: Column) -> Column:
+    return F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")

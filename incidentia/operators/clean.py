@@ -42,8 +42,10 @@ def with_area(
     as ``code, name`` only if it is as short; use ``lookup`` for large ones.
     """
     areas = area_dimension(rows.sparkSession) if dimension is None else dimension
-    coded = rows.withColumn("codigo_comuna", to_code(F.col("codigo_comuna")))
-    named = coded.join(
+    code = F.col("codigo_comuna")
+    if dict(rows.dtypes)["codigo_comuna"] != "int":
+        rows = rows.withColumn("codigo_comuna", to_code(code))
+    named = rows.join(
         F.broadcast(areas), F.col("codigo_comuna") == F.col("code"), "left"
     ).withColumn("comuna", F.coalesce("name", F.lit(default)))
     return named.drop("code", "name")

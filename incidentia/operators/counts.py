@@ -74,35 +74,54 @@ def age_bands(rows: DataFrame, age: str = "edad") -> DataFrame:
     return by_count(complete, "total", "rango")
 
 
-def multi_dim_counts(rows: DataFrame, keys: list[str], *, with_all: bool = False) -> DataFrame:
+def multi_dim_counts(
+    rows: DataFrame,
+    keys: list[str],
+    *,
+    pairs: tuple[tuple[str, str], ...] = (),
+    with_all: bool = False,
+) -> DataFrame:
     """Counts per value of several columns in one scan: ``dimension, value, total``.
 
-    ``with_all`` adds the number of rows, with null dimension and value.
+    ``pairs`` adds counts per two columns, with the second value in ``other``
+    and the names joined by ``+`` as the dimension. ``with_all`` adds the
+    number of rows, with null dimension and value.
     """
-    sets = [[F.col(k)] for k in keys] + ([[]] if with_all else [])
-    dimension = F.lit(None).cast("string")
-    value = F.lit(None).cast("string")
-    for key in reversed(keys):
-        dimension = F.when(F.col(f"_not_{key}") == 0, key).otherwise(dimension)
-        value = F.when(F.col(f"_not_{key}") == 0, F.col(key).cast("string")).otherwise(value)
+    sets = [(k,) for k in keys] + list(pairs) + ([()] if with_all else [])
+    columns = list(dict.fromkeys(k for s in sets for k in s))
+
+    def mask(group: tuple[str, ...]) -> int:
+        return sum(1 << i for i, k in enumerate(reversed(columns)) if k not in group)
+
+    nothing = F.lit(None).cast("string")
+    dimension, value, other = nothing, nothing, nothing
+    wanted = F.lit(False)
+    for group in sets:
+        mine = F.col("_set") == mask(group)
+        present = mine
+        for k in group:
+            present = present & F.col(k).isNotNull()
+        wanted = wanted | present
+        if group:
+            dimension = F.when(mine, "+".join(group)).otherwise(dimension)
+            value = F.when(mine, F.col(group[0]).cast("string")).otherwise(value)
+        if len(group) == 2:
+            other = F.when(mine, F.col(group[1]).cast("string")).otherwise(other)
+
     counts = (
-        rows.select(*keys)
-        .groupingSets(sets, *keys)
-        .agg(F.count("*").alias("total"), *[F.grouping(k).alias(f"_not_{k}") for k in keys])
-        .select(dimension.alias("dimension"), value.alias("value"), "total")
+        rows.select(*columns)
+        .groupingSets([[F.col(k) for k in s] for s in sets], *columns)
+        .agg(F.count("*").alias("total"), F.grouping_id().alias("_set"))
+        .where(wanted)
     )
-    if with_all:
-        return counts.where(F.col("value").isNotNull() | F.col("dimension").isNull())
-    return counts.where(F.col("value").isNotNull())
-
+    named = [dimension.alias("dimension"), value.alias("value")]
+    if pairs:
+        named.append(other.alias("other"))
+    return counts.select(*named, "total")
 
-def modes(rows: DataFrame, keys: dict[str, str], *, total_as: str = "total") -> DataFrame:
-    """One row: number of rows and the most frequent value of each column.
 
-    ``keys`` maps a column to its output name. The winner is the least of
-    (-count, value), which combines per task; no list of values is gathered.
-    """
-    counts = multi_dim_counts(rows, list(keys), with_all=True)
+def modes_of(counts: DataFrame, keys: dict[str, str], *, total_as: str = "total") -> DataFrame:
+    """``modes`` from counts that ``multi_dim_counts`` made, with ``with_all``."""
     winners = [
         F.min(
             F.when(F.col("dimension") == key, F.struct((-F.col("total")).alias("n"), "value"))
@@ -113,14 +132,26 @@ def modes(rows: DataFrame, keys: dict[str, str], *, total_as: str = "total") ->
     return counts.agg(F.coalesce(everything, F.lit(0)).alias(total_as), *winners)
 
 
+def modes(rows: DataFrame, keys: dict[str, str], *, total_as: str = "total") -> DataFrame:
+    """One row: number of rows and the most frequent value of each column.
+
+    ``keys`` maps a column to its output name. The winner is the least of
+    (-count, value), which combines per task; no list of values is gathered.
+    """
+    return modes_of(multi_dim_counts(rows, list(keys), with_all=True), keys, total_as=total_as)
+
+
+KPI_NAMES = {
+    "comuna": "comuna_mas_afectada",
+    "turno_dia": "turno_mas_peligroso",
+    "bien_hurtado": "bien_mas_hurtado",
+}
+
+
 def kpis(rows: DataFrame) -> DataFrame:
     """Total, and the leading area, shift and stolen good."""
-    named = {
-        "comuna": "comuna_mas_afectada",
-        "turno_dia": "turno_mas_peligroso",
-        "bien_hurtado": "bien_mas_hurtado",
-    }
-    return modes(rows, {k: v for k, v in named.items() if k in rows.columns}, total_as="total_hurtos")
+    named = {k: v for k, v in KPI_NAMES.items() if k in rows.columns}
+    return modes(rows, named, total_as="total_hurtos")
 
 
 def summary(

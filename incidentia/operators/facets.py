@@ -11,9 +11,16 @@ from pyspark.sql import functions as F
 
 from incidentia.functions.geo import CITY_BOX, Box
 from incidentia.functions.values import to_number
-from incidentia.operators.counts import count_by, count_by_in_key_order, kpis, multi_dim_counts
+from incidentia.operators.counts import (
+    KPI_NAMES,
+    by_count,
+    count_by,
+    modes_of,
+    multi_dim_counts,
+)
 from incidentia.operators.joins import keep_selected
-from incidentia.operators.risk import risk_table
+from incidentia.operators.risk import captioned
+from incidentia.session import written
 
 
 @dataclass(frozen=True)
@@ -101,20 +108,40 @@ COUNT_VIEWS = {
 }
 
 
-def views(rows: DataFrame, spec: FilterSpec = FilterSpec(), box: Box = CITY_BOX) -> dict[str, DataFrame]:
+def views(
+    rows: DataFrame, spec: FilterSpec = FilterSpec(), box: Box = CITY_BOX
+) -> dict[str, DataFrame]:
     """Every served table, by name, for the filtered rows.
 
-    Views on columns that are not there are left out.
+    All counts come from one scan, written as one small table of which each
+    view is a part. Views on columns that are not there are left out.
     """
     kept = apply_filters(rows, spec)
-    served = {"kpis": kpis(kept)}
+    present = [column for column, _, _, _ in COUNT_VIEWS.values() if column in kept.columns]
+    present += ["hora"] if "hora" in kept.columns else []
+    zoned = ("comuna", "zona_riesgo")
+    pairs = (zoned,) if set(zoned) <= set(kept.columns) else ()
+    counts = written(multi_dim_counts(kept, present, pairs=pairs, with_all=True), "views")
+
+    def part(dimension: str) -> DataFrame:
+        return counts.where(F.col("dimension") == dimension)
+
+    named = {k: v for k, v in KPI_NAMES.items() if k in present}
+    served = {"kpis": modes_of(counts, named, total_as="total_hurtos")}
     for name, (column, key, total, top) in COUNT_VIEWS.items():
-        if column in kept.columns:
-            served[name] = count_by(kept, column, key_as=key, total_as=total, top=top)
-    if "hora" in kept.columns:
-        served["horas"] = count_by_in_key_order(kept, "hora").toDF("Hora", "Total")
-    if {"comuna", "zona_riesgo"} <= set(kept.columns):
-        served["riesgo"] = risk_table(kept)
+        if column in present:
+            listed = part(column).select(F.col("value").alias(key), F.col("total").alias(total))
+            served[name] = by_count(listed, total, key, top=top)
+    if "hora" in present:
+        hour = F.col("value").try_cast("double").try_cast("int")
+        served["horas"] = part("hora").select(
+            hour.alias("Hora"), F.col("total").alias("Total")
+        ).orderBy("Hora")
+    if pairs:
+        pair_counts = part("+".join(zoned)).select(
+            F.col("value").alias("comuna"), F.col("other").alias("zona_riesgo"), "total"
+        )
+        served["riesgo"] = captioned(pair_counts)
     if {"lat", "lon"} <= set(kept.columns):
         served["mapa"] = map_points(kept, box)
     return served

@@ -49,9 +49,8 @@ def lookup(
 
 def hot_keys(rows: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
     """Keys that hold at least ``share`` of the rows: at most ``1 / share`` of them."""
-    counts = (
-        rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
-    )
+    named = rows.where(F.col(key).isNotNull())
+    counts = written(named.groupBy(key).agg(F.count("*").alias("_rows")), "key-counts")
     least = counts.agg(F.sum("_rows") * F.lit(share)).scalar()
     return counts.where(F.col("_rows") >= least).select(key)
 
@@ -70,7 +69,7 @@ def spread_join(
     run again sends each row to the same place as before.
     """
     columns = rows.columns + [c for c in dimension.columns if c != key]
-    hot = F.broadcast(written(hot_keys(rows, key, share), "hot").withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(hot_keys(rows, key, share).withColumn("_hot", F.lit(True)))
     spreads = F.col("_hot").isNotNull()
 
     sliced = rows.join(hot, key, "left").withColumn(

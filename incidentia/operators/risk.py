@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from incidentia.functions.values import risk_caption, risk_label
@@ -15,24 +15,27 @@ from incidentia.session import written
 def risk_zones(counts: DataFrame, key: str, total: str = "total") -> DataFrame:
     """Add ``p75``, ``p50`` and ``zona_riesgo`` to one-row-per-group counts.
 
+    The counts are written first, because the quantiles and the labels both
+    read them and the rows behind them should be read once.
+
     Both quantiles interpolate linearly and are exact. Their state holds each
     distinct count once, and N rows have fewer than sqrt(2 N) distinct group
     sizes, so it stays small however many groups there are.
     """
+    stored = written(counts.select(key, total), "group-counts")
 
-    def cut(quantile: float):
-        return counts.agg(F.percentile(total, quantile)).scalar()
+    def cut(quantile: float) -> Column:
+        return stored.agg(F.percentile(total, quantile)).scalar()
 
-    cuts = counts.withColumns({"p75": cut(HIGH_QUANTILE), "p50": cut(MEDIUM_QUANTILE)})
-    zone = risk_label(F.col(total), F.col("p75"), F.col("p50"))
-    return cuts.select(key, total, "p75", "p50", zone.alias("zona_riesgo"))
+    cuts = stored.withColumns({"p75": cut(HIGH_QUANTILE), "p50": cut(MEDIUM_QUANTILE)})
+    return cuts.withColumn("zona_riesgo", risk_label(F.col(total), F.col("p75"), F.col("p50")))
 
 
 def zones_of(rows: DataFrame, key: str) -> DataFrame:
-    """``key, zona_riesgo`` for every group of ``rows``, written to disk."""
+    """``key, zona_riesgo`` for every group of ``rows``."""
     named = rows.where(F.col(key).isNotNull())
     counts = named.groupBy(key).agg(F.count("*").alias("total"))
-    return written(risk_zones(counts, key).select(key, "zona_riesgo"), "zones")
+    return risk_zones(counts, key).select(key, "zona_riesgo")
 
 
 def risk_rows(rows: DataFrame, key: str, zones: DataFrame | None = None) -> DataFrame:
@@ -40,12 +43,15 @@ def risk_rows(rows: DataFrame, key: str, zones: DataFrame | None = None) -> Data
     return lookup(rows, zones_of(rows, key) if zones is None else zones, key)
 
 
-def risk_table(rows: DataFrame) -> DataFrame:
-    """Served table: area, zone caption, incidents."""
-    pairs = count_by_pair(rows, "comuna", "zona_riesgo")
-    served = pairs.select(
+def captioned(pair_counts: DataFrame) -> DataFrame:
+    """``comuna, zona_riesgo, total`` as served: area, zone caption, incidents."""
+    served = pair_counts.select(
         F.col("comuna").alias("Comuna"),
         risk_caption(F.col("zona_riesgo")).alias("Zona"),
         F.col("total").alias("Hurtos"),
     )
     return by_count(served, "Hurtos", "Comuna", "Zona")
+
+
+def risk_table(rows: DataFrame) -> DataFrame:
+    return captioned(count_by_pair(rows, "comuna", "zona_riesgo"))

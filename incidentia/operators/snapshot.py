@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from incidentia.functions.dates import iso_text
 from incidentia.functions.values import age_band
-from incidentia.operators.counts import complete_domain, count_by_pair, multi_dim_counts
+from incidentia.operators.counts import complete_domain, multi_dim_counts
 from incidentia.schemas import AGE_BANDS, RUN_LOG, SNAPSHOT
 from incidentia.session import written
 
@@ -46,23 +47,27 @@ def sections(rows: DataFrame) -> DataFrame:
     """All lists of the snapshot as ``lista, clave, zona, total``, from one scan.
 
     Top-k lists are cut here: the row-number filter with a constant limit
-    keeps at most that many rows per task before its shuffle. ``rows`` has
-    ``comuna`` and ``zona_riesgo`` in step, so areas come with their zone.
+    keeps at most that many rows per task before its shuffle.
     """
     columns = [column for column, _, _, _ in LISTS.values()]
-    counts = written(multi_dim_counts(with_age_band(rows), columns, with_all=True), "counts")
-    list_of = {column: name for name, (column, _, _, _) in LISTS.items()}
-    lista = F.lit(None).cast("string")
-    for column, name in list_of.items():
-        lista = F.when(F.col("dimension") == column, name).otherwise(lista)
+    pair = ("comuna", "zona_riesgo")
+    counts = written(
+        multi_dim_counts(with_age_band(rows), columns, pairs=(pair,), with_all=True), "counts"
+    )
+    lista = F.when(F.col("dimension").isNull(), "total").when(
+        F.col("dimension") == "+".join(pair), "zona_riesgo"
+    )
+    for name, (column, _, _, _) in LISTS.items():
+        lista = lista.when(F.col("dimension") == column, name)
     named = counts.select(
-        F.coalesce(lista, F.lit("total")).alias("lista"), F.col("value").alias("clave"), "total"
+        lista.alias("lista"),
+        F.col("value").alias("clave"),
+        F.col("other").alias("zona"),
+        "total",
     )
 
     tops = {name: top for name, (_, _, _, top) in LISTS.items() if top}
-    place = F.row_number().over(
-        Window.partitionBy("lista").orderBy(F.desc("total"), "clave")
-    )
+    place = F.row_number().over(Window.partitionBy("lista").orderBy(F.desc("total"), "clave"))
     kept = F.lit(LONGEST_TOP)
     for name, top in tops.items():
         kept = F.when(F.col("lista") == name, top).otherwise(kept)
@@ -77,16 +82,9 @@ def sections(rows: DataFrame) -> DataFrame:
         named.where(F.col("lista") == "por_edad").select("clave", "total"),
         "clave",
         [label for label, _, _ in AGE_BANDS],
-    ).select(F.lit("por_edad").alias("lista"), "clave", "total")
+    ).select(F.lit("por_edad").alias("lista"), "clave", F.lit(None).alias("zona"), "total")
     whole = named.where(~F.col("lista").isin(list(tops) + ["por_edad"]))
-    zones = count_by_pair(rows, "comuna", "zona_riesgo").select(
-        F.lit("zona_riesgo").alias("lista"),
-        F.col("comuna").alias("clave"),
-        F.col("zona_riesgo").alias("zona"),
-        "total",
-    )
-    lists = whole.unionByName(cut).unionByName(bands)
-    return lists.withColumn("zona", F.lit(None).cast("string")).unionByName(zones)
+    return whole.unionByName(cut).unionByName(bands)
 
 
 def _require_short(entries: DataFrame) -> None:
@@ -127,7 +125,7 @@ def snapshot_doc(rows: DataFrame, source: str, processed_at: Column | None = Non
         _list("zona_riesgo", "comuna", "total"),
     )
     return document.withColumns(
-        {"procesado_en": stamp.cast("string"), "fuente": F.lit(source)}
+        {"procesado_en": iso_text(stamp), "fuente": F.lit(source)}
     ).select(SNAPSHOT.fieldNames())
 
 
@@ -151,7 +149,7 @@ def run_log(
     )
     return log.withColumns(
         {
-            "timestamp": stamp.cast("string"),
+            "timestamp": iso_text(stamp),
             "fuente": F.lit(source),
             "columnas": F.array(*[F.lit(c) for c in rows.columns]),
             "archivo_salida": F.lit(output),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from incidentia.functions.geo import grid_cell
+from incidentia.session import written
 
 
 def annual_trend(rows: DataFrame, time: str = "fecha_dt") -> DataFrame:
@@ -31,11 +32,13 @@ def concentration_cube(counts: DataFrame, keys: list[str], total: str = "total")
     """Counts and shares of every combination of ``keys``, subtotals included.
 
     Takes counts per combination: the cube then multiplies groups, not rows.
-    A subtotal has null keys and a level above 0.
+    They are written first, as the shares need their sum too. A subtotal has
+    null keys and a level above 0.
     """
-    everything = counts.agg(F.sum(total)).scalar()
+    cells = written(counts.select(*keys, total), "cells")
+    everything = cells.agg(F.sum(total)).scalar()
     return (
-        counts.cube(*keys)
+        cells.cube(*keys)
         .agg(
             F.sum(total).alias("total"),
             F.grouping_id().cast("int").alias("nivel"),

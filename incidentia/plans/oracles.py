@@ -424,6 +424,23 @@ ORACLES = {
         f"""SELECT DISTINCT 'comuna' AS facet, comuna AS valor FROM located
             UNION ALL SELECT DISTINCT 'modalidad', modalidad FROM located WHERE {_BEFORE_MODALITY}""",
     ),
+    "served_views": _sql(
+        "located",
+        f"SELECT * FROM (WITH f AS (SELECT * FROM located WHERE {_BEFORE_MODALITY} "
+        f"AND {_in('modalidad', SPEC.modalidad)} AND hora BETWEEN {SPEC.hora[0]} AND {SPEC.hora[1]}) "
+        + " UNION ALL ".join(
+            f"SELECT '{view}' AS vista, clave, total FROM (SELECT CAST({column} AS VARCHAR) AS clave, "
+            f"count(*) AS total FROM f GROUP BY 1 ORDER BY total DESC, clave{limit})"
+            for view, column, limit in (
+                ("comunas", "comuna", " LIMIT 12"),
+                ("modalidades", "modalidad", ""),
+                ("turnos", "turno_dia", ""),
+                ("bienes", "bien_hurtado", " LIMIT 10"),
+                ("horas", "hora", ""),
+            )
+        )
+        + ")",
+    ),
     "map_points": _sql("inc", f"SELECT lat, lon FROM inc WHERE {_inside('lat', 'lon')}"),
     "scan_clean": _sql(
         "clean",

@@ -103,7 +103,7 @@ def by_sex(spark, sf_dir):
 
 @query
 def age_bands(spark, sf_dir):
-    return counts.age_bands(standins.incidents(spark, sf_dir))
+    return counts.age_bands(standins.detailed_incidents(spark, sf_dir))
 
 
 @query
@@ -138,7 +138,7 @@ def top_transport(spark, sf_dir):
 @query
 def multi_dim_counts(spark, sf_dir):
     keys = ["turno_dia", "modalidad", "hora", "bien_hurtado", "lugar"]
-    return counts.multi_dim_counts(standins.incidents(spark, sf_dir), keys, with_all=True)
+    return counts.multi_dim_counts(standins.detailed_incidents(spark, sf_dir), keys, with_all=True)
 
 
 @query
@@ -189,7 +189,7 @@ def concentration_cube(spark, sf_dir):
 
 @query
 def geo_grid(spark, sf_dir):
-    return trend.geo_grid(standins.incidents(spark, sf_dir), 5.0)
+    return trend.geo_grid(standins.detailed_incidents(spark, sf_dir), 5.0)
 
 
 # ---- Cleaning and quality ------------------------------------------------------
@@ -202,8 +202,8 @@ def clean_incidents(spark, sf_dir):
 
 @query
 def date_parts(spark, sf_dir):
-    texts = table(spark, sf_dir, "events").select(
-        standins.time_text(standins.property_k()).alias("fecha_hecho")
+    texts = standins.with_k(table(spark, sf_dir, "events")).select(
+        standins.time_text(F.col("k")).alias("fecha_hecho")
     )
     rows = cleaning.with_event_time(texts).where(F.col("fecha_dt").isNotNull())
     parts = rows.withColumns(dates.time_parts(F.col("fecha_dt"))).withColumn(
@@ -216,8 +216,8 @@ def date_parts(spark, sf_dir):
 @query
 def scalar_suite(spark, sf_dir):
     k = F.col("k")
-    rows = table(spark, sf_dir, "events").select(
-        "event_id", "ts", "event_type", "value", standins.property_k().alias("k")
+    rows = standins.with_k(table(spark, sf_dir, "events")).select(
+        "event_id", "ts", "event_type", "value", "k"
     )
     rows = rows.withColumn("texto", standins.time_text(k))
     hour = F.hour("ts")
@@ -310,9 +310,23 @@ def facet_values(spark, sf_dir):
     return facets.facet_values(standins.incidents_in_areas(spark, sf_dir), SPEC)
 
 
+@query
+def served_views(spark, sf_dir):
+    """All counting views of the filtered rows, one below the other."""
+    served = facets.views(standins.incidents_in_areas(spark, sf_dir), SPEC)
+    out = None
+    for name, view in served.items():
+        if len(view.columns) == 2:
+            listed = view.toDF("clave", "total").select(
+                F.lit(name).alias("vista"), F.col("clave").cast("string"), "total"
+            )
+            out = listed if out is None else out.unionByName(listed)
+    return out
+
+
 @query
 def map_points(spark, sf_dir):
-    return facets.map_points(standins.incidents(spark, sf_dir), STANDIN_BOX)
+    return facets.map_points(standins.detailed_incidents(spark, sf_dir), STANDIN_BOX)
 
 
 # ---- Sources and sinks ----------------------------------------------------------

@@ -37,8 +37,10 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return file_stream(spark, f"{sf_dir}/{{events}}.parquet", schema)
 
 
-def property_k() -> Column:
-    return F.get_json_object("props", "$.k").try_cast("int")
+def with_k(events: DataFrame) -> DataFrame:
+    """Add ``k``. It comes out of a generator, so the JSON is read once per
+    row: filters on ``k`` are not pushed below it."""
+    return events.select("*", F.inline(F.array(F.from_json("props", "k int"))))
 
 
 def time_text(k: Column) -> Column:
@@ -60,7 +62,7 @@ def raw_incidents(spark: SparkSession, sf_dir: str, events: DataFrame | None = N
         F.col("c_custkey").alias("user_id"), "c_nationkey", "c_name", "c_mktsegment", "c_acctbal"
     )
     source = table(spark, sf_dir, "events") if events is None else events
-    known = source.select("ts", "user_id", "event_type", "value", property_k().alias("k"))
+    known = with_k(source).select("ts", "user_id", "event_type", "value", "k")
     k, value = F.col("k"), F.col("value")
     balance, segment = F.col("c_acctbal"), F.col("c_mktsegment")
     raw = lookup(known, customers, "user_id").select(
@@ -105,29 +107,44 @@ def user_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_area(coded).select("user_id", "comuna")
 
 
-def typed_events(events: DataFrame) -> DataFrame:
-    """Incident columns that follow from the event alone."""
-    k = property_k()
+def _plain_columns() -> dict[str, Column]:
     hour = F.hour("ts")
-    return events.select(
-        "event_id",
-        "user_id",
-        F.col("ts").alias("fecha_dt"),
-        hour.alias("hora"),
-        shift_of(hour).alias("turno_dia"),
-        F.col("event_type").alias("modalidad"),
-        _numbered("Objeto ", F.col("value") / 20).alias("bien_hurtado"),
-        _numbered("Lugar ", k / 5).alias("lugar"),
-        k.cast("double").alias("edad"),
-        F.col("value").alias("lat"),
-        k.cast("double").alias("lon"),
-    )
+    return {
+        "event_id": F.col("event_id"),
+        "user_id": F.col("user_id"),
+        "fecha_dt": F.col("ts"),
+        "hora": hour,
+        "turno_dia": shift_of(hour),
+        "modalidad": F.col("event_type"),
+        "bien_hurtado": _numbered("Objeto ", F.col("value") / 20),
+        "lat": F.col("value"),
+    }
+
+
+def _select(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    return rows.select(*[column.alias(name) for name, column in columns.items()])
+
+
+def typed_events(events: DataFrame) -> DataFrame:
+    """Incident columns that follow from the plain columns of an event."""
+    return _select(events, _plain_columns())
 
 
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed_events(table(spark, sf_dir, "events"))
 
 
+def detailed_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the columns taken from the JSON property as well: place, age, longitude."""
+    k = F.col("k")
+    details = {
+        "lugar": _numbered("Lugar ", k / 5),
+        "edad": k.cast("double"),
+        "lon": k.cast("double"),
+    }
+    return _select(with_k(table(spark, sf_dir, "events")), _plain_columns() | details)
+
+
 def incidents_in_areas(
     spark: SparkSession, sf_dir: str, events: DataFrame | None = None
 ) -> DataFrame:
@@ -138,7 +155,7 @@ def incidents_in_areas(
 
 def event_messages(events: DataFrame) -> DataFrame:
     """JSON messages as a producer sends them: all text, some of it broken."""
-    k = property_k()
+    k = F.col("k")
     payload = F.to_json(
         F.struct(
             F.when(k == 6, "").otherwise(time_text(k)).alias("fecha_hecho"),
@@ -156,7 +173,7 @@ def event_messages(events: DataFrame) -> DataFrame:
         )
     )
     broken = F.concat(F.lit("{broken "), F.col("event_id").cast("string"))
-    return events.select(
+    return with_k(events).select(
         F.when(k == 5, broken).otherwise(payload).cast("binary").alias("value"),
         F.col("ts").cast("timestamp").alias("timestamp"),
     )

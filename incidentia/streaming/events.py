@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from incidentia.functions.dates import hour_from_text, parse_event_time, shift_of
+from incidentia.functions.dates import hour_from_text, iso_text, parse_event_time, shift_of
 from incidentia.functions.values import blank_to_null, to_number
 from incidentia.schemas import EVENT
 
@@ -29,10 +29,9 @@ def event_envelope(rows: DataFrame, source: str, ingested_at: Column | None = No
     """
     stamp = F.current_timestamp() if ingested_at is None else ingested_at
     hour = hour_from_text(F.col("fecha_hecho"))
-    iso = F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     return rows.withColumns(
         {
-            "timestamp_ingesta": iso,
+            "timestamp_ingesta": iso_text(stamp),
             "turno_dia": shift_of(hour),
             "hora_hecho": hour,
             "event_id": event_id(rows.columns),
@@ -48,16 +47,16 @@ def to_messages(events: DataFrame) -> DataFrame:
 
 
 def parse_events(messages: DataFrame) -> DataFrame:
-    """Event fields, ``kafka_ts``, and ``_corrupt``: the text that was no JSON."""
+    """Event fields, ``kafka_ts``, and ``_corrupt``: the text that was no JSON.
+
+    The parsed struct goes through a generator so that later filters on its
+    fields do not parse the text again.
+    """
     shape = StructType(list(EVENT.fields)).add("_corrupt", StringType())
-    parsed = (
-        messages.selectExpr("CAST(value AS STRING) AS json_str", "timestamp AS kafka_ts")
-        .select(
-            F.from_json("json_str", shape, {"columnNameOfCorruptRecord": "_corrupt"}).alias("d"),
-            "kafka_ts",
-        )
-        .select("d.*", "kafka_ts")
-    )
+    read = F.from_json("json_str", shape, {"columnNameOfCorruptRecord": "_corrupt"})
+    parsed = messages.selectExpr(
+        "CAST(value AS STRING) AS json_str", "timestamp AS kafka_ts"
+    ).select(F.inline(F.array(read)), "kafka_ts")
     filled = {c: blank_to_null(F.col(c)) for c in EVENT.fieldNames() if c not in ("lat", "lon")}
     numbers = {c: to_number(F.col(c)) for c in ("lat", "lon")}
     return parsed.withColumns({**filled, **numbers})

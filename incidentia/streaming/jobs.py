@@ -10,7 +10,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from incidentia.operators.quality import accepted
 from incidentia.operators.risk import risk_zones
-from incidentia.session import written
 from incidentia.streaming.events import parse_events, with_stream_parts
 
 TRIGGER = "10 seconds"
@@ -114,10 +113,7 @@ def stream_risk(
     """
 
     def classify(batch: DataFrame, batch_id: int) -> None:
-        # Written first: the counts are read twice, the state only once.
-        counts = written(batch, "running-counts")
-        if not counts.isEmpty():
-            risk_zones(counts, key).write.mode("overwrite").parquet(path)
+        risk_zones(batch, key).write.mode("overwrite").parquet(path)
 
     counts = events.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("total"))
     writer = counts.writeStream.outputMode("complete").foreachBatch(classify)
