@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from incidentia.functions.dates import parse_event_time, shift_of, time_parts
 from incidentia.functions.geo import CITY_BOX, Box, repaired_pair, scaled
 from incidentia.functions.values import missing_to_null, to_code, to_number, without_sentinel
+from incidentia.operators.joins import lookup
 from incidentia.operators.risk import risk_rows, zones_of
 from incidentia.schemas import CLEAN, RENAMES, SENTINEL_COLUMNS, UNKNOWN_AREA
 from incidentia.sources.dimension import area_dimension
@@ -38,17 +39,17 @@ def with_area(
 ) -> DataFrame:
     """Add ``comuna``: the name of ``codigo_comuna``, or ``default``.
 
-    The built-in dimension has 21 rows and is always broadcast. Pass another
-    as ``code, name`` only if it is as short; use ``lookup`` for large ones.
+    The built-in areas are 21 rows and broadcast; another ``code, name``
+    table is broadcast only if it proves small.
     """
-    areas = area_dimension(rows.sparkSession) if dimension is None else dimension
-    code = F.col("codigo_comuna")
     if dict(rows.dtypes)["codigo_comuna"] != "int":
-        rows = rows.withColumn("codigo_comuna", to_code(code))
-    named = rows.join(
-        F.broadcast(areas), F.col("codigo_comuna") == F.col("code"), "left"
-    ).withColumn("comuna", F.coalesce("name", F.lit(default)))
-    return named.drop("code", "name")
+        rows = rows.withColumn("codigo_comuna", to_code(F.col("codigo_comuna")))
+    if dimension is None:
+        areas = area_dimension(rows.sparkSession).toDF("codigo_comuna", "comuna")
+        named = rows.join(F.broadcast(areas), "codigo_comuna", "left")
+    else:
+        named = lookup(rows, dimension.toDF("codigo_comuna", "comuna"), "codigo_comuna")
+    return named.select(*rows.columns, F.coalesce("comuna", F.lit(default)).alias("comuna"))
 
 
 def with_coordinates(rows: DataFrame, box: Box = CITY_BOX) -> DataFrame:

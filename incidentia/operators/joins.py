@@ -20,6 +20,7 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 0.001
 # Tasks over which the rows of one hot key are spread.
 SPREAD = 256
+STREAM_SPREAD = 16
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -41,9 +42,7 @@ def lookup(
     if measured_bytes(dimension) <= limit_bytes:
         return rows.join(F.broadcast(dimension), key, "left")
     if rows.isStreaming:
-        # No pass over the stream is possible beforehand; adaptive skew
-        # handling splits an uneven batch.
-        return rows.join(dimension, key, "left")
+        return spread_stream_join(rows, dimension, key)
     return spread_join(rows, dimension, key)
 
 
@@ -55,6 +54,22 @@ def hot_keys(rows: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
     return counts.where(F.col("_rows") >= least).select(key)
 
 
+def _own_slice(spread: int) -> Column:
+    """Slice of a row, from its input partition: a task that is run again
+    sends each row to the same place as before."""
+    return F.pmod(F.spark_partition_id(), F.lit(spread))
+
+
+def _every_slice(spread: int) -> Column:
+    return F.sequence(F.lit(0), F.lit(spread - 1))
+
+
+def _join_slices(sliced: DataFrame, copied: DataFrame, key: str) -> DataFrame:
+    columns = sliced.columns + [c for c in copied.columns if c not in sliced.columns]
+    joined = sliced.join(copied, [key, "_slice"], "left")
+    return joined.select([c for c in columns if c != "_slice"])
+
+
 def spread_join(
     rows: DataFrame,
     dimension: DataFrame,
@@ -65,26 +80,26 @@ def spread_join(
 ) -> DataFrame:
     """Left shuffle join in which hot and null keys go to ``spread`` tasks each.
 
-    The slice of a row is taken from its input partition, so a task that is
-    run again sends each row to the same place as before.
+    Only the dimension rows of hot keys are copied, at most ``spread / share``.
     """
-    columns = rows.columns + [c for c in dimension.columns if c != key]
     hot = F.broadcast(hot_keys(rows, key, share).withColumn("_hot", F.lit(True)))
-    spreads = F.col("_hot").isNotNull()
-
+    is_hot = F.col("_hot").isNotNull()
     sliced = rows.join(hot, key, "left").withColumn(
-        "_slice",
-        F.when(
-            spreads | F.col(key).isNull(), F.pmod(F.spark_partition_id(), F.lit(spread))
-        ).otherwise(0),
-    )
-    every_slice = F.sequence(F.lit(0), F.lit(spread - 1))
-    copied = (
-        dimension.join(hot, key, "left")
-        .withColumn("_slice", F.explode(F.when(spreads, every_slice).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
+        "_slice", F.when(is_hot | F.col(key).isNull(), _own_slice(spread)).otherwise(0)
     )
-    return sliced.drop("_hot").join(copied, [key, "_slice"], "left").select(columns)
+    slices = F.when(is_hot, _every_slice(spread)).otherwise(F.array(F.lit(0)))
+    copied = dimension.join(hot, key, "left").withColumn("_slice", F.explode(slices))
+    return _join_slices(sliced.drop("_hot"), copied.drop("_hot"), key)
+
+
+def spread_stream_join(
+    rows: DataFrame, dimension: DataFrame, key: str, *, spread: int = STREAM_SPREAD
+) -> DataFrame:
+    """The same for a stream, whose hot keys cannot be counted beforehand:
+    every key is spread, over fewer tasks."""
+    sliced = rows.withColumn("_slice", _own_slice(spread))
+    copied = dimension.withColumn("_slice", F.explode(_every_slice(spread)))
+    return _join_slices(sliced, copied, key)
 
 
 def keep_selected(rows: DataFrame, chosen: DataFrame, key: str, **limits: int) -> DataFrame:

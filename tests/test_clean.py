@@ -57,6 +57,13 @@ def test_area_codes(raw):
     )
 
 
+def test_own_area_table(raw, table):
+    areas = table([(1, "Norte")], "code int, name string")
+    rows = raw({"codigo_comuna": "1"}, {"codigo_comuna": "10"})
+    found = cleaning.with_area(rows, areas, "Otra").select("comuna")
+    assert sorted(tuples(found)) == [("Norte",), ("Otra",)]
+
+
 def test_duplicates_with_and_without_nulls(raw):
     rows = raw({}, {}, {"sexo": None}, {"sexo": None}, {"sexo": "Hombre"})
     assert cleaning.clean(rows).count() == 3

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from incidentia.operators import joins
 from incidentia.operators.facets import apply_selections
+from incidentia.session import scratch_path
+from incidentia.sources.stream import file_stream
+from incidentia.streaming.jobs import append_stream, finish
 
 
 @pytest.fixture
@@ -90,3 +93,12 @@ def test_selection_equals_semi_join(skewed, dimension):
 def test_selection_with_repeats_and_nulls_adds_no_rows(skewed, table):
     chosen = table([(7,), (7,), (None,)], "k long")
     assert joins.keep_selected(skewed, chosen, "k").count() == 10_000
+
+
+def test_stream_lookup_beyond_the_bound(spark, skewed, dimension):
+    source, out = scratch_path(spark, "in"), scratch_path(spark, "out")
+    skewed.write.parquet(source)
+    stream = file_stream(spark, source, skewed.schema, files_per_trigger=4)
+    joined = joins.lookup(stream, dimension, "k", limit_bytes=0)
+    finish(append_stream(joined, out, scratch_path(spark, "cp"), replay=True), 300)
+    same(spark.read.parquet(out), skewed.join(dimension, "k", "left").select("k", "v", "name"))
