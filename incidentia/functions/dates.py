@@ -10,6 +10,9 @@ from incidentia.schemas import OTHER_SHIFT, SHIFTS
 # One- and two-digit day, month, hour and minute.
 TIME_PATTERN = "d/M/yyyy H:m"
 
+# Day names, in the order of Spark's day numbers.
+DAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
+
 
 def parse_event_time(text: Column) -> Column:
     """Wall-clock time of the incident, null where the text does not parse."""
@@ -21,7 +24,7 @@ def time_parts(time: Column) -> dict[str, Column]:
         "anio": F.year(time),
         "mes": F.month(time),
         "hora": F.hour(time),
-        "dia_semana": F.date_format(time, "EEEE"),
+        "dia_semana": F.element_at(F.array(*map(F.lit, DAY_NAMES)), F.dayofweek(time)),
     }
 
 

@@ -39,7 +39,8 @@ def to_number(text: Column) -> Column:
 def to_code(text: Column) -> Column:
     """Integer code from ``10``, ``10.0`` or a numeric column; else null."""
     number = to_number(text)
-    return F.when(number == F.floor(number), number).try_cast("int")
+    whole = F.when(number == F.floor(number), number).try_cast("int")
+    return F.coalesce(text.try_cast("int"), whole)
 
 
 def age_band(age: Column) -> Column:

@@ -26,7 +26,10 @@ def normalise_sentinels(raw: DataFrame, columns: list[str] = SENTINEL_COLUMNS) -
 
 
 def with_event_time(raw: DataFrame) -> DataFrame:
-    return raw.withColumn("fecha_dt", parse_event_time(F.col("fecha_hecho")))
+    """Add ``fecha_dt``. It comes out of a generator, so a filter on it does
+    not parse the text a second time."""
+    time = F.explode(F.array(parse_event_time(F.col("fecha_hecho"))))
+    return raw.select("*", time.alias("fecha_dt"))
 
 
 def with_time_parts(rows: DataFrame) -> DataFrame:

@@ -265,3 +265,8 @@ def test_every_raw_column_is_text():
 
 def test_non_ascii_text_survives(spark, rows):
     assert rows.where(F.col("bien_hurtado") == "Sin dato mercancías").count() > 0
+
+
+def test_top_lists_are_cut_before_their_shuffle(spark, rows):
+    plan = snapshot.sections(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
