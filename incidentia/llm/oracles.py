@@ -3,3 +3,54 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op2_neighbours"] = """
+WITH vectors AS (
+    SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), pairs AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           max(list_cosine_similarity(q.e, c.e)) AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+    WHERE q.vec_id % 50 = 0
+    GROUP BY 1, 2
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place
+    FROM pairs
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
+"""
+
+# Five hex digits of the digest are four letters; what follows the contract's
+# columns is the URL key of the merged index.
+ORACLES["op5_warc"] = """
+WITH payloads AS (
+    SELECT page_id, url, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex
+    FROM pages
+), digests AS (
+    SELECT *, octet_length(encode(payload)) AS payload_bytes,
+        max(page_id) OVER (PARTITION BY payload) AS winner,
+        list_aggregate(list_transform(range(32), lambda i: substr(
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            CAST((CAST('0x' || substr(hex, 5 * (i // 4) + 1, 5) AS BIGINT)
+                  >> (15 - 5 * (i % 4))) & 31 AS INTEGER) + 1, 1)), 'string_agg', '')
+            AS payload_digest,
+        lower(url) AS address
+    FROM payloads
+), hosts AS (
+    SELECT *, regexp_extract(address, '^[a-z]+://([^/?#:]*)', 1) AS host,
+        regexp_extract(address, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path,
+        regexp_extract(address, '^[^?#]*[?]([^#]*)', 1) AS query
+    FROM digests
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+    CASE WHEN winner > page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN winner > page_id THEN winner END AS refers_to,
+    list_aggregate(list_reverse(string_split(regexp_replace(host, '^www[.]', ''), '.')),
+        'string_agg', ',') || ')' || CASE WHEN path = '' THEN '/' ELSE path END
+        || CASE WHEN query = '' THEN '' ELSE '?' || query END AS url_key
+FROM hosts
+"""

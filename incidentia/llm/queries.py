@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidentia.llm import decontamination, line_dedup, packing, quality, simhash, tokens
+from incidentia.llm import (
+    decontamination,
+    line_dedup,
+    neighbours,
+    packing,
+    quality,
+    simhash,
+    token_shards,
+    tokens,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -64,3 +74,24 @@ def op7_quality(spark, sf_dir):
         "score",
         (F.col("score") >= quality.CUT).cast("int").alias("predicted"),
     )
+
+
+@query
+def op2_neighbours(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op6_token_shards(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return token_shards.materialise(documents, tokens.tokenizer_path())
+
+
+@query
+def op5_warc(spark, sf_dir):
+    # The pages carry no time: their number stands in for the second of the capture.
+    captured = F.timestamp_seconds(1_700_000_000 + F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(10**8)))
+    found = warc.captures(table(spark, sf_dir, "pages"), captured)
+    return found.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key"
+    )
