@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from incidentia.llm.licenses import STOP_WORDS, TEMPLATES
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op2_neighbours"] = """
@@ -54,3 +56,66 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
         || CASE WHEN query = '' THEN '' ELSE '?' || query END AS url_key
 FROM hosts
 """
+
+
+def _license_sql() -> str:
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    rows = ", ".join(f"({i}, {quoted(n)}, {quoted(t)})" for i, (n, t) in enumerate(TEMPLATES))
+    stop = ", ".join(map(quoted, sorted(STOP_WORDS)))
+    return f"""
+WITH templates(template, license, body) AS (VALUES {rows}),
+template_terms AS (
+    SELECT template, license, term, count(*) AS times
+    FROM (SELECT template, license, unnest(regexp_extract_all(lower(body), '[a-z0-9]+')) AS term
+          FROM templates)
+    WHERE term NOT IN ({stop}) GROUP BY ALL
+), rarity AS (
+    SELECT term, ln(1 + (SELECT count(*) FROM templates) / count(*)) AS rare
+    FROM template_terms GROUP BY term
+), template_weights AS (
+    SELECT t.*, times * rare / sqrt(sum(times * rare * times * rare) OVER (PARTITION BY template))
+           AS weight
+    FROM template_terms t JOIN rarity USING (term)
+), files AS (
+    SELECT doc_id, text, coalesce(source, 'none') || '/' || (doc_id // 1000)
+           || CASE WHEN doc_id % 1000 = 0 THEN '/LICENSE'
+                   WHEN doc_id % 100 = 0 THEN '/' || (doc_id // 100) || '/LICENSE'
+                   ELSE '/' || (doc_id // 100) || '/' || doc_id || '.txt' END AS path
+    FROM documents
+), units AS (
+    SELECT DISTINCT path, unit
+    FROM (SELECT path, unnest(list_concat([text], string_split(text, chr(10)))) AS unit FROM files)
+), counted AS (
+    SELECT path, unit, term, count(*) AS times
+    FROM (SELECT path, unit, unnest(regexp_extract_all(lower(unit), '[a-z0-9]+')) AS term FROM units)
+    WHERE term NOT IN ({stop}) GROUP BY ALL
+), weighted AS (
+    SELECT c.*, times * coalesce(rare, ln(1 + (SELECT count(*) FROM templates))) AS own
+    FROM counted c LEFT JOIN rarity USING (term)
+), lengths AS (
+    SELECT path, unit, sqrt(sum(own * own)) AS length FROM weighted GROUP BY ALL
+), close AS (
+    SELECT path, license, round(sum(own * weight) / any_value(length), 9) AS similarity
+    FROM weighted JOIN template_weights USING (term) JOIN lengths USING (path, unit)
+    GROUP BY path, unit, template, license
+), own AS (
+    SELECT path, license, similarity
+    FROM close WHERE similarity >= 0.6
+    QUALIFY row_number() OVER (PARTITION BY path ORDER BY similarity DESC, license) = 1
+), stated AS (
+    SELECT regexp_replace(path, '/[^/]*$', '') AS above, path, license, similarity
+    FROM own WHERE path LIKE '%/LICENSE'
+), inherited AS (
+    SELECT f.path, s.path AS stated_by, s.license, s.similarity
+    FROM files f JOIN stated s ON starts_with(f.path, s.above || '/')
+    QUALIFY row_number() OVER (PARTITION BY f.path ORDER BY length(s.above) DESC) = 1
+)
+SELECT f.doc_id, f.path, coalesce(o.license, i.license) AS license,
+    coalesce(o.similarity, i.similarity) AS similarity,
+    CASE WHEN o.path IS NOT NULL THEN 'own' WHEN i.path IS NOT NULL THEN 'inherited' END AS origin,
+    CASE WHEN o.path IS NOT NULL THEN f.path ELSE i.stated_by END AS license_path
+FROM files f LEFT JOIN own o ON o.path = f.path LEFT JOIN inherited i ON i.path = f.path
+"""
+
+
+ORACLES["op10_licenses"] = _license_sql()

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from incidentia.llm import (
     decontamination,
+    licenses,
     line_dedup,
     neighbours,
     packing,
@@ -95,3 +96,24 @@ def op5_warc(spark, sf_dir):
     return found.select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key"
     )
+
+
+def file_path(doc_id: Column, source: Column) -> Column:
+    """A place for each document: source/thousands/hundreds/number.txt. Numbers
+    that end in 00 are the license files of their directory, those that end in
+    000 of the one above."""
+    top = F.concat_ws("/", F.coalesce(source, F.lit("none")), F.floor(doc_id / 1000).cast("string"))
+    low = F.concat_ws("/", top, F.floor(doc_id / 100).cast("string"))
+    return (
+        F.when(doc_id % 1000 == 0, F.concat(top, F.lit("/LICENSE")))
+        .when(doc_id % 100 == 0, F.concat(low, F.lit("/LICENSE")))
+        .otherwise(F.concat(low, F.lit("/"), doc_id.cast("string"), F.lit(".txt")))
+    )
+
+
+@query
+def op10_licenses(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    path = file_path(F.col("doc_id"), F.col("source"))
+    found = licenses.scan(documents.select("doc_id", "text", path.alias("path")))
+    return found.select("doc_id", "path", "license", "similarity", "origin", "license_path")
