@@ -13,6 +13,7 @@ from incidentia.llm import (
     line_dedup,
     neighbours,
     packing,
+    pitman_yor,
     quality,
     simhash,
     token_shards,
@@ -117,3 +118,9 @@ def op10_licenses(spark, sf_dir):
     path = file_path(F.col("doc_id"), F.col("source"))
     found = licenses.scan(documents.select("doc_id", "text", path.alias("path")))
     return found.select("doc_id", "path", "license", "similarity", "origin", "license_path")
+
+
+@query
+def op3_pitman_yor(spark, sf_dir):
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return pitman_yor.score(table(spark, sf_dir, "documents"), held_out)
