@@ -31,6 +31,15 @@ def fresh(columns: Iterable[str], base: str) -> str:
     return name
 
 
+def drop_written(df: DataFrame) -> None:
+    """Remove the files of a table made by ``written`` that nothing reads any more."""
+    spark = df.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def arrow_rows(
     df: DataFrame, function: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str
 ) -> DataFrame:
