@@ -63,21 +63,22 @@ def spread_join(
     how: str = "inner",
 ) -> DataFrame:
     """Shuffle join of ``rows`` with ``table``, which has one row per key and in
-    ``count`` the number of rows with that key.
+    ``count`` (which the result leaves out) the number of rows with that key.
 
     A key with more than ``most`` rows is dealt over several tasks by the hash
     ``by``, which must depend on the row's content only. The broadcast list
     holds these keys alone: at most (all rows / ``most``) of them.
     """
+    names = [*rows.columns, *table.columns]
+    at, many, slice_ = (fresh(names, n) for n in ("by", "slices", "slice"))
     slices = F.ceil(F.col(count) / F.lit(most)).cast("int")
-    hot = table.where(F.col(count) > most).select(*key, slices.alias("_slices"))
+    hot = table.where(F.col(count) > most).select(*key, slices.alias(many))
     dealt = (
-        rows.withColumn("_by", by)
+        rows.withColumn(at, by)
         .join(F.broadcast(hot), key, "left")
-        .withColumn("_slice", F.coalesce(F.pmod("_by", "_slices").cast("int"), F.lit(0)))
-        .drop("_by", "_slices")
+        .withColumn(slice_, F.coalesce(F.pmod(at, many).cast("int"), F.lit(0)))
+        .drop(at, many)
     )
-    copied = table.withColumn(
-        "_slice", F.explode(F.sequence(F.lit(0), F.greatest(slices, F.lit(1)) - 1))
-    )
-    return dealt.join(copied, [*key, "_slice"], how).drop("_slice")
+    last = F.greatest(slices, F.lit(1)) - 1
+    copied = table.withColumn(slice_, F.explode(F.sequence(F.lit(0), last))).drop(count)
+    return dealt.join(copied, [*key, slice_], how).drop(slice_)

@@ -224,9 +224,10 @@ def scan(
         .select("above", "best.path", "best.license", (-F.col("best.s")).alias("similarity"))
     )
     rest = files.drop("license", "similarity", "origin", "license_path")
-    key = fresh(rest.columns, "file_path")
+    key, directory, stated_here, near = (
+        fresh(rest.columns, n) for n in ("file_path", "directory_path", "own_license", "near_license")
+    )
     rows = rest.withColumn(key, F.col(path).cast("string"))
-    directory = fresh(rows.columns, "directory")
     rows = rows.withColumn(directory, _directory(F.col(key)))
     # One row per directory, so a directory with many files costs no more than another here.
     directories = rows.groupBy(F.col(directory).alias("directory")).agg(F.count("*").alias("n"))
@@ -240,15 +241,19 @@ def scan(
             F.min(F.struct("up", "path", "license", "similarity")).alias("near"),
         )
     )
-    inherited = written(nearest.withColumnRenamed("directory", directory), "inherited")
-    stating = own.select(F.col("path").alias(key), F.struct("license", "similarity").alias("own"))
-    found = rows.join(stating, key, "left")
-    found = spread_join(found, inherited, [directory], F.xxhash64(key), how="left")
-    has_own, has_near = F.col("own").isNotNull(), F.col("near").isNotNull()
-    return found.select(
+    count = fresh([*rest.columns, key, directory, stated_here, near], "directory_rows")
+    found = nearest.select(
+        F.col("directory").alias(directory), F.col("n").alias(count), F.col("near").alias(near)
+    )
+    inherited = written(found, "inherited")
+    stating = own.select(F.col("path").alias(key), F.struct("license", "similarity").alias(stated_here))
+    joined = rows.join(stating, key, "left")
+    joined = spread_join(joined, inherited, [directory], F.xxhash64(key), count=count, how="left")
+    has_own, has_near = F.col(stated_here).isNotNull(), F.col(near).isNotNull()
+    return joined.select(
         *rest.columns,
-        F.coalesce("own.license", "near.license").alias("license"),
-        F.coalesce("own.similarity", "near.similarity").alias("similarity"),
+        F.coalesce(f"{stated_here}.license", f"{near}.license").alias("license"),
+        F.coalesce(f"{stated_here}.similarity", f"{near}.similarity").alias("similarity"),
         F.when(has_own, "own").when(has_near, "inherited").alias("origin"),
-        F.when(has_own, F.col(key)).otherwise(F.col("near.path")).alias("license_path"),
+        F.when(has_own, F.col(key)).otherwise(F.col(f"{near}.path")).alias("license_path"),
     )

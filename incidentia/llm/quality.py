@@ -22,6 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from incidentia.llm.common import arrow_rows, fresh
 from incidentia.llm.tokens import slices
@@ -185,7 +186,8 @@ def scored(
             names = [*part.schema.names[:-1], column]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return arrow_rows(rows, run, docs.schema.add(column, "double"))
+    schema = StructType([*docs.schema.fields, StructField(column, DoubleType())])
+    return arrow_rows(rows, run, schema)
 
 
 def keep_good(docs: DataFrame, ranking: Ranking, text: str = "text") -> DataFrame:
