@@ -167,7 +167,9 @@ def served_counts(
         "barrios": "por_barrio",
     }
     if snapshot is not None and spec.unfiltered and view in stored:
-        listed = snapshot.select(F.inline(stored[view])).toDF(key, total)
+        listed = snapshot.where(F.col("lista") == stored[view]).select(
+            F.col("clave").alias(key), F.col("total").alias(total)
+        )
         ordered = listed.orderBy(F.desc(total), key)
         return ordered if top is None else ordered.limit(top)
     return count_by(apply_filters(rows, spec), column, key_as=key, total_as=total, top=top)

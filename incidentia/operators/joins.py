@@ -16,10 +16,8 @@ from incidentia.session import written
 
 # Largest dimension that is broadcast, as measured on its values.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A key is hot from this share of all rows on, so there are at most 1000 of them.
-HOT_SHARE = 0.001
-# Tasks over which the rows of one hot key are spread.
-SPREAD = 256
+# Rows of one key that go to one task; a key with more is spread.
+SLICE_ROWS = 500_000
 STREAM_SPREAD = 16
 
 
@@ -46,18 +44,12 @@ def lookup(
     return spread_join(rows, dimension, key)
 
 
-def hot_keys(rows: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold at least ``share`` of the rows: at most ``1 / share`` of them."""
-    named = rows.where(F.col(key).isNotNull())
-    counts = written(named.groupBy(key).agg(F.count("*").alias("_rows")), "key-counts")
-    least = counts.agg(F.sum("_rows") * F.lit(share)).scalar()
-    return counts.where(F.col("_rows") >= least).select(key)
-
-
-def _own_slice(spread: int) -> Column:
-    """Slice of a row, from its input partition: a task that is run again
-    sends each row to the same place as before."""
-    return F.pmod(F.spark_partition_id(), F.lit(spread))
+def hot_keys(rows: DataFrame, key: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """(key, slices) of the keys with more than ``slice_rows`` rows: at most
+    (all rows / ``slice_rows``) of them."""
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
+    slices = F.ceil(F.col("_rows") / slice_rows).cast("int").alias("_slices")
+    return written(counts.where(F.col("_rows") > slice_rows).select(key, slices), "hot-keys")
 
 
 def _every_slice(spread: int) -> Column:
@@ -70,26 +62,37 @@ def _join_slices(sliced: DataFrame, copied: DataFrame, key: str) -> DataFrame:
     return joined.select([c for c in columns if c != "_slice"])
 
 
+def _content(rows: DataFrame) -> Column:
+    """Hash of a whole row: a task that is run again sends each row to the same place."""
+    return F.xxhash64(*[F.to_json(c) if "<" in t else F.col(c) for c, t in rows.dtypes])
+
+
 def spread_join(
-    rows: DataFrame,
-    dimension: DataFrame,
-    key: str,
-    *,
-    share: float = HOT_SHARE,
-    spread: int = SPREAD,
+    rows: DataFrame, dimension: DataFrame, key: str, *, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
-    """Left shuffle join in which hot and null keys go to ``spread`` tasks each.
+    """Left shuffle join in which a hot key goes to as many tasks as its rows fill.
 
-    Only the dimension rows of hot keys are copied, at most ``spread / share``.
+    Rows without a key match nothing and are not joined at all. Only the
+    dimension rows of hot keys are copied, together at most once for every
+    ``slice_rows`` rows. The broadcast list holds the hot keys alone.
     """
-    hot = F.broadcast(hot_keys(rows, key, share).withColumn("_hot", F.lit(True)))
-    is_hot = F.col("_hot").isNotNull()
-    sliced = rows.join(hot, key, "left").withColumn(
-        "_slice", F.when(is_hot | F.col(key).isNull(), _own_slice(spread)).otherwise(0)
+    hot = hot_keys(rows, key, slice_rows)
+    named = rows.where(F.col(key).isNotNull())
+    sliced = (
+        named.withColumn("_by", _content(rows))
+        .join(F.broadcast(hot), key, "left")
+        .withColumn("_slice", F.coalesce(F.pmod("_by", "_slices").cast("int"), F.lit(0)))
+        .drop("_by", "_slices")
+    )
+    last = F.coalesce(F.col("_slices"), F.lit(1)) - 1
+    copied = (
+        dimension.join(F.broadcast(hot), key, "left")
+        .withColumn("_slice", F.explode(F.sequence(F.lit(0), last)))
+        .drop("_slices")
     )
-    slices = F.when(is_hot, _every_slice(spread)).otherwise(F.array(F.lit(0)))
-    copied = dimension.join(hot, key, "left").withColumn("_slice", F.explode(slices))
-    return _join_slices(sliced.drop("_hot"), copied.drop("_hot"), key)
+    joined = _join_slices(sliced, copied, key)
+    unnamed = rows.where(F.col(key).isNull())
+    return joined.unionByName(unnamed, allowMissingColumns=True)
 
 
 def spread_stream_join(
@@ -97,7 +100,7 @@ def spread_stream_join(
 ) -> DataFrame:
     """The same for a stream, whose hot keys cannot be counted beforehand:
     every key is spread, over fewer tasks."""
-    sliced = rows.withColumn("_slice", _own_slice(spread))
+    sliced = rows.withColumn("_slice", F.pmod(_content(rows), F.lit(spread)).cast("int"))
     copied = dimension.withColumn("_slice", F.explode(_every_slice(spread)))
     return _join_slices(sliced, copied, key)
 

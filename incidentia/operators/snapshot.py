@@ -1,8 +1,7 @@
 """Result documents: the aggregates snapshot and the run log.
 
-Both are single documents by nature. The counts they hold are first written
-as a long table, ``sections``, which has no size limit; a document is built
-from it only if its lists are short enough to belong in one row.
+Both are tables with one row per list entry and the fields of the document
+repeated in each row, so a list may be of any length.
 """
 
 from __future__ import annotations
@@ -16,9 +15,6 @@ from incidentia.operators.counts import complete_domain, multi_dim_counts
 from incidentia.schemas import AGE_BANDS, RUN_LOG, SNAPSHOT
 from incidentia.session import written
 
-# Most list entries a document may hold; longer results stay a table.
-DOCUMENT_ENTRIES = 100_000
-
 # Snapshot list -> counted column, names inside the list, entries kept.
 LISTS = {
     "por_comuna": ("comuna", "comuna", "total_hurtos", None),
@@ -32,11 +28,7 @@ LISTS = {
     "por_edad": ("rango_edad", "rango", "total", None),
     "por_barrio": ("barrio", "barrio", "total", 15),
 }
-LONGEST_TOP = 15
-
-
-class DocumentTooLarge(ValueError):
-    pass
+LONGEST_TOP = max(top for _, _, _, top in LISTS.values() if top)
 
 
 def with_age_band(rows: DataFrame) -> DataFrame:
@@ -87,71 +79,56 @@ def sections(rows: DataFrame) -> DataFrame:
     return whole.unionByName(cut).unionByName(bands)
 
 
-def _require_short(entries: DataFrame) -> None:
-    found = entries.count()
-    if found > DOCUMENT_ENTRIES:
-        raise DocumentTooLarge(
-            f"{found} entries are too many for one document; store sections() as a table"
-        )
-
-
-def _list(name: str, key: str, total: str) -> Column:
-    """Array of records of one list: by count, or by hour for the hours."""
-    mine = F.col("lista") == name
-    if name == "zona_riesgo":
-        entry = F.struct((-F.col("total")).alias("n"), "clave", "zona")
-        record = lambda e: F.struct(
-            e["clave"].alias("comuna"), e["zona"].alias("zona_riesgo"), (-e["n"]).alias("total")
-        )
-    elif name == "por_hora":
-        entry = F.struct(F.col("clave").try_cast("int").alias("clave"), "total")
-        record = lambda e: F.struct(e["clave"].alias(key), e["total"].alias(total))
-    else:
-        entry = F.struct((-F.col("total")).alias("n"), "clave")
-        record = lambda e: F.struct(e["clave"].alias(key), (-e["n"]).alias(total))
-    return F.transform(F.array_sort(F.collect_list(F.when(mine, entry))), record).alias(name)
+def _with_fields(entries: DataFrame, everything: DataFrame, names: list[str], **fields) -> DataFrame:
+    total = everything.agg(F.coalesce(F.max("total"), F.lit(0)))
+    name = next(n for n in names if n.startswith("total_"))
+    return entries.withColumns({name: total.scalar(), **fields}).select(names)
 
 
 def snapshot_doc(rows: DataFrame, source: str, processed_at: Column | None = None) -> DataFrame:
-    """The aggregates document: one row, eleven lists of records."""
+    """The aggregates document: one row per entry of its eleven lists.
+
+    The age bands are always listed, so there are rows even for an empty table.
+    """
     entries = written(sections(rows), "sections")
-    _require_short(entries)
+    whole = F.col("lista") == "total"
     stamp = F.current_timestamp() if processed_at is None else processed_at
-    everything = F.max(F.when(F.col("lista") == "total", F.col("total")))
-    lists = [_list(name, key, total) for name, (_, key, total, _) in LISTS.items()]
-    document = entries.agg(
-        F.coalesce(everything, F.lit(0)).alias("total_eventos"),
-        *lists,
-        _list("zona_riesgo", "comuna", "total"),
+    return _with_fields(
+        entries.where(~whole),
+        entries.where(whole),
+        SNAPSHOT.fieldNames(),
+        procesado_en=iso_text(stamp),
+        fuente=F.lit(source),
     )
-    return document.withColumns(
-        {"procesado_en": iso_text(stamp), "fuente": F.lit(source)}
-    ).select(SNAPSHOT.fieldNames())
 
 
 def run_log(
     rows: DataFrame, source: str, output: str, logged_at: Column | None = None
 ) -> DataFrame:
-    """One row: when, from where, how many rows, which columns, two count maps."""
-    counts = written(multi_dim_counts(rows, ["comuna", "modalidad"], with_all=True), "log")
-    _require_short(counts)
+    """When, from where, how many rows, which columns; one row per entry of the
+    two count maps, and one without an entry."""
+    names = {"comuna": "comunas", "modalidad": "modalidades"}
+    counts = written(multi_dim_counts(rows, list(names), with_all=True), "log")
     stamp = F.current_timestamp() if logged_at is None else logged_at
-
-    def count_map(dimension: str) -> Column:
-        mine = F.when(F.col("dimension") == dimension, F.struct("value", "total"))
-        return F.map_from_entries(F.collect_list(mine))
-
-    everything = F.max(F.when(F.col("dimension").isNull(), F.col("total")))
-    log = counts.agg(
-        F.coalesce(everything, F.lit(0)).alias("total_registros"),
-        count_map("comuna").alias("comunas"),
-        count_map("modalidad").alias("modalidades"),
+    mapa = F.lit(None).cast("string")
+    for dimension, name in names.items():
+        mapa = F.when(F.col("dimension") == dimension, name).otherwise(mapa)
+    entries = counts.select(
+        mapa.alias("mapa"),
+        F.col("value").alias("clave"),
+        F.when(F.col("dimension").isNotNull(), F.col("total")).alias("total"),
+    )
+    if_empty = rows.sparkSession.range(1).select(
+        F.lit(None).cast("string").alias("mapa"),
+        F.lit(None).cast("string").alias("clave"),
+        F.lit(None).cast("bigint").alias("total"),
+    )
+    return _with_fields(
+        entries.where("mapa IS NOT NULL").unionByName(if_empty),
+        counts.where("dimension IS NULL"),
+        RUN_LOG.fieldNames(),
+        timestamp=iso_text(stamp),
+        fuente=F.lit(source),
+        columnas=F.array(*[F.lit(c) for c in rows.columns]),
+        archivo_salida=F.lit(output),
     )
-    return log.withColumns(
-        {
-            "timestamp": iso_text(stamp),
-            "fuente": F.lit(source),
-            "columnas": F.array(*[F.lit(c) for c in rows.columns]),
-            "archivo_salida": F.lit(output),
-        }
-    ).select(RUN_LOG.fieldNames())

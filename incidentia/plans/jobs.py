@@ -5,14 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from incidentia.functions.geo import CITY_BOX, Box
 from incidentia.operators import snapshot
 from incidentia.operators.clean import clean
-from incidentia.operators.facets import FilterSpec, views
+from incidentia.operators.facets import COUNT_VIEWS, FilterSpec, served_counts, views
+from incidentia.operators.quality import dq_report
 from incidentia.schemas import CLEAN
 from incidentia.sinks.tables import (
+    newest_version,
     overwrite_table,
     publish,
     write_clean_table,
@@ -20,8 +23,15 @@ from incidentia.sinks.tables import (
     write_document,
     write_with_fallback,
 )
-from incidentia.sources.fallback import load_first
-from incidentia.sources.files import read_clean, read_collection, read_raw, read_strings
+from incidentia.sources.fallback import NO_DATA, load_first
+from incidentia.sources.files import (
+    read_clean,
+    read_collection,
+    read_incidents,
+    read_raw,
+    read_snapshot,
+    read_strings,
+)
 from incidentia.sources.stream import kafka_messages
 from incidentia.streaming.events import event_envelope, to_messages
 from incidentia.streaming.jobs import stream_etl
@@ -37,13 +47,19 @@ def ingest(
     sep: str = ";",
     box: Box = CITY_BOX,
     dedupe_first: bool = False,
+    multi_line: bool = False,
+    quality_path: str | None = None,
 ) -> DataFrame:
-    """Raw file to clean table and run log; a CSV copy on request. Returns the table."""
-    rows = clean(read_raw(spark, raw_path, sep=sep), box=box, dedupe_first=dedupe_first)
+    """Raw file to clean table and run log; a CSV copy and the quality counters
+    on request. Returns the table."""
+    raw = read_raw(spark, raw_path, sep=sep, multi_line=multi_line)
+    rows = clean(raw, box=box, dedupe_first=dedupe_first)
     write_clean_table(rows, table_path)
     stored = read_clean(spark, table_path)
     if csv_path is not None:
         write_delimited(stored, csv_path)
+    if quality_path is not None:
+        write_document(dq_report(raw, box), quality_path)
     write_document(snapshot.run_log(stored, raw_path, table_path), log_path)
     return stored
 
@@ -86,26 +102,60 @@ def process_batch(
 
 
 def process_stream(
-    spark: SparkSession, servers: str, topic: str, store_path: str, checkpoint: str
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    store_path: str,
+    checkpoint: str,
+    *,
+    quarantine_path: str | None = None,
+    per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Topic to event store until stopped; wait with ``awaitTermination``."""
-    return stream_etl(kafka_messages(spark, servers, topic), store_path, checkpoint)
-
-
-def load_served(spark: SparkSession, store_path: str, csv_path: str) -> DataFrame:
-    """The stored collection, else the clean CSV, else nothing; see ``source``."""
-    return load_first(
-        spark,
-        [
-            ("store", lambda: read_collection(spark, store_path)),
-            ("csv", lambda: read_clean(spark, csv_path, fmt="csv")),
-        ],
-        CLEAN,
-    )
+    """Topic to event store until stopped; wait with ``awaitTermination``.
+
+    ``per_trigger`` bounds the messages of one micro-batch.
+    """
+    messages = kafka_messages(spark, servers, topic, per_trigger=per_trigger)
+    return stream_etl(messages, store_path, checkpoint, quarantine_path=quarantine_path)
+
+
+def load_served(
+    spark: SparkSession, store_path: str, csv_path: str, stream_path: str | None = None
+) -> DataFrame:
+    """The stored collection, with the streamed events if ``stream_path`` is
+    given, else the clean CSV, else nothing; see ``source``."""
+    sources = [
+        ("store", lambda: read_collection(spark, store_path)),
+        ("csv", lambda: read_clean(spark, csv_path, fmt="csv")),
+    ]
+    if stream_path is not None:
+        sources.insert(0, ("store+stream", lambda: read_incidents(spark, store_path, stream_path)))
+    return load_first(spark, sources, CLEAN)
 
 
 def serve(
-    spark: SparkSession, store_path: str, csv_path: str, spec: FilterSpec = FilterSpec()
+    spark: SparkSession,
+    store_path: str,
+    csv_path: str,
+    spec: FilterSpec = FilterSpec(),
+    *,
+    stream_path: str | None = None,
+    snapshot_path: str | None = None,
+    box: Box = CITY_BOX,
 ) -> dict[str, DataFrame]:
-    """Every served table for the selections in ``spec``."""
-    return views(load_served(spark, store_path, csv_path), spec)
+    """Every served table for the selections in ``spec``; the KPIs name the source.
+
+    Without selections the counts come from the snapshot if there is one. The
+    snapshot holds batch rows only, so it is not used together with a stream.
+    """
+    rows = load_served(spark, store_path, csv_path, stream_path)
+    served = views(rows, spec, box)
+    # The label is the same in every row.
+    label = rows.select("source").limit(1).agg(F.coalesce(F.max("source"), F.lit(NO_DATA)))
+    served["kpis"] = served["kpis"].withColumn("fuente", label.scalar())
+    if snapshot_path is not None and stream_path is None and spec.unfiltered:
+        if newest_version(spark, snapshot_path) is not None:
+            stored = read_snapshot(spark, snapshot_path)
+            for name in COUNT_VIEWS:
+                served[name] = served_counts(rows, spec, name, stored)
+    return served

@@ -244,33 +244,6 @@ def _list_table(column: str, key: str, total: str, top: int | None) -> str:
     return _counted("clean", column, key, total, limit)
 
 
-def _json_list(inner: str, fields: list[str], order: str) -> str:
-    record = ", ".join(f"'{f}': {f}" for f in fields)
-    return f"(SELECT CAST(to_json(list({{{record}}} ORDER BY {order})) AS VARCHAR) FROM ({inner}))"
-
-
-_DOCUMENT = [
-    (
-        name,
-        _json_list(
-            _list_table(column, key, total, top),
-            [key, total],
-            "hora" if name == "por_hora" else f"{total} DESC, {key}",
-        ),
-    )
-    for name, column, key, total, top in _LISTS
-] + [
-    ("por_edad", _json_list(_AGES, ["rango", "total"], "total DESC, rango")),
-    (
-        "zona_riesgo",
-        _json_list(
-            "SELECT comuna, zona_riesgo, count(*) AS total FROM clean GROUP BY ALL",
-            ["comuna", "zona_riesgo", "total"],
-            "total DESC, comuna, zona_riesgo",
-        ),
-    ),
-]
-
 _LONG = " UNION ALL ".join(
     [
         f"SELECT '{name}' AS lista, CAST({key} AS VARCHAR) AS clave, CAST(NULL AS VARCHAR) AS zona, "
@@ -461,9 +434,16 @@ ORACLES = {
     "source_fallback": "SELECT event_id, event_type AS modalidad, 'files' AS source FROM events",
     "snapshot_doc": _sql(
         "clean bands",
-        f"SELECT count(*) AS total_eventos, '{SOURCE_LABEL}' AS fuente, "
-        + ", ".join(f"{sql} AS {name}" for name, sql in _DOCUMENT)
-        + " FROM clean",
+        f"SELECT (SELECT count(*) FROM clean) AS total_eventos, '{SOURCE_LABEL}' AS fuente, l.* "
+        f"FROM ({_LONG}) l",
+    ),
+    "ingest_job": _sql("clean", f"SELECT {_CLEAN_COLUMNS} FROM clean"),
+    "served_from_csv": _sql("clean", "SELECT count(*) AS total_hurtos, 'csv' AS fuente FROM clean"),
+    "stream_quarantine": _sql(
+        "judged",
+        """SELECT CASE WHEN NOT broken THEN event_id END AS event_id,
+            CASE WHEN NOT broken THEN fecha_hecho END AS fecha_hecho,
+            CASE WHEN broken THEN texto END AS texto, motivo FROM judged WHERE motivo IS NOT NULL""",
     ),
     "snapshot_read": _sql("clean bands", f"SELECT * FROM ({_LONG})"),
     "served_view": _sql(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql.types import IntegerType, StringType, StructType
 from incidentia.functions import dates, values
 from incidentia.operators import clean as cleaning
 from incidentia.operators import counts, facets, joins, quality, risk, snapshot, trend
+from incidentia.plans import jobs as pipeline
 from incidentia.plans import standins
 from incidentia.plans.standins import STANDIN_BOX, table
 from incidentia.schemas import RAW, UNKNOWN_AREA
@@ -386,12 +388,8 @@ def source_fallback(spark, sf_dir):
 
 @query
 def snapshot_doc(spark, sf_dir):
-    """The aggregates document, its lists as JSON text."""
-    document = snapshot.snapshot_doc(_clean(spark, sf_dir), SOURCE_LABEL)
-    lists = [*snapshot.LISTS, "zona_riesgo"]
-    return document.select(
-        "total_eventos", "fuente", *[F.to_json(F.col(c)).alias(c) for c in lists]
-    )
+    """The aggregates document, one row per list entry."""
+    return snapshot.snapshot_doc(_clean(spark, sf_dir), SOURCE_LABEL).drop("procesado_en")
 
 
 @query
@@ -402,20 +400,10 @@ def snapshot_read(spark, sf_dir):
     sinks.write_document(snapshot.snapshot_doc(rows, SOURCE_LABEL), path)
     stored = files.read_snapshot(spark, path)
     lists = [
-        files.snapshot_list(stored, name).select(
-            F.lit(name).alias("lista"), F.col(key).cast("string").alias("clave"),
-            F.lit(None).cast("string").alias("zona"), F.col(total).alias("total"),
-        )
-        for name, (_, key, total, _) in snapshot.LISTS.items()
+        files.snapshot_list(stored, name).select(F.lit(name).alias("lista"), "clave", "zona", "total")
+        for name in [*snapshot.LISTS, "zona_riesgo"]
     ]
-    zones = files.snapshot_list(stored, "zona_riesgo").select(
-        F.lit("zona_riesgo").alias("lista"), F.col("comuna").alias("clave"),
-        F.col("zona_riesgo").alias("zona"), "total",
-    )
-    out = zones
-    for listed in lists:
-        out = out.unionByName(listed)
-    return out
+    return functools.reduce(DataFrame.unionByName, lists)
 
 
 @query
@@ -431,14 +419,34 @@ def served_view(spark, sf_dir):
 @query
 def run_log(spark, sf_dir):
     log = snapshot.run_log(_clean(spark, sf_dir), SOURCE_LABEL, "clean")
-    maps = [
-        log.select(
-            F.lit(name).alias("mapa"), F.explode(name).alias("clave", "total"), "total_registros",
-            F.size("columnas").alias("columnas"),
-        )
-        for name in ("comunas", "modalidades")
-    ]
-    return maps[0].unionByName(maps[1])
+    return log.where("mapa IS NOT NULL").select(
+        "mapa", "clave", "total", "total_registros", F.size("columnas").alias("columnas")
+    )
+
+
+def _ingested(spark, sf_dir):
+    """Raw file to table and CSV by the job, as it is run; the paths."""
+    raw, table_path, csv_path = (scratch_path(spark, n) for n in ("raw", "table", "csv"))
+    sinks.write_delimited(standins.raw_incidents(spark, sf_dir), raw, sep=";")
+    pipeline.ingest(
+        spark, raw, table_path, scratch_path(spark, "log"), csv_path=csv_path, box=STANDIN_BOX
+    )
+    return table_path, csv_path
+
+
+@query
+def ingest_job(spark, sf_dir):
+    """All columns of the table that the job stores, in order."""
+    table_path, _ = _ingested(spark, sf_dir)
+    return files.read_clean(spark, table_path)
+
+
+@query
+def served_from_csv(spark, sf_dir):
+    """KPIs of the job's CSV branch."""
+    _, csv_path = _ingested(spark, sf_dir)
+    served = pipeline.serve(spark, scratch_path(spark, "absent"), csv_path, box=STANDIN_BOX)
+    return served["kpis"].select("total_hurtos", "fuente")
 
 
 # ---- Events ---------------------------------------------------------------------
@@ -502,6 +510,16 @@ def stream_etl(spark, sf_dir):
     return stored.select(*EVENT_COLUMNS, F.col("kafka_ts").cast("timestamp_ntz").alias("kafka_ts"))
 
 
+@query
+def stream_quarantine(spark, sf_dir):
+    """What the stream sets aside."""
+    path = scratch_path(spark, "stream-events")
+    sent = standins.event_messages(standins.event_stream(spark, sf_dir))
+    jobs.finish(jobs.stream_etl(sent, path, scratch_path(spark, "checkpoint"), replay=True))
+    rejected = files.read_collection(spark, f"{path}-quarantine")
+    return rejected.select("event_id", "fecha_hecho", F.col("_corrupt").alias("texto"), "motivo")
+
+
 @query
 def stream_clean(spark, sf_dir):
     path = scratch_path(spark, "stream-clean")
@@ -536,4 +554,4 @@ def stream_risk(spark, sf_dir):
     jobs.finish(
         jobs.stream_risk(rows, path, scratch_path(spark, "checkpoint"), key="comuna", replay=True)
     )
-    return spark.read.parquet(path)
+    return jobs.read_zones(spark, path)

@@ -7,7 +7,6 @@ from pyspark.sql.types import (
     DoubleType,
     IntegerType,
     LongType,
-    MapType,
     StringType,
     StructField,
     StructType,
@@ -60,28 +59,14 @@ STREAM_STORE = StructType(
 )
 
 
-def _pairs(key: str, total: str = "total", kind=_S) -> ArrayType:
-    return ArrayType(_struct(**{key: kind, total: _L}))
-
-
+# Result documents, one row per list entry: their length has no limit.
 SNAPSHOT = _struct(
-    procesado_en=_S, total_eventos=_L, fuente=_S,
-    por_comuna=_pairs("comuna", "total_hurtos"),
-    por_turno=_pairs("turno"),
-    por_modalidad=_pairs("modalidad"),
-    por_hora=_pairs("hora", kind=_I),
-    por_bien=_pairs("bien"),
-    por_arma=_pairs("arma"),
-    por_lugar=_pairs("lugar"),
-    por_sexo=_pairs("sexo"),
-    por_edad=_pairs("rango"),
-    por_barrio=_pairs("barrio"),
-    zona_riesgo=ArrayType(_struct(comuna=_S, zona_riesgo=_S, total=_L)),
+    procesado_en=_S, total_eventos=_L, fuente=_S, lista=_S, clave=_S, zona=_S, total=_L
 )
 
 RUN_LOG = _struct(
-    timestamp=_S, fuente=_S, total_registros=_L, columnas=ArrayType(_S),
-    comunas=MapType(_S, _L), modalidades=MapType(_S, _L), archivo_salida=_S,
+    timestamp=_S, fuente=_S, total_registros=_L, columnas=ArrayType(_S), archivo_salida=_S,
+    mapa=_S, clave=_S, total=_L,
 )
 
 # ---- Fixed values -----------------------------------------------------------

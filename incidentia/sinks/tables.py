@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
-from py4j.protocol import Py4JError
-from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def write_delimited(rows: DataFrame, path: str, *, sep: str = ",") -> None:
-    """Header and UTF-8; Spark creates the folder."""
+    """Header and UTF-8; Spark creates the folder. Cells keep their outer blanks."""
     rows.write.mode("overwrite").options(
-        header=True, sep=sep, encoding="UTF-8", escape='"'
+        header=True,
+        sep=sep,
+        encoding="UTF-8",
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
     ).csv(path)
 
 
@@ -36,23 +40,68 @@ def write_clean_table(rows: DataFrame, path: str) -> None:
     ).partitionBy("anio", "mes").parquet(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete versions below ``path``, the newest last."""
+    place, system = _folder(spark, path)
+    if not system.exists(place):
+        return []
+    names = [s.getPath().getName() for s in system.listStatus(place) if s.isDirectory()]
+    numbers = sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
+    done = lambda n: system.exists(_folder(spark, f"{path}/version={n}/_SUCCESS")[0])
+    return [n for n in numbers if done(n)]
+
+
+def newest_version(spark: SparkSession, path: str) -> int | None:
+    found = versions(spark, path)
+    return found[-1] if found else None
+
+
+def write_version(
+    rows: DataFrame, path: str, *, fmt: str = "parquet", number: int | None = None, keep: int = 2
+) -> int:
+    """Write a new version beside the others; readers go on with the last
+    complete one until it is there. The ``keep`` newest versions stay."""
+    spark = rows.sparkSession
+    there = versions(spark, path)
+    number = (there[-1] + 1 if there else 0) if number is None else number
+    rows.write.format(fmt).mode("overwrite").save(f"{path}/version={number}")
+    for old in versions(spark, path)[:-keep]:
+        place, system = _folder(spark, f"{path}/version={old}")
+        system.delete(place, True)
+    return number
+
+
 def write_document(document: DataFrame, path: str) -> None:
-    """Replace a one-row document."""
-    document.coalesce(1).write.mode("overwrite").json(path)
+    """Write a document as JSON rows, as the newest version."""
+    write_version(document, path, fmt="json")
+
+
+class Outcome(str):
+    """Which writer was used, and why not the first one."""
+
+    cause: Exception | None = None
 
 
 def write_with_fallback(
     rows: DataFrame,
     primary: Callable[[DataFrame], None],
     fallback: Callable[[DataFrame], None],
-) -> str:
-    """Use ``primary``; if the store fails, ``fallback``. Says which one wrote."""
+) -> Outcome:
+    """Use ``primary``; whatever error it raises, ``fallback``. Says which one wrote."""
     try:
         primary(rows)
-        return "primary"
-    except (PySparkException, Py4JError, OSError):
+        return Outcome("primary")
+    except Exception as error:
+        logging.getLogger(__name__).warning("the store failed, the fallback is used: %s", error)
         fallback(rows)
-        return "fallback"
+        used = Outcome("fallback")
+        used.cause = error
+        return used
 
 
 def publish(messages: DataFrame, servers: str, topic: str) -> None:

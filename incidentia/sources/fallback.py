@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 
-from py4j.protocol import Py4JError
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -29,7 +28,8 @@ def load_first(
             rows = load()
             if rows.isEmpty():
                 continue
-        except (PySparkException, Py4JError, OSError):
+        except Exception as error:
+            logging.getLogger(__name__).warning("source %s failed: %s", label, error)
             continue
         return rows.withColumn("source", F.lit(label))
     return spark.createDataFrame([], schema).withColumn("source", F.lit(NO_DATA))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from incidentia.schemas import CLEAN, SNAPSHOT
+from incidentia.sinks.tables import newest_version
 
 
 def _present(load, path: str, hint: str) -> DataFrame:
@@ -26,27 +27,38 @@ def read_raw(
     """Delimited text with a header; every column, known or not, as text.
 
     A quoted cell with line breaks needs ``multi_line``, which reads each
-    file in one task; without it large files are split.
+    file in one task; without it large files are split. Files of one path
+    must have the same header: another one raises when it is read.
     """
-    reader = spark.read.options(header=True, sep=sep, encoding="UTF-8", multiLine=multi_line)
-    return _present(lambda: reader.csv(path), path, "Put the raw incident file there first.")
+    options = {"sep": sep, "multiLine": multi_line}
+    load = lambda: _same_headers(spark, path, **options)
+    return _present(load, path, "Put the raw incident file there first.")
+
+
+def _same_headers(spark: SparkSession, path: str, **options) -> DataFrame:
+    reader = spark.read.options(header=True, encoding="UTF-8", escape='"', **options)
+    first = reader.csv(path).schema
+    return reader.option("enforceSchema", False).schema(first).csv(path)
 
 
 def read_strings(spark: SparkSession, path: str, *, sep: str = ",") -> DataFrame:
     """Delimited text as string rows in which an empty cell is ``""``."""
-    reader = spark.read.options(header=True, sep=sep, encoding="UTF-8", escape='"')
-    rows = _present(lambda: reader.csv(path), path, "Write the clean table first.")
+    rows = _present(lambda: _same_headers(spark, path, sep=sep), path, "Write the clean table first.")
     return rows.fillna("")
 
 
 def read_clean(
     spark: SparkSession, path: str, *, fmt: str = "parquet", schema: StructType = CLEAN
 ) -> DataFrame:
-    """The clean table with its fixed types."""
+    """The clean table with its fixed types and column order.
+
+    CSV files must have the columns in that order: another header raises.
+    """
     reader = spark.read.schema(schema).format(fmt)
     if fmt == "csv":
-        reader = reader.options(header=True, escape='"')
-    return _present(lambda: reader.load(path), path, "Write the clean table first.")
+        reader = reader.options(header=True, escape='"', enforceSchema=False)
+    rows = _present(lambda: reader.load(path), path, "Write the clean table first.")
+    return rows.select(schema.fieldNames())
 
 
 def read_collection(spark: SparkSession, path: str, *, fmt: str = "parquet", **options) -> DataFrame:
@@ -55,15 +67,21 @@ def read_collection(spark: SparkSession, path: str, *, fmt: str = "parquet", **o
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The one aggregates document."""
-    documents = spark.read.schema(SNAPSHOT).option("multiLine", True)
-    load = lambda: documents.json(path)
-    return _present(load, path, "Process a batch first.").limit(1)
+    """The newest aggregates document."""
+    return read_document(spark, path, SNAPSHOT)
+
+
+def read_document(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The newest complete version of a document."""
+    version = newest_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"{path} does not exist. Process a batch first.")
+    return spark.read.schema(schema).json(f"{path}/version={version}")
 
 
 def snapshot_list(snapshot: DataFrame, name: str) -> DataFrame:
     """One list of the document as rows."""
-    return snapshot.select(F.inline(name))
+    return snapshot.where(F.col("lista") == name).select("clave", "zona", "total")
 
 
 def read_incidents(spark: SparkSession, batch_path: str, stream_path: str) -> DataFrame:

@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from incidentia.operators.quality import accepted
+from incidentia.operators.quality import accepted, with_rejection
 from incidentia.operators.risk import risk_zones
+from incidentia.sinks.tables import newest_version, write_version
 from incidentia.streaming.events import parse_events, with_stream_parts
 
 TRIGGER = "10 seconds"
-# A replay ends by itself; this only bounds how long a caller waits.
-REPLAY_SECONDS = 4 * 60 * 60
 
 
 def _start(writer, checkpoint: str, replay: bool) -> StreamingQuery:
@@ -22,30 +21,47 @@ def _start(writer, checkpoint: str, replay: bool) -> StreamingQuery:
     return timed.option("checkpointLocation", checkpoint).start()
 
 
-def finish(query: StreamingQuery, seconds: int = REPLAY_SECONDS) -> None:
-    """Wait for a replay to end; raise if it failed or takes too long."""
-    if not query.awaitTermination(seconds):
+def finish(query: StreamingQuery, seconds: int | None = None) -> None:
+    """Wait for a replay to end; raise if it failed. With ``seconds``, as tests
+    use it, a replay that takes longer is stopped."""
+    if seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(seconds):
         query.stop()
         raise TimeoutError(f"stream still running after {seconds} s")
 
 
 def batch_writer(
-    path: str, report: Callable[[int, int], None] | None = None
+    path: str,
+    quarantine_path: str | None = None,
+    report: Callable[[int, int, int], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """Write each micro-batch to its own folder under ``path``.
+    """Write the good rows of each micro-batch below ``path``, by year and month,
+    and the rejected ones (with ``motivo``) below ``quarantine_path``.
 
-    A batch that is run again replaces its folder, so replays add no copies.
-    Rows are counted while they are written; the batch is computed once.
+    Each batch has its own folders and replaces them if it is run again, so
+    replays add no copies. The batch is kept while both parts are written, so
+    it is computed once. ``report`` gets batch id, good and rejected rows.
     """
+    rejects = quarantine_path or f"{path.rstrip('/')}-quarantine"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        counted = Observation()
-        observed = batch.observe(counted, F.count(F.lit(1)).alias("rows"))
-        observed.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        if report is not None:
-            report(batch_id, counted.get["rows"])
+        batch.persist()
+        try:
+            good, bad = batch.where("motivo IS NULL"), batch.where("motivo IS NOT NULL")
+            counts = batch.agg(F.count_if(F.col("motivo").isNull()), F.count_if(F.col("motivo").isNotNull()))
+            stored, rejected = counts.first()
+            if stored:
+                rows = with_stream_parts(good.drop("motivo", "_corrupt"))
+                rows.write.mode("overwrite").partitionBy("anio", "mes").parquet(
+                    f"{path}/batch_id={batch_id}"
+                )
+            if rejected:
+                bad.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+            if report is not None and stored + rejected:
+                report(batch_id, stored, rejected)
+        finally:
+            batch.unpersist()
 
     return write
 
@@ -60,12 +76,15 @@ def stream_etl(
     path: str,
     checkpoint: str,
     *,
+    quarantine_path: str | None = None,
     replay: bool = False,
-    report: Callable[[int, int], None] | None = None,
+    report: Callable[[int, int, int], None] | None = None,
 ) -> StreamingQuery:
-    """Parse messages and append every micro-batch to the event store."""
-    rows = stream_events(messages)
-    return _start(rows.writeStream.foreachBatch(batch_writer(path, report)), checkpoint, replay)
+    """Parse messages and append every micro-batch to the event store, what is
+    rejected to the quarantine: each message is in one of the two."""
+    rows = with_rejection(parse_events(messages))
+    writer = rows.writeStream.foreachBatch(batch_writer(path, quarantine_path, report))
+    return _start(writer, checkpoint, replay)
 
 
 def append_stream(rows: DataFrame, path: str, checkpoint: str, *, replay: bool = False) -> StreamingQuery:
@@ -109,12 +128,18 @@ def stream_risk(
     """Keep the zone of every group up to date.
 
     The running count per group is the state. Quantiles are not incremental,
-    so each trigger classifies the counts anew and replaces the table.
+    so each trigger classifies the counts anew and writes the next version of
+    the table; read it with ``read_zones``.
     """
 
     def classify(batch: DataFrame, batch_id: int) -> None:
-        risk_zones(batch, key).write.mode("overwrite").parquet(path)
+        write_version(risk_zones(batch, key), path, number=batch_id)
 
     counts = events.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("total"))
     writer = counts.writeStream.outputMode("complete").foreachBatch(classify)
     return _start(writer, checkpoint, replay)
+
+
+def read_zones(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete version of the running zones."""
+    return spark.read.parquet(f"{path}/version={newest_version(spark, path)}")

@@ -28,7 +28,7 @@ def rows(spark):
 
 
 def same(left, right):
-    right = right.select(left.columns)
+    assert left.columns == right.columns
     assert left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
 
 
@@ -107,8 +107,20 @@ def test_sink_falls_back_when_the_store_fails(spark, table):
     def absent_store(df):
         df.write.format("no-such-store").save()
 
-    used = sinks.write_with_fallback(document, absent_store, lambda d: sinks.write_document(d, path))
-    assert used == "fallback" and tuples(spark.read.json(path)) == [(1,)]
+    class StoreError(Exception):
+        pass
+
+    def broken_store(df):
+        raise StoreError("no connection")
+
+    for store in (absent_store, broken_store):
+        used = sinks.write_with_fallback(document, store, lambda d: sinks.write_document(d, path))
+        assert used == "fallback" and used.cause is not None
+        assert tuples(files.read_document(spark, path, document.schema)) == [(1,)]
+    found = fallback.load_first(
+        spark, [("broken", lambda: broken_store(None)), ("files", lambda: document)]
+    )
+    assert found.first().source == "files"
     assert sinks.write_with_fallback(document, lambda d: None, absent_store) == "primary"
 
 
@@ -117,48 +129,80 @@ def test_snapshot_document(spark, rows):
     assert [(f.name, f.dataType.simpleString()) for f in found.schema] == [
         (f.name, f.dataType.simpleString()) for f in SNAPSHOT
     ]
-    document = found.first()
-    assert document.total_eventos == rows.count() and document.fuente == "test"
-    totals = {n: [e[-1] for e in document[n]] for n in (*snapshot.LISTS, "zona_riesgo")}
-    for name, listed in totals.items():
-        if name != "por_hora":
-            assert listed == sorted(listed, reverse=True), name
-    assert [e.hora for e in document.por_hora] == sorted(e.hora for e in document.por_hora)
+    entries = found.collect()
+    assert {e.total_eventos for e in entries} == {rows.count()} and {e.fuente for e in entries} == {"test"}
+    totals = {n: [e.total for e in entries if e.lista == n] for n in (*snapshot.LISTS, "zona_riesgo")}
     assert (len(totals["por_barrio"]), len(totals["por_lugar"]), len(totals["por_bien"])) == (15, 8, 10)
     for name in ("por_comuna", "por_turno", "por_modalidad", "por_arma", "por_hora", "zona_riesgo"):
-        assert sum(totals[name]) == document.total_eventos, name
+        assert sum(totals[name]) == rows.count(), name
 
 
 def test_snapshot_is_written_and_read_back(spark, rows):
     path = scratch_path(spark, "snap")
     made = written(snapshot.snapshot_doc(rows, "test"), "doc")
     sinks.write_document(made, path)
-    stored = files.read_snapshot(spark, path)
-    assert stored.first() == made.first()
-    assert files.snapshot_list(stored, "por_turno").columns == ["turno", "total"]
+    same(made, files.read_snapshot(spark, path))
+    assert files.snapshot_list(made, "por_turno").columns == ["clave", "zona", "total"]
+
+
+def test_readers_always_find_a_complete_version(spark, rows):
+    path = scratch_path(spark, "snap")
+    made = written(snapshot.snapshot_doc(rows, "test"), "doc")
+    for number in range(20):
+        sinks.write_document(made.withColumn("fuente", F.lit(str(number))), path)
+        reader = files.read_snapshot(spark, path)
+        assert {r.fuente for r in reader.select("fuente").distinct().collect()} == {str(number)}
+    assert sinks.versions(spark, path) == [18, 19]
+    # An unfinished version is not read.
+    Path(path.removeprefix("file:"), "version=20").mkdir()
+    assert sinks.newest_version(spark, path) == 19
 
 
 def test_snapshot_of_no_rows(spark):
-    document = snapshot.snapshot_doc(spark.createDataFrame([], CLEAN), "test").first()
-    assert document.total_eventos == 0 and document.por_comuna == []
-    assert [e.total for e in document.por_edad] == [0] * 6
+    document = snapshot.snapshot_doc(spark.createDataFrame([], CLEAN), "test").collect()
+    assert [(e.lista, e.total, e.total_eventos) for e in document] == [("por_edad", 0, 0)] * 6
+    log = snapshot.run_log(spark.createDataFrame([], CLEAN), "in", "out").collect()
+    assert [(e.mapa, e.total_registros) for e in log] == [(None, 0)]
 
 
-def test_too_long_lists_stay_a_table(spark, rows, monkeypatch):
-    monkeypatch.setattr(snapshot, "DOCUMENT_ENTRIES", 10)
-    with pytest.raises(snapshot.DocumentTooLarge, match="store sections"):
-        snapshot.snapshot_doc(rows, "test")
-    assert snapshot.sections(rows).count() > 10
+def test_lists_have_no_longest_length(spark, rows):
+    many = spark.range(200_000).select(F.concat(F.lit("a"), "id").alias("comuna"))
+    wide = many.unionByName(rows.limit(0), allowMissingColumns=True).select(rows.columns)
+    found = snapshot.snapshot_doc(wide, "test").where("lista = 'por_comuna'")
+    assert found.count() == 200_000
+    assert snapshot.run_log(wide, "in", "out").where("mapa = 'comunas'").count() == 200_000
 
 
 def test_run_log(spark, rows):
     found = snapshot.run_log(rows, "in", "out")
     assert found.columns == RUN_LOG.fieldNames()
-    log = found.first()
-    assert log.total_registros == rows.count() == sum(log.comunas.values())
-    assert sum(log.modalidades.values()) == log.total_registros
-    assert log.columnas == CLEAN.fieldNames() and log.archivo_salida == "out"
-    assert log.timestamp[10] == "T"
+    log = found.collect()
+    assert {e.total_registros for e in log} == {rows.count()}
+    for name in ("comunas", "modalidades"):
+        assert sum(e.total for e in log if e.mapa == name) == rows.count()
+    assert log[0].columnas == CLEAN.fieldNames() and log[0].archivo_salida == "out"
+    assert log[0].timestamp[10] == "T"
+
+
+def test_quoted_cells_and_outer_blanks_survive(spark, table):
+    path = scratch_path(spark, "cells")
+    cells = [('Bar "El Sol"; centro', " a ", "back\\slash"), ("b", "c", None)]
+    rows = table(cells, "x string, y string, z string")
+    sinks.write_delimited(rows, path, sep=";")
+    same(rows, files.read_raw(spark, path))
+
+
+def test_doubled_quotes_in_a_raw_cell(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text('lugar;modalidad\n"Bar ""El Sol""; centro";Atraco\n', encoding="utf-8-sig")
+    assert tuples(files.read_raw(spark, str(path))) == [('Bar "El Sol"; centro', "Atraco")]
+
+
+def test_another_header_order_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x;y\n1;2\n")
+    (tmp_path / "b.csv").write_text("y;x\n3;4\n5;6\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_raw(spark, str(tmp_path)).collect()
 
 
 def test_views_equal_their_single_queries(spark, rows):
@@ -224,7 +268,8 @@ def test_jobs_end_to_end(spark, tmp_path):
         spark, raw, at["table"], at["log"], csv_path=at["csv"], box=STANDIN_BOX
     )
     same(clean(raw_incidents(spark, SMALL), box=STANDIN_BOX), stored)
-    assert spark.read.json(at["log"]).first().total_registros == stored.count()
+    assert files.read_document(spark, at["log"], RUN_LOG).first().total_registros == stored.count()
+    same(stored, files.read_clean(spark, at["csv"], fmt="csv"))
 
     used = jobs.process_batch(
         spark, at["table"], "test", at["snap"], collection_path=at["store"]
@@ -234,7 +279,11 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert files.read_collection(spark, at["store"]).columns.count("rango_edad") == 1
 
     served = jobs.serve(spark, at["store"], at["csv"])
-    assert served["kpis"].first().total_hurtos == stored.count()
+    kpis = served["kpis"].first()
+    assert (kpis.total_hurtos, kpis.fuente) == (stored.count(), "store")
+    from_snapshot = jobs.serve(spark, at["store"], at["csv"], snapshot_path=at["snap"])
+    for name in facets.COUNT_VIEWS:
+        assert tuples(from_snapshot[name]) == tuples(served[name]), name
     from_csv = jobs.load_served(spark, "/tmp/no-such-store", at["csv"])
     assert {r.source for r in from_csv.select("source").distinct().collect()} == {"csv"}
 

@@ -37,7 +37,7 @@ def same(left, right):
 
 def test_spread_join_equals_plain_join(skewed, dimension):
     plain = skewed.join(dimension, "k", "left").select("k", "v", "name")
-    same(joins.spread_join(skewed, dimension, "k", spread=16).select("k", "v", "name"), plain)
+    same(joins.spread_join(skewed, dimension, "k", slice_rows=1000).select("k", "v", "name"), plain)
 
 
 def test_lookup_beyond_the_bound_equals_broadcast(skewed, dimension):
@@ -49,7 +49,7 @@ def test_lookup_beyond_the_bound_equals_broadcast(skewed, dimension):
 
 
 def test_hot_keys_are_found(skewed):
-    assert tuples(joins.hot_keys(skewed, "k", 0.1)) == [(7,)]
+    assert tuples(joins.hot_keys(skewed, "k", 3_000)) == [(7, 4)]
 
 
 def test_hot_key_is_spread_over_many_tasks(spark, skewed, dimension):
@@ -59,7 +59,7 @@ def test_hot_key_is_spread_over_many_tasks(spark, skewed, dimension):
     for name, value in large.items():
         spark.conf.set(name, value)
     try:
-        joined = joins.spread_join(skewed, dimension, "k", spread=16).where("k = 7")
+        joined = joins.spread_join(skewed, dimension, "k", slice_rows=1_000).where("k = 7")
         per_task = joined.groupBy(F.spark_partition_id()).count().select("count")
         rows = [r[0] for r in per_task.collect()]
     finally:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from conftest import tuples
@@ -90,7 +91,8 @@ def test_etl_stores_what_batch_computes_and_replays_add_nothing(spark):
         stream = stream_of(spark, MESSAGE, source, files_per_trigger=1)
         jobs.finish(
             jobs.stream_etl(
-                stream, store, checkpoint, replay=True, report=seen.__setitem__
+                stream, store, checkpoint, replay=True,
+                report=lambda number, good, bad: seen.__setitem__(number, (good, bad)),
             ), 300,
         )
         return spark.read.parquet(store).drop("procesado_en", "batch_id")
@@ -98,12 +100,15 @@ def test_etl_stores_what_batch_computes_and_replays_add_nothing(spark):
     checkpoint = scratch_path(spark, "cp")
     first = run(checkpoint)
     batch = jobs.stream_events(sent).drop("procesado_en")
-    assert first.count() == batch.count() == sum(seen.values())
+    assert first.count() == batch.count() == sum(good for good, _ in seen.values())
+    aside = spark.read.parquet(f"{store}-quarantine")
+    assert aside.count() == sum(bad for _, bad in seen.values()) > 0
+    assert first.count() + aside.count() == sent.count()
     assert len(seen) == 4
     assert first.select(batch.columns).exceptAll(batch).isEmpty()
-    assert [(n, t) for n, t in spark.read.parquet(store).drop("batch_id").dtypes] == [
+    assert sorted(spark.read.parquet(store).drop("batch_id").dtypes) == sorted(
         (f.name, f.dataType.simpleString()) for f in STREAM_STORE
-    ]
+    )
     # The same input again, from the start: the same folders are written.
     assert run(scratch_path(spark, "cp")).count() == batch.count()
     # The same checkpoint: nothing is new.
@@ -114,10 +119,9 @@ def test_etl_stores_what_batch_computes_and_replays_add_nothing(spark):
 def test_empty_batch_is_not_written(spark):
     store = scratch_path(spark, "out")
     reports = []
-    jobs.batch_writer(store, lambda *r: reports.append(r))(spark.range(0), 0)
-    assert not reports
-    jobs.batch_writer(store, lambda *r: reports.append(r))(spark.range(5), 1)
-    assert reports == [(1, 5)]
+    nothing = quality.with_rejection(events.parse_events(standins.event_messages(standins.table(spark, SMALL, "events")))).limit(0)
+    jobs.batch_writer(store, report=lambda *r: reports.append(r))(nothing, 0)
+    assert not reports and not Path(store.removeprefix("file:")).exists()
 
 
 def test_late_events_are_left_out_of_final_hours(spark):
@@ -162,7 +166,7 @@ def test_running_risk_equals_batch_risk(spark):
         jobs.stream_risk(stream, out, scratch_path(spark, "cp"), key="comuna", replay=True), 300
     )
     batch = risk_zones(rows.groupBy("comuna").agg(F.count("*").alias("total")), "comuna")
-    assert sorted(tuples(spark.read.parquet(out))) == sorted(tuples(batch))
+    assert sorted(tuples(jobs.read_zones(spark, out))) == sorted(tuples(batch))
 
 
 def test_cleaning_a_stream_equals_cleaning_a_batch(spark):
