@@ -10,8 +10,9 @@ nearest ancestor directory: directories are joined with the license files
 level by level upwards.
 
 Everything here is DataFrame code. Stop words have no weight. A unit that shares
-no other term with any template has cosine 0 with all of them, so it is dropped
-before its terms are counted.
+no other term with any template has cosine 0 with all of them, and one with
+many other terms cannot reach the threshold; both are dropped before their
+terms are counted, without loss.
 """
 
 from __future__ import annotations
@@ -125,6 +126,20 @@ def _unit_terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(_TERM), 0)
 
 
+def _within_reach(terms: Column, known: Column, stop: Column, threshold: float) -> Column:
+    """Can a unit with these terms reach the threshold?
+
+    With weights K of its template terms and U of the others (sums of squares),
+    no cosine is above sqrt(K / (K + U)). Each other term adds at least the
+    square of the largest rarity to U, and K is at most that square times the
+    square of the number of template terms, repeats included.
+    """
+    inside = F.size(F.filter(terms, lambda t: F.array_contains(known, t))).cast("double")
+    outside = F.size(F.array_except(terms, F.concat(known, stop)))
+    least = (threshold - 1e-6) ** 2
+    return (inside > 0) & (outside * least <= inside * inside * (1 - least))
+
+
 def own_licenses(
     files: DataFrame,
     path: str = "path",
@@ -150,7 +165,7 @@ def own_licenses(
     units = (
         near.select("path", F.explode(lines).alias("unit"))
         .select("path", F.xxhash64("unit").alias("unit"), _unit_terms(F.col("unit")).alias("terms"))
-        .where(F.arrays_overlap("terms", known))
+        .where(_within_reach(F.col("terms"), known, stop, threshold))
     )
     counted = (
         units.select("path", "unit", F.explode("terms").alias("term"))
