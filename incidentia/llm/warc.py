@@ -2,8 +2,8 @@
 
 Writing: payloads are grouped by digest; of equal ones that with the largest
 id becomes a response record, the others revisit records that refer to it. The
-records are written as they are, one after the other, into archives of a
-bounded number of records.
+records are written as they are, one after the other, into gzip archives of a
+bounded number of records; offsets count uncompressed bytes.
 
 Reading: each archive is parsed record by record, which gives one index row
 per capture, sorted by URL key and time: a run. The runs meet in ranges of
@@ -14,6 +14,7 @@ by time like any other range.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from base64 import b32encode
 from collections.abc import Iterator
@@ -160,7 +161,7 @@ def write_archives(
     writer = rows.select(_record(target).alias("record")).write
     # Each record ends with these two line ends, so the text writer sets them.
     writer.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", records).option(
-        "compression", "none"
+        "compression", "gzip"
     ).text(path)
 
 
@@ -231,7 +232,7 @@ def runs(spark, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch["archive"].to_pylist(), batch["content"]):
-                data = content.as_buffer().to_pybytes()
+                data = gzip.decompress(content.as_buffer().to_pybytes())
                 yield _batch(sorted((_capture(name, *r) for r in records(data)), key=order))
 
     return files.mapInArrow(run, INDEX)
