@@ -32,6 +32,8 @@ from incidentia.session import scratch_path, written
 SIZE = 2048
 END = 0
 SHARD_RECORDS = 4096
+# Records that a task holds at a time.
+BATCH_RECORDS = 256
 KEY = 20_240_229
 ROUNDS = 6
 
@@ -108,6 +110,8 @@ def _tokenised(docs: DataFrame, tokenizer: str, doc_id: str, text: str) -> DataF
                     }
                 )
                 at += int(n.sum())
+            # The worker lives on; what encoding took goes back to the machine.
+            pa.default_memory_pool().release_unused()
 
     rows = docs.select(
         F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")
@@ -206,14 +210,15 @@ def write_shards(
             return data + bytes(2 * room - len(data))
 
         for batch in batches:
-            out = []
-            for slot, ids in zip(batch["slot"].to_pylist(), batch["ids"].to_pylist()):
-                if slot != now and held:
-                    out.append(record())
-                    held = []
-                now = slot
-                held.append(ids)
-            yield pa.record_batch({"record": pa.array(out, pa.binary())})
+            for begin in range(0, batch.num_rows, BATCH_RECORDS):
+                rows, out = batch.slice(begin, BATCH_RECORDS), []
+                for slot, ids in zip(rows["slot"].to_pylist(), rows["ids"].to_pylist()):
+                    if slot != now and held:
+                        out.append(record())
+                        held = []
+                    now = slot
+                    held.append(ids)
+                yield pa.record_batch({"record": pa.array(out, pa.binary())})
         if held:
             yield pa.record_batch({"record": pa.array([record()], pa.binary())})
 
@@ -230,10 +235,10 @@ def write_shards(
     return shards
 
 
-def read_shards(spark, shards: Shards) -> DataFrame:
-    """(slot, shard, byte_offset, ids_crc32, ids) of every record, read from the files."""
+def read_shards(spark, shards: Shards, *, with_ids: bool = True) -> DataFrame:
+    """(slot, shard, byte_offset, ids_crc32[, ids]) of every record, read from the files."""
     stride, records = shards.stride, shards.records
-    schema = "slot bigint, shard int, byte_offset bigint, ids_crc32 bigint, ids binary"
+    schema = "slot bigint, shard int, byte_offset bigint, ids_crc32 bigint" + ", ids binary" * with_ids
     if not shards.count:
         return spark.createDataFrame([], schema)
     shard = F.regexp_extract(F.element_at(F.split("path", "/"), -1), r"^part-(\d+)", 1).cast("int")
@@ -241,18 +246,20 @@ def read_shards(spark, shards: Shards) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for number, content in zip(batch["shard"].to_pylist(), batch["content"]):
-            data = content.as_buffer().to_pybytes()
-            at = range(0, len(data), stride)
-            cut = [data[a : a + stride] for a in at]
-            yield pa.record_batch(
-                {
-                    "slot": pa.array([number * records + i for i in range(len(cut))], pa.int64()),
+            data = memoryview(content.as_buffer())
+            for begin in range(0, len(data), BATCH_RECORDS * stride):
+                at = range(begin, min(len(data), begin + BATCH_RECORDS * stride), stride)
+                cut = [data[a : a + stride] for a in at]
+                slots = [number * records + a // stride for a in at]
+                columns = {
+                    "slot": pa.array(slots, pa.int64()),
                     "shard": pa.array([number] * len(cut), pa.int32()),
                     "byte_offset": pa.array(at, pa.int64()),
                     "ids_crc32": pa.array([zlib.crc32(c) for c in cut], pa.int64()),
-                    "ids": pa.array(cut, pa.binary()),
                 }
-            )
+                if with_ids:
+                    columns["ids"] = pa.array([c.tobytes() for c in cut], pa.binary())
+                yield pa.record_batch(columns)
 
     return arrow_rows(files.select(shard.alias("shard"), "content"), run, schema)
 
@@ -268,7 +275,7 @@ def materialise(docs: DataFrame, tokenizer: str, **options) -> DataFrame:
             F.array_sort(F.collect_list(F.struct("offset", "doc_id"))), lambda s: s["doc_id"]
         ).alias("doc_ids")
     )
-    stored = read_shards(spark, shards).drop("ids")
+    stored = read_shards(spark, shards, with_ids=False)
     return stored.join(held, "slot").select(
         "slot", "shard", "byte_offset", "sequence", "ids_crc32", "doc_ids"
     )
