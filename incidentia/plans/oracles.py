@@ -439,6 +439,22 @@ ORACLES = {
     ),
     "ingest_job": _sql("clean", f"SELECT {_CLEAN_COLUMNS} FROM clean"),
     "served_from_csv": _sql("clean", "SELECT count(*) AS total_hurtos, 'csv' AS fuente FROM clean"),
+    "incidents_union": _sql(
+        "clean judged",
+        f"""SELECT origen, modalidad, hora, count(*) AS total, count(edad) AS con_edad, sum(edad) AS edades
+            FROM (SELECT 'batch' AS origen, modalidad, hora, edad FROM clean UNION ALL
+                  SELECT 'stream', modalidad, CAST(hour({_parsed('fecha_hecho')}) AS INTEGER),
+                  CAST(edad AS DOUBLE) FROM judged WHERE motivo IS NULL) GROUP BY ALL""",
+    ),
+    "served_job": _sql(
+        "clean judged",
+        # The hour range of the page, 0 to 23 at first, leaves out rows without an hour.
+        f"""SELECT modalidad AS clave, count(*) AS total FROM (SELECT modalidad FROM clean UNION ALL
+            SELECT modalidad FROM judged WHERE motivo IS NULL AND {_parsed('fecha_hecho')} IS NOT NULL)
+            GROUP BY 1
+            UNION ALL SELECT 'store+stream', (SELECT count(*) FROM clean) + (SELECT count(*) FROM judged
+                WHERE motivo IS NULL AND {_parsed('fecha_hecho')} IS NOT NULL)""",
+    ),
     "stream_quarantine": _sql(
         "judged",
         """SELECT CASE WHEN NOT broken THEN event_id END AS event_id,

@@ -145,14 +145,20 @@ def multi_dim_counts(spark, sf_dir):
 
 @query
 def kpis(spark, sf_dir):
-    return counts.kpis(standins.incidents_in_areas(spark, sf_dir))
+    """Areas are counted per user before they are looked up."""
+    areas = _area_counts(spark, sf_dir).select(
+        F.lit("comuna").alias("dimension"), F.col("comuna").alias("value"), "total"
+    )
+    keys = ["turno_dia", "bien_hurtado"]
+    others = counts.multi_dim_counts(standins.incidents(spark, sf_dir), keys, with_all=True)
+    return counts.modes_of(others.unionByName(areas), counts.KPI_NAMES, total_as="total_hurtos")
 
 
 @query
 def ingest_summary(spark, sf_dir):
-    return counts.summary(
-        standins.incidents_in_areas(spark, sf_dir), distinct=("comuna", "bien_hurtado")
-    )
+    found = counts.summary(standins.incidents(spark, sf_dir), distinct=("bien_hurtado",))
+    areas = _area_counts(spark, sf_dir).agg(F.count("comuna")).scalar()
+    return found.withColumn("comuna_distintos", areas)
 
 
 # ---- Risk, trend, concentration ----------------------------------------------
@@ -175,7 +181,8 @@ def risk_rows(spark, sf_dir):
 
 @query
 def risk_table(spark, sf_dir):
-    return risk.risk_table(_zoned(spark, sf_dir))
+    """All events of an area are in one zone, so the counts per area are enough."""
+    return risk.captioned(risk.risk_zones(_area_counts(spark, sf_dir), "comuna"))
 
 
 @query
@@ -449,6 +456,39 @@ def served_from_csv(spark, sf_dir):
     return served["kpis"].select("total_hurtos", "fuente")
 
 
+def _batch_and_stream(spark, sf_dir):
+    """The collection of the batch job and the store of the stream; the paths."""
+    table_path, _ = _ingested(spark, sf_dir)
+    store, streamed = scratch_path(spark, "collection"), scratch_path(spark, "stream-events")
+    pipeline.process_batch(
+        spark, table_path, SOURCE_LABEL, scratch_path(spark, "snapshot"), collection_path=store
+    )
+    sent = standins.event_messages(standins.event_stream(spark, sf_dir))
+    jobs.finish(jobs.stream_etl(sent, streamed, scratch_path(spark, "checkpoint"), replay=True))
+    return store, streamed
+
+
+@query
+def incidents_union(spark, sf_dir):
+    """Batch and stream events under one schema."""
+    rows = files.read_incidents(spark, *_batch_and_stream(spark, sf_dir))
+    return rows.groupBy("origen", "modalidad", "hora").agg(
+        F.count("*").alias("total"), F.count("edad").alias("con_edad"), F.sum("edad").alias("edades")
+    )
+
+
+@query
+def served_job(spark, sf_dir):
+    """The views that the job serves over batch and stream, and the KPIs' source."""
+    store, streamed = _batch_and_stream(spark, sf_dir)
+    served = pipeline.serve(
+        spark, store, scratch_path(spark, "absent"), stream_path=streamed, box=STANDIN_BOX
+    )
+    listed = served["modalidades"].toDF("clave", "total")
+    label = served["kpis"].select(F.col("fuente").alias("clave"), F.col("total_hurtos").alias("total"))
+    return listed.unionByName(label)
+
+
 # ---- Events ---------------------------------------------------------------------
 
 
