@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from incidentia.llm.tokens import WordEncoder, slices
+from incidentia.llm.tokens import ENCODE_BYTES, WordEncoder, slices
 from incidentia.session import written
 
 SIZE = 2048
@@ -244,7 +244,7 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str, text: str, size: int =
         encoder, part = WordEncoder(tokenizer), TaskContext.get().partitionId()
         ranks = [0] * (size + 1)
         for batch in batches:
-            for rows in slices(batch):
+            for rows in slices(batch, most=ENCODE_BYTES):
                 ids, edges = encoder.encode(rows["text"])
                 made: list[tuple] = []
                 for i, number in enumerate(rows["doc_id"].to_pylist()):

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from incidentia.llm.common import arrow_rows
-from incidentia.llm.tokens import WordEncoder, slices
+from incidentia.llm.tokens import ENCODE_BYTES, WordEncoder, slices
 from incidentia.session import scratch_path, written
 
 SIZE = 2048
@@ -93,7 +93,7 @@ def _tokenised(docs: DataFrame, tokenizer: str, doc_id: str, text: str) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, at = WordEncoder(tokenizer), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for rows in slices(batch):
+            for rows in slices(batch, most=ENCODE_BYTES):
                 ids, edges = encoder.encode(rows["text"])
                 own = [
                     np.append(ids[a:b], np.uint32(END)).astype("<u2")
