@@ -14,7 +14,6 @@ filled up with end ids.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +24,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from incidentia.llm.common import arrow_rows
 from incidentia.llm.tokens import ENCODE_BYTES, WordEncoder, slices
 from incidentia.session import scratch_path, written
 
@@ -237,31 +235,28 @@ def write_shards(
 
 def read_shards(spark, shards: Shards, *, with_ids: bool = True) -> DataFrame:
     """(slot, shard, byte_offset, ids_crc32[, ids]) of every record, read from the files."""
-    stride, records = shards.stride, shards.records
-    schema = "slot bigint, shard int, byte_offset bigint, ids_crc32 bigint" + ", ids binary" * with_ids
+    stride = shards.stride
     if not shards.count:
-        return spark.createDataFrame([], schema)
-    shard = F.regexp_extract(F.element_at(F.split("path", "/"), -1), r"^part-(\d+)", 1).cast("int")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(shards.path)
-
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for number, content in zip(batch["shard"].to_pylist(), batch["content"]):
-            data = memoryview(content.as_buffer())
-            for begin in range(0, len(data), BATCH_RECORDS * stride):
-                at = range(begin, min(len(data), begin + BATCH_RECORDS * stride), stride)
-                cut = [data[a : a + stride] for a in at]
-                slots = [number * records + a // stride for a in at]
-                columns = {
-                    "slot": pa.array(slots, pa.int64()),
-                    "shard": pa.array([number] * len(cut), pa.int32()),
-                    "byte_offset": pa.array(at, pa.int64()),
-                    "ids_crc32": pa.array([zlib.crc32(c) for c in cut], pa.int64()),
-                }
-                if with_ids:
-                    columns["ids"] = pa.array([c.tobytes() for c in cut], pa.binary())
-                yield pa.record_batch(columns)
-
-    return arrow_rows(files.select(shard.alias("shard"), "content"), run, schema)
+        schema = "slot bigint, shard int, byte_offset bigint, ids_crc32 bigint"
+        return spark.createDataFrame([], schema + ", ids binary" * with_ids)
+    name = F.regexp_extract(F.element_at(F.split("path", "/"), -1), r"^part-(\d+)", 1)
+    # A file is a whole number of records; they are cut out of it one by one.
+    at = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - stride, F.lit(stride).cast("bigint")))
+    records = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "part-*")
+        .load(shards.path)
+        .where(F.col("length") > 0)
+        .select(name.cast("int").alias("shard"), "content", at.alias("byte_offset"))
+        .withColumn("ids", F.substring("content", (F.col("byte_offset") + 1).cast("int"), F.lit(stride)))
+    )
+    return records.select(
+        (F.col("shard").cast("bigint") * shards.records + F.floor(F.col("byte_offset") / stride)).alias("slot"),
+        "shard",
+        "byte_offset",
+        F.crc32("ids").alias("ids_crc32"),
+        *["ids"] * with_ids,
+    )
 
 
 def materialise(docs: DataFrame, tokenizer: str, **options) -> DataFrame:
