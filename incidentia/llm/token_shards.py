@@ -18,12 +18,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from incidentia.llm.common import arrow_rows
 from incidentia.llm.tokens import ENCODE_BYTES, WordEncoder, slices
 from incidentia.session import scratch_path, written
 
@@ -32,6 +33,9 @@ END = 0
 SHARD_RECORDS = 4096
 # Records that a task holds at a time.
 BATCH_RECORDS = 256
+# Ids are kept and shuffled as zstd frames of this level.
+PACK_LEVEL = 3
+SPAN = "slot bigint, sequence bigint, offset int, doc_id bigint, start bigint, length bigint"
 KEY = 20_240_229
 ROUNDS = 6
 
@@ -86,10 +90,11 @@ class Permutation:
 
 def _tokenised(docs: DataFrame, tokenizer: str, doc_id: str, text: str) -> DataFrame:
     """(doc_id, part, at, n, ids): ids of each row and its place in the stream
-    of the task ``part``. To be written once before use."""
+    of the task ``part``; ``ids`` is compressed. To be written once before use."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, at = WordEncoder(tokenizer), TaskContext.get().partitionId(), 0
+        pack = zstandard.ZstdCompressor(PACK_LEVEL)
         for batch in batches:
             for rows in slices(batch, most=ENCODE_BYTES):
                 ids, edges = encoder.encode(rows["text"])
@@ -104,7 +109,7 @@ def _tokenised(docs: DataFrame, tokenizer: str, doc_id: str, text: str) -> DataF
                         "part": pa.array(np.full(len(own), part, np.int32)),
                         "at": pa.array(at + np.cumsum(n) - n),
                         "n": pa.array(n),
-                        "ids": pa.array([o.tobytes() for o in own], pa.binary()),
+                        "ids": pa.array([pack.compress(o.tobytes()) for o in own], pa.binary()),
                     }
                 )
                 at += int(n.sum())
@@ -117,39 +122,48 @@ def _tokenised(docs: DataFrame, tokenizer: str, doc_id: str, text: str) -> DataF
     return rows.mapInArrow(run, "doc_id bigint, part int, at bigint, n bigint, ids binary")
 
 
-def _spans(tokenised: DataFrame, room: int, permutation: Permutation, bases: DataFrame) -> DataFrame:
-    """(slot, sequence, offset, doc_id, start, length, ids): the documents cut at the sequences."""
-
-    @F.pandas_udf("bigint")
-    def slot_of(sequence: pd.Series) -> pd.Series:
-        return pd.Series(permutation.slot(sequence.to_numpy()))
-
-    begin = F.col("base") + F.col("at")
-    cut = (
-        tokenised.join(bases, "part")
-        .withColumn("begin", begin)
-        .withColumn(
-            "sequence",
-            F.explode(
-                F.sequence(
-                    F.floor(F.col("begin") / room), F.floor((F.col("begin") + F.col("n") - 1) / room)
-                )
-            ),
+def _spans(
+    tokenised: DataFrame, room: int, permutation: Permutation, bases: DataFrame, *, with_ids: bool
+) -> DataFrame:
+    """(slot, sequence, offset, doc_id, start, length[, ids]): the documents cut at the
+    sequences; ``ids`` is compressed."""
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        begin, n = (batch[c].to_numpy() for c in ("begin", "n"))
+        first = begin // room
+        many = (begin + n - 1) // room - first + 1
+        row = np.repeat(np.arange(len(n)), many)
+        sequence = first[row] + np.arange(len(row)) - (np.cumsum(many) - many)[row]
+        low = np.maximum(begin[row], sequence * room)
+        high = np.minimum((begin + n)[row], (sequence + 1) * room)
+        start, length = low - begin[row], high - low
+        spans = pa.record_batch(
+            {
+                "slot": pa.array(permutation.slot(sequence)),
+                "sequence": pa.array(sequence),
+                "offset": pa.array((low - sequence * room).astype(np.int32)),
+                "doc_id": batch["doc_id"].take(pa.array(row)),
+                "start": pa.array(start),
+                "length": pa.array(length),
+            }
         )
-        .withColumn("low", F.greatest("begin", F.col("sequence") * room))
-        .withColumn("high", F.least(F.col("begin") + F.col("n"), (F.col("sequence") + 1) * room))
-    )
-    start, length = F.col("low") - F.col("begin"), F.col("high") - F.col("low")
-    ids = F.substring("ids", (start * 2 + 1).cast("int"), (length * 2).cast("int"))
-    return cut.select(
-        slot_of("sequence").alias("slot"),
-        "sequence",
-        (F.col("low") - F.col("sequence") * room).cast("int").alias("offset"),
-        "doc_id",
-        start.alias("start"),
-        length.alias("length"),
-        ids.alias("ids"),
+        if not with_ids:
+            yield spans
+            return
+        pack, unpack = zstandard.ZstdCompressor(PACK_LEVEL), zstandard.ZstdDecompressor()
+        now, ids = -1, b""
+        for at in range(0, len(row), BATCH_RECORDS):
+            part, cells = spans.slice(at, BATCH_RECORDS), []
+            for i in range(at, at + part.num_rows):
+                if row[i] != now:
+                    now, ids = row[i], unpack.decompress(batch["ids"][row[i]].as_py())
+                cells.append(pack.compress(ids[2 * start[i] : 2 * (start[i] + length[i])]))
+            yield part.append_column("ids", pa.array(cells, pa.binary()))
+
+    placed = tokenised.join(bases, "part").select(
+        "doc_id", (F.col("base") + F.col("at")).alias("begin"), "n", *["ids"] * with_ids
     )
+    return arrow_rows(placed, run, SPAN + ", ids binary" * with_ids)
 
 
 @dataclass(frozen=True)
@@ -194,13 +208,13 @@ def write_shards(
     total = parts.agg(F.sum("tokens")).first()[0] or 0
     count = -(-total // room)
     permutation = Permutation(count, key)
-    spans = _spans(tokenised, room, permutation, bases)
-    shards = Shards(path, records, size, count, permutation, spans.drop("ids"))
+    spans = _spans(tokenised, room, permutation, bases, with_ids=False)
+    shards = Shards(path, records, size, count, permutation, spans)
     if not count:
         return shards
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
+        now, held, unpack = None, [], zstandard.ZstdDecompressor()
 
         def record() -> str:
             data = b"".join(held)
@@ -215,13 +229,14 @@ def write_shards(
                         out.append(record())
                         held = []
                     now = slot
-                    held.append(ids)
+                    held.append(unpack.decompress(ids))
                 yield pa.record_batch({"record": pa.array(out, pa.binary())})
         if held:
             yield pa.record_batch({"record": pa.array([record()], pa.binary())})
 
     (
-        spans.select("slot", "offset", "ids")
+        _spans(tokenised, room, permutation, bases, with_ids=True)
+        .select("slot", "offset", "ids")
         .repartitionById(-(-count // records), F.floor(F.col("slot") / records).cast("int"))
         .sortWithinPartitions("slot", "offset")
         .mapInArrow(assemble, "record binary")
