@@ -9,8 +9,9 @@ from incidentia.functions.dates import parse_event_time, shift_of, time_parts
 from incidentia.functions.geo import CITY_BOX, Box, repaired_pair, scaled
 from incidentia.functions.values import missing_to_null, to_code, to_number, without_sentinel
 from incidentia.operators.joins import lookup
-from incidentia.operators.risk import risk_rows, zones_of
+from incidentia.operators.risk import risk_rows, risk_zones
 from incidentia.schemas import CLEAN, RENAMES, SENTINEL_COLUMNS, UNKNOWN_AREA
+from incidentia.session import written
 from incidentia.sources.dimension import area_dimension
 
 
@@ -80,31 +81,57 @@ def project_clean(rows: DataFrame) -> DataFrame:
     return renamed.select([c for c in CLEAN.fieldNames() if c in renamed.columns])
 
 
-def valid_rows(raw: DataFrame) -> DataFrame:
-    """Normalised raw rows whose time parses, with that time."""
-    normal = normalise_sentinels(normalise_missing(raw))
+def normalised(raw: DataFrame) -> DataFrame:
+    return normalise_sentinels(normalise_missing(raw))
+
+
+def valid_rows(normal: DataFrame) -> DataFrame:
+    """Normalised rows whose time parses, with that time."""
     return with_event_time(normal).where(F.col("fecha_dt").isNotNull())
 
 
+def copies(raw: DataFrame) -> DataFrame:
+    """Normalised raw rows, equal ones once, with their number in ``_n``.
+
+    Copies are counted in each task before the shuffle. Zones, counters and
+    unique rows all follow from this table; ``written`` keeps it, so the raw
+    source is read and shuffled once for all of them.
+    """
+    normal = normalised(raw)
+    return normal.groupBy(*normal.columns).agg(F.count("*").alias("_n"))
+
+
 def derive(rows: DataFrame, box: Box = CITY_BOX) -> DataFrame:
     """Row-by-row part of cleaning; also runs on a stream."""
     return with_coordinates(with_area(with_time_parts(rows)), box)
 
 
-def clean(raw: DataFrame, *, box: Box = CITY_BOX, dedupe_first: bool = False) -> DataFrame:
-    """The whole cleaning.
+def clean_copies(
+    counted: DataFrame, *, box: Box = CITY_BOX, dedupe_first: bool = False
+) -> DataFrame:
+    """The cleaning of the rows that ``copies`` counted; reads them twice.
 
     Zones come from the counts before duplicates are dropped, or from those
-    after it with ``dedupe_first``. Derived columns follow from the raw ones,
-    so duplicates are dropped on the raw columns and derived afterwards.
+    after it with ``dedupe_first``. Areas are looked up once per code.
+    """
+    valid = valid_rows(counted)
+    weight = F.lit(1) if dedupe_first else F.col("_n")
+    by_code = valid.groupBy("codigo_comuna").agg(F.sum(weight).alias("total"))
+    by_area = with_area(by_code).groupBy("comuna").agg(F.sum("total").alias("total"))
+    zones = risk_zones(by_area, "comuna").select("comuna", "zona_riesgo")
+    return project_clean(risk_rows(derive(valid.drop("_n"), box), "comuna", zones))
+
+
+def clean(raw: DataFrame, *, box: Box = CITY_BOX, dedupe_first: bool = False) -> DataFrame:
+    """The whole cleaning; see ``clean_copies``.
+
+    Derived columns follow from the raw ones, so duplicates are dropped on the
+    raw columns and derived afterwards.
     """
-    valid = valid_rows(raw)
-    unique = dedupe(valid)
-    counted = unique if dedupe_first else valid
-    zones = zones_of(with_area(counted.select("codigo_comuna")), "comuna")
-    return project_clean(risk_rows(derive(unique, box), "comuna", zones))
+    counted = written(copies(raw), "copies")
+    return clean_copies(counted, box=box, dedupe_first=dedupe_first)
 
 
 def clean_stream(raw: DataFrame, *, box: Box = CITY_BOX) -> DataFrame:
     """Cleaning without the two steps that need the whole table (zones, duplicates)."""
-    return project_clean(derive(valid_rows(raw), box))
+    return project_clean(derive(valid_rows(normalised(raw)), box))

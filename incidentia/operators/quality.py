@@ -7,19 +7,21 @@ from pyspark.sql import functions as F
 
 from incidentia.functions.dates import hour_from_text, parse_event_time
 from incidentia.functions.geo import CITY_BOX, Box, scaled
-from incidentia.operators.clean import normalise_missing, normalise_sentinels
+from incidentia.operators.clean import copies
 
 
 def dq_report(raw: DataFrame, box: Box = CITY_BOX) -> DataFrame:
-    """One row of counters for cleaning ``raw``.
+    """One row of counters for cleaning ``raw``."""
+    return dq_of_copies(copies(raw), box)
 
-    Equal rows are counted first; every counter is then a sum over distinct
-    rows, so one shuffle serves all of them. Coordinates count as bad if the
+
+def dq_of_copies(counted: DataFrame, box: Box = CITY_BOX) -> DataFrame:
+    """The counters from the rows that ``copies`` counted.
+
+    Every counter is a sum over distinct rows. Coordinates count as bad if the
     pair is outside the box and its latitude is a number.
     """
-    normal = normalise_sentinels(normalise_missing(raw))
-    copies = normal.groupBy(*normal.columns).agg(F.count("*").alias("_n"))
-    checked = copies.select(
+    checked = counted.select(
         "_n",
         parse_event_time(F.col("fecha_hecho")).isNotNull().alias("dated"),
         scaled(F.col("latitud")).alias("lat"),

@@ -10,10 +10,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from incidentia.functions.geo import CITY_BOX, Box
 from incidentia.operators import snapshot
-from incidentia.operators.clean import clean
+from incidentia.operators.clean import clean_copies, copies
 from incidentia.operators.facets import COUNT_VIEWS, FilterSpec, served_counts, views
-from incidentia.operators.quality import dq_report
+from incidentia.operators.quality import dq_of_copies
 from incidentia.schemas import CLEAN
+from incidentia.session import written
 from incidentia.sinks.tables import (
     newest_version,
     overwrite_table,
@@ -53,13 +54,14 @@ def ingest(
     """Raw file to clean table and run log; a CSV copy and the quality counters
     on request. Returns the table."""
     raw = read_raw(spark, raw_path, sep=sep, multi_line=multi_line)
-    rows = clean(raw, box=box, dedupe_first=dedupe_first)
+    counted = written(copies(raw), "copies")
+    rows = clean_copies(counted, box=box, dedupe_first=dedupe_first)
     write_clean_table(rows, table_path)
     stored = read_clean(spark, table_path)
     if csv_path is not None:
         write_delimited(stored, csv_path)
     if quality_path is not None:
-        write_document(dq_report(raw, box), quality_path)
+        write_document(dq_of_copies(counted, box), quality_path)
     write_document(snapshot.run_log(stored, raw_path, table_path), log_path)
     return stored
 

@@ -36,9 +36,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         context = spark.sparkContext
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = _local_scratch.setdefault(
-            context.applicationId, tempfile.mkdtemp(prefix="incidentia-")
-        )
+        base = _local_scratch.get(context.applicationId)
+        if base is None:
+            base = _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="incidentia-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

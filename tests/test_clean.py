@@ -5,8 +5,9 @@ from conftest import tuples
 from pyspark.sql import functions as F
 
 from incidentia.operators import clean as cleaning
-from incidentia.operators.quality import dq_report
+from incidentia.operators.quality import dq_of_copies, dq_report
 from incidentia.schemas import CLEAN, RAW
+from incidentia.session import written
 
 GOOD = dict(
     fecha_hecho="05/03/2019 07:05", codigo_comuna="10", nombre_barrio="Prado",
@@ -121,3 +122,15 @@ def test_cleaning_twice_changes_nothing(raw):
     once = cleaning.normalise_sentinels(cleaning.normalise_missing(raw({}, {"edad": "NA"})))
     again = cleaning.normalise_sentinels(cleaning.normalise_missing(once))
     assert sorted(tuples(once), key=str) == sorted(tuples(again), key=str)
+
+
+def test_zones_counters_and_rows_read_the_stored_copies_only(raw, tmp_path):
+    path = str(tmp_path / "raw")
+    raw({}, {}, {"fecha_hecho": "bad"}).write.parquet(path)
+    source = raw({}).sparkSession.read.parquet(path)
+    counted = written(cleaning.copies(source), "copies")
+    rows, counters = cleaning.clean_copies(counted), dq_of_copies(counted)
+    for result in (rows, counters):
+        assert not [f for f in result.inputFiles() if str(tmp_path) in f]
+    assert rows.count() == 1
+    assert tuples(counters) == [(3, 1, 0, 1, 1)]
