@@ -1,16 +1,21 @@
 """Removal of repeated passages by content-defined chunks of lines.
 
-1. A text is cut into lines. A line of ``PARAGRAPH_WORDS`` words or more is a
-   paragraph and is cut further after the ends of its sentences, so a passage
-   that sits in one physical line is several lines, too.
-2. A hash rolls over the hashes of the last ``WINDOW`` lines; where it falls on
-   one value out of ``DIVISOR``, a chunk ends. Both edges of a paragraph end
-   chunks as well. The places depend on nearby lines only, so text that is
-   inserted elsewhere does not shift them.
+1. A text is cut into lines; blank lines belong to the line before them. A line
+   of ``PARAGRAPH_WORDS`` words or more with several sentences is a paragraph:
+   it is a block by itself, and its sentences are the lines of that block. So is
+   a line of more than ``LONE_LINE_WORDS`` words. Other lines that follow each
+   other are one block.
+2. In each block a hash rolls over the hashes of the last ``WINDOW`` lines; where
+   it falls on one value out of ``DIVISOR`` and the lines so far can be counted,
+   a chunk ends. What is left at the end and too short joins the chunk before it.
+   No place depends on another block.
 3. Chunks of at least two lines and ``CHUNK_WORDS`` words (or of one line of
-   ``LONE_LINE_WORDS``) are counted over all documents, grouped by their bytes.
-4. The first occurrence of a chunk stays (smallest document id, then first
-   place); the others go. All other text stays byte for byte.
+   more than ``LONE_LINE_WORDS``) are counted over all documents, grouped by
+   their bytes; so are neighbouring whole lines, two by two where they have
+   ``PARAGRAPH_WORDS`` words together, as a passage may begin and end anywhere
+   among them.
+4. The first occurrence of a chunk or pair stays (smallest document id, then
+   first place); the others go. All other text stays byte for byte.
 """
 
 from __future__ import annotations
@@ -38,49 +43,79 @@ MASK = (1 << 64) - 1
 LEAVES = pow(BASE, WINDOW, 1 << 64)
 
 _SENTENCE = re.compile(rb"[.!?]+[ \t]+")
+_BREAK = re.compile(rb"\n(?:[ \t\r]*\n)*")
 
+# (start, end, words)
+Line = tuple[int, int, int]
 
-def _lines(text: bytes) -> Iterator[tuple[int, int, bool, bool]]:
-    """(start, end, opens, closes) of each line; the flags tell that a chunk
-    begins before it or ends after it in any case."""
+
+def _blocks(text: bytes) -> Iterator[tuple[list[Line], bool]]:
+    """The lines of each block, and whether they are whole lines."""
+    whole: list[Line] = []
     start = 0
     while start < len(text):
-        end = text.find(b"\n", start) + 1 or len(text)
-        if len(text[start:end].split()) < PARAGRAPH_WORDS:
-            yield start, end, False, False
-        else:
-            cuts = [m.end() for m in _SENTENCE.finditer(text, start, end) if m.end() < end]
+        found = _BREAK.search(text, start)
+        end = found.end() if found else len(text)
+        words = len(text[start:end].split())
+        cuts = []
+        if words >= PARAGRAPH_WORDS:
+            cuts = [m.end() for m in _SENTENCE.finditer(text, start, end) if text[m.end() : end].strip()]
+        if cuts or words > LONE_LINE_WORDS:
+            if whole:
+                yield whole, True
+                whole = []
             edges = [start, *cuts, end]
-            for i, (a, b) in enumerate(zip(edges, edges[1:])):
-                yield a, b, i == 0, i == len(cuts)
+            yield [(a, b, len(text[a:b].split())) for a, b in zip(edges, edges[1:])], False
+        else:
+            whole.append((start, end, words))
         start = end
+    if whole:
+        yield whole, True
 
 
-def chunks(text: bytes) -> Iterator[tuple[int, int, bool]]:
-    """(start, end, counted) of the chunks, which together make up the text."""
-    begin = end = lines = rolled = 0
+def _cut(text: bytes, block: list[Line]) -> list[tuple[int, int, bool]]:
+    """(start, end, counted) of the chunks of a block."""
+    out: list[tuple[int, int, bool]] = []
     recent = deque([0] * WINDOW)
-    for start, end, opens, closes in _lines(text):
-        if opens and start > begin:
-            yield begin, start, _counted(text[begin:start], lines)
-            begin, lines = start, 0
-        lines += 1
+    rolled = lines = words = 0
+    begin = block[0][0]
+    for start, end, n in block:
+        lines, words = lines + 1, words + n
         mark = xxhash.xxh64_intdigest(text[start:end].strip())
         # The line that leaves the window goes, the new one comes.
         rolled = (rolled * BASE + mark - recent.popleft() * LEAVES) & MASK
         recent.append(mark)
-        if closes or (rolled >> 32) % DIVISOR == 0:
-            yield begin, end, _counted(text[begin:end], lines)
-            begin, lines = end, 0
-    if begin < end:
-        yield begin, end, _counted(text[begin:end], lines)
+        if (rolled >> 32) % DIVISOR == 0 and _counted(lines, words):
+            out.append((begin, end, True))
+            begin, lines, words = end, 0, 0
+    if lines:
+        if out and not _counted(lines, words):
+            begin = out.pop()[0]
+            out.append((begin, end, True))
+        else:
+            out.append((begin, end, _counted(lines, words)))
+    return out
 
 
-def _counted(chunk: bytes, lines: int) -> bool:
-    words = len(chunk.split())
+def _counted(lines: int, words: int) -> bool:
     return words > LONE_LINE_WORDS or lines > 1 and words >= CHUNK_WORDS
 
 
+def chunks(text: bytes) -> Iterator[tuple[int, int, bool]]:
+    """(start, end, counted) of the chunks, which together make up the text."""
+    for block, _ in _blocks(text):
+        yield from _cut(text, block)
+
+
+def units(text: bytes) -> Iterator[tuple[int, int]]:
+    """(start, end) of what is counted: chunks, and pairs of whole lines."""
+    for block, whole in _blocks(text):
+        own = [(a, b) for a, b, counted in _cut(text, block) if counted]
+        if whole:
+            own += [(x[0], y[1]) for x, y in zip(block, block[1:]) if x[2] + y[2] >= PARAGRAPH_WORDS]
+        yield from sorted(set(own))
+
+
 def _key(chunk: bytes) -> bytes:
     return xxhash.xxh3_128_digest(chunk)
 
@@ -90,7 +125,7 @@ def _encoded(text: str | None) -> bytes:
 
 
 def chunk_rows(docs: DataFrame, doc_id: str, text: str, *, with_bytes: bool) -> DataFrame:
-    """(doc_id, key[, chunk]): each counted chunk once per row of ``docs``."""
+    """(doc_id, key[, chunk]): each chunk and pair that counts, once per row of ``docs``."""
     schema = "doc_id bigint, key binary" + ", chunk binary" * with_bytes
 
     def made(ids: list[int], held: list[bytes]) -> pa.RecordBatch:
@@ -105,7 +140,7 @@ def chunk_rows(docs: DataFrame, doc_id: str, text: str, *, with_bytes: bool) ->
         held: list[bytes] = []
         for number, t in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
             source = _encoded(t)
-            own = {source[a:b].strip() for a, b, counted in chunks(source) if counted}
+            own = {source[a:b].strip() for a, b in units(source)}
             held.extend(own)
             ids.extend([number] * len(own))
             if len(held) > BATCH_CHUNKS:
@@ -136,16 +171,17 @@ def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def _kept(source: bytes, gone: set[bytes]) -> bytes:
-    """The text without chunks that an earlier document or place has."""
-    seen: set[bytes] = set()
-    out = []
-    for a, b, counted in chunks(source):
-        chunk = source[a:b].strip()
-        if counted and (chunk in seen or _key(chunk) in gone):
-            continue
-        if counted:
-            seen.add(chunk)
-        out.append(source[a:b])
+    """The text without chunks and pairs that an earlier document or place has."""
+    ends: dict[bytes, int] = {}
+    out, at = [], 0
+    for a, b in units(source):
+        unit = source[a:b].strip()
+        # A pair may overlap its own first occurrence: that one stays whole.
+        if ends.setdefault(unit, b) <= a or _key(unit) in gone:
+            if a > at:
+                out.append(source[at:a])
+            at = max(at, b)
+    out.append(source[at:])
     return b"".join(out)
 
 

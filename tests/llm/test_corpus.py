@@ -125,6 +125,39 @@ def test_line_dedup_removes_a_shared_paragraph(spark):
         assert found[i].startswith(prose(100 + i, 30)[:80])
 
 
+def sentences(number: int, count: int, words: int) -> list[str]:
+    draw = random.Random(number)
+    return [" ".join(f"w{draw.randrange(10**9)}" for _ in range(words)) + "." for _ in range(count)]
+
+
+def test_line_dedup_removes_all_of_planted_passages(spark):
+    """Paragraphs of 2 to 8 sentences, and runs of lines of one sentence each, between own text."""
+    shared = [" ".join(sentences(i, 2 + i % 7, 10 + i % 23)) for i in range(70)]
+    shared += ["\n".join(sentences(i, 2 + i % 5, 20 + i % 30)) for i in range(100, 170)]
+    shared += ["\n\n".join(sentences(i, 5, 30)) for i in range(200, 210)]
+    shared += ["\n".join(sentences(i, 6, 12)) for i in range(300, 310)]
+    before = [[" ".join(sentences(1000 + i, 4, 15)), sentences(2000 + i, 1, 30)[0], "Own head"] for i in range(3)]
+    after = [[" ".join(sentences(3000 + i, 4, 15)), sentences(4000 + i, 1, 30)[0], "Own foot"] for i in range(3)]
+    rows, kept = [], {}
+    for i, passage in enumerate(shared):
+        for copy in range(3):
+            number = 1000 * copy + i
+            a = before[copy][(i + copy) % 3].replace("w", f"a{number}w")
+            b = after[copy][(i + 2 * copy) % 3].replace("w", f"b{number}w")
+            rows.append((number, f"{a}\n{passage}\n{b}"))
+            kept[number] = f"{a}\n{passage}\n{b}" if copy == 0 else f"{a}\n{b}"
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.text for r in line_dedup.remove_repeated(docs).collect()}
+    assert found == kept
+
+
+def test_line_dedup_keeps_the_first_of_equal_lines():
+    line = sentences(1, 1, 30)[0].encode() + b"\n"
+    assert line_dedup._kept(line * 2, set()) == line * 2
+    pair = b"\n".join(s.encode() for s in sentences(2, 2, 30)) + b"\n"
+    assert line_dedup._kept(pair + b"Own line\n" + pair, set()) == pair + b"Own line\n"
+
+
 def test_line_dedup_of_nothing(none):
     assert line_dedup.remove_repeated(none).count() == 0
 
