@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from incidentia.llm.common import NO_ID, arrow_rows, fresh, id_or_last, null_if_last, spread_join
+from incidentia.llm.common import arrow_rows, fresh, id_or_last, null_if_last, spread_join
 from incidentia.llm.components import components
 from incidentia.session import written
 
@@ -66,19 +66,36 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
+def text_key(text: str) -> Column:
+    """The same for equal texts only; null counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"), 256))
+
+
 def fingerprints(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    *,
+    with_key: bool = False,
 ) -> DataFrame:
-    """(doc_id, fp) of each row; ``fp`` is the fingerprint as a signed long."""
+    """(doc_id, fp[, key]) of each row; ``fp`` is the fingerprint as a signed
+    long, ``key`` the ``text_key``."""
+    schema = "doc_id bigint, fp bigint" + ", key binary" * with_key
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         marks = np.array([fingerprint(t, shingle) for t in batch["text"].to_pylist()], np.uint64)
-        yield pa.record_batch({"doc_id": batch["doc_id"], "fp": pa.array(marks.view(np.int64))})
+        columns = {"doc_id": batch["doc_id"], "fp": pa.array(marks.view(np.int64))}
+        if with_key:
+            columns["key"] = batch["key"]
+        yield pa.record_batch(columns)
 
     rows = docs.select(
-        F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")
+        F.col(doc_id).cast("bigint").alias("doc_id"),
+        F.col(text).cast("string").alias("text"),
+        *[text_key(text).alias("key")] * with_key,
     )
-    return arrow_rows(rows, run, "doc_id bigint, fp bigint")
+    return arrow_rows(rows, run, schema)
 
 
 # ---- Trie self-join -------------------------------------------------------------
@@ -232,6 +249,18 @@ def links(classes: DataFrame, distance: int = DISTANCE) -> DataFrame:
 # ---- Operators ------------------------------------------------------------------
 
 
+def _rooted(marked: DataFrame, first: Column, distance: int) -> DataFrame:
+    """(fp, least, n, root) of each fingerprint in ``marked``: the smallest
+    ``first`` and the number of its rows, and the root of its component."""
+    classes = written(
+        marked.groupBy("fp").agg(F.min(first).alias("least"), F.count("*").alias("n")),
+        "fingerprint-classes",
+    )
+    roots = components(links(classes, distance), "a", "b").withColumnRenamed("node", "fp")
+    rooted = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return written(rooted, "fingerprint-roots")
+
+
 def near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -250,13 +279,7 @@ def near_duplicates(
     empty result.
     """
     marked = written(fingerprints(docs, doc_id, text, shingle), "fingerprints")
-    classes = written(
-        marked.groupBy("fp").agg(F.min(id_or_last("doc_id")).alias("least"), F.count("*").alias("n")),
-        "fingerprint-classes",
-    )
-    roots = components(links(classes, distance), "a", "b").withColumnRenamed("node", "fp")
-    rooted = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    rooted = written(rooted, "fingerprint-roots")
+    rooted = _rooted(marked, id_or_last("doc_id"), distance)
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     found = written(rooted.join(named, "root").select("fp", "component_id", "n"), "components")
     joined = spread_join(marked, found, ["fp"], F.xxhash64("doc_id"))
@@ -273,15 +296,19 @@ def keep_one(
 ) -> DataFrame:
     """Rows of ``docs`` that are the first of their component, all columns kept.
 
-    The document with the smallest id stays; of several rows with that id one
-    stays. Rows without an id stay only where a component has no other.
+    A component keeps the document with the smallest id. If several texts have
+    that id, or no document has one, the text with the smallest key stays; of
+    rows with one id and one text one stays.
     """
-    own, key = fresh(docs.columns, "own_id"), "kept_id"
-    found = near_duplicates(docs, doc_id, text, shingle=shingle, distance=distance)
-    kept = found.select(F.coalesce("component_id", F.lit(NO_ID)).alias(key)).distinct()
-    rows = docs.withColumn(own, id_or_last(doc_id))
-    chosen = rows.join(kept, F.col(own) == F.col(key), "left_semi")
-    return chosen.dropDuplicates([own]).drop(own)
+    own, key = fresh(docs.columns, "own_id"), fresh(docs.columns, "own_key")
+    marked = written(fingerprints(docs, doc_id, text, shingle, with_key=True), "fingerprints")
+    rooted = _rooted(marked, F.struct(id_or_last("doc_id").alias("id"), "key"), distance)
+    least = rooted.groupBy("root").agg(F.min("least").alias("least"))
+    kept = least.select(F.col("least.id").alias(own), F.col("least.key").alias(key))
+    rows = docs.withColumns({own: id_or_last(doc_id), key: text_key(text)})
+    return rows.join(kept, [own, key], "left_semi").dropDuplicates([own, key]).select(
+        *(rows[c] for c in docs.columns)
+    )
 
 
 def fingerprint_text(fp: str = "fp") -> Column:

@@ -540,6 +540,20 @@ def test_keep_one(odd, none):
     assert simhash.keep_one(none).count() == 0
 
 
+def test_keep_one_of_components_without_ids_and_of_ids_with_two_texts(spark):
+    a, b, c, d, e, f = (prose(500 + i) for i in range(6))
+    rows = [
+        (None, a), (None, b), (None, c), (None, c), (7, d), (None, d), (8, e), (8, f), (8, f), (9, f), (6, e + " x"),
+    ]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, k int")
+    found = simhash.keep_one(docs)
+    assert found.columns == docs.columns
+    _, group = plain_components(rows)
+    assert group[8] == group[9] != group[6] == group[10]
+    got = sorted((r.doc_id or 0, r.text) for r in found.collect())
+    assert got == sorted([(0, a), (0, b), (0, c), (7, d), (6, e + " x"), (8, f)])
+
+
 # ---- 9: decontamination ---------------------------------------------------------
 
 
