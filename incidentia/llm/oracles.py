@@ -58,6 +58,83 @@ FROM hosts
 """
 
 
+ORACLES["op11_hard_negatives"] = """
+WITH vectors AS (
+    SELECT DISTINCT vec_id,
+        CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id AS other_id, a.label = c.label AS same,
+        CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+    FROM vectors a JOIN vectors c ON a.vec_id <> c.vec_id AND len(a.e) = len(c.e)
+    WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id,
+    CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
+         AS INTEGER) AS rank,
+    other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+ORACLES["op12_lexical_search"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS place, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), items AS (
+    SELECT row_number() OVER () AS item, item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM (SELECT DISTINCT item_id, text FROM benchmark)
+), totals AS (
+    SELECT CAST(count(*) AS BIGINT) AS documents, CAST(sum(len(terms)) AS BIGINT) AS tokens
+    FROM docs WHERE len(terms) > 0
+), asked AS (
+    SELECT item, item_id, term, count(*) AS times
+    FROM (SELECT item, item_id, unnest(terms) AS term FROM items) GROUP BY ALL
+), postings AS (
+    SELECT place, doc_id, n, term, count(*) AS tf
+    FROM (SELECT place, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs)
+    WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2.0 * any_value(documents) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM postings, totals GROUP BY term
+), scored AS (
+    SELECT item, item_id, place, doc_id, CAST(sum(times * w * ((1000000000 * tf)
+        // (1000 * tf + 8 * (25 + (75 * n * documents) // tokens)))) AS BIGINT) AS score
+    FROM asked JOIN postings USING (term) JOIN weights USING (term), totals
+    GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+    doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
+# The tables hold one shape of page: headings, paragraphs and bold text in one
+# article, and two kinds of character references.
+ORACLES["op13_main_text"] = r"""
+WITH articles AS (
+    SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS part
+    FROM pages
+), texts AS (
+    SELECT page_id, url, trim(regexp_replace(replace(replace(replace(
+        regexp_replace(regexp_replace(part, '</?(p|h1|br)>', ' ', 'g'), '</?b>', '', 'g'),
+        '&quot;', '"'), '&amp;', '&'), '&amp', '&'), '\s+', ' ', 'g')) AS text
+    FROM articles
+)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM texts
+"""
+
+
 def _license_sql() -> str:
     quoted = lambda text: "'" + text.replace("'", "''") + "'"
     rows = ", ".join(f"({i}, {quoted(n)}, {quoted(t)})" for i, (n, t) in enumerate(TEMPLATES))

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from incidentia.llm import (
     decontamination,
+    hard_negatives,
+    lexical,
     licenses,
     line_dedup,
+    main_text,
     neighbours,
     packing,
     pitman_yor,
@@ -124,3 +127,21 @@ def op10_licenses(spark, sf_dir):
 def op3_pitman_yor(spark, sf_dir):
     held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
     return pitman_yor.score(table(spark, sf_dir, "documents"), held_out)
+
+
+@query
+def op11_hard_negatives(spark, sf_dir):
+    # Every seventh row gets a wrong label, as the contract of this query has it.
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    anchors = F.col("vec_id") % 100 == 0
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), anchors, label=moved)
+
+
+@query
+def op12_lexical_search(spark, sf_dir):
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_main_text(spark, sf_dir):
+    return main_text.extract(table(spark, sf_dir, "pages"))
