@@ -2,8 +2,8 @@
 
 Candidates are dealt into blocks, and each block becomes a cover tree over its
 norm-augmented vectors: one more component brings all of them to the largest
-norm, so the largest inner product is the nearest point. A level halves (by
-``BASE``) the radius its centres cover; each node keeps the largest distance of
+norm, so the largest inner product is the nearest point. A level divides by
+``BASE`` the radius its centres cover; each node keeps the largest distance of
 what lies below it. For a query ``q`` and a node with centre ``c`` and radius ``r``
 
     q.c - |q| r  <=  q.x  <=  q.c + |q| r
@@ -20,7 +20,6 @@ other labels are the hard negatives.
 
 from __future__ import annotations
 
-import bisect
 import heapq
 import math
 from collections.abc import Iterator
@@ -39,7 +38,7 @@ NEGATIVES = 10
 LEAST, MOST = 30, 90
 BLOCK_ROWS = 4096
 ANCHOR_ROWS = 512
-BASE = 1.3
+BASE = 2.0
 # Whole numbers below this are exact as doubles.
 EXACT = 2.0**53
 # Above the rounding of bounds.
@@ -158,83 +157,91 @@ class Searched:
         self.values = self.vectors.astype(float)
         self.largest = np.abs(self.values).max(initial=0.0)
         self.leaf = self.first == self.last
+        self._nodes: dict[int, Node] = {}
+
+    def node(self, number: int) -> Node:
+        found = self._nodes.get(number)
+        if found is None:
+            found = self._nodes[number] = Node(self, number)
+        return found
 
     def exact(self, query: np.ndarray) -> bool:
         return self.largest * np.abs(query.astype(float)).max(initial=0.0) * max(len(query), 1) < EXACT
 
 
+class Node:
+    """The children of a node: inner ones with their radius, and the rows of its leaves."""
+
+    def __init__(self, block: Searched, number: int):
+        # The root of a block with one vector is its own leaf.
+        places = np.arange(block.first[number], block.last[number]) if number or not block.leaf[0] else [0]
+        leaf = block.leaf[places]
+        self.inner = np.asarray(places)[~leaf]
+        self.radius = block.radius[self.inner]
+        points = block.point[places]
+        ends = points[leaf]
+        self.points = np.concatenate([block.point[self.inner], ends])
+        self.values = block.values[self.points]
+        # Rows of the leaves, and which of them each row belongs to.
+        many = block.starts[ends + 1] - block.starts[ends]
+        self.of = np.repeat(np.arange(len(ends)), many)
+        before = np.cumsum(many) - many
+        self.rows = np.arange(many.sum()) + np.repeat(block.starts[ends] - before, many)
+        self.ids = block.ids[self.rows]
+
+
 class Descent:
     """All searches of one anchor in one block; node scores are computed once."""
 
     def __init__(self, block: Searched, query: np.ndarray):
         self.block = block
         self.query = query
-        self.length = math.sqrt(float((query.astype(float) ** 2).sum())) * (1 + SLACK)
+        self.real = query.astype(float)
+        self.length = math.sqrt(float(self.real @ self.real)) * (1 + SLACK)
         self.exact = block.exact(query)
-        self.known: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, list]] = {}
+        self.known: dict[int, tuple[np.ndarray, ...]] = {}
 
-    def _scores(self, points: np.ndarray) -> np.ndarray:
+    def _scored(self, node: Node) -> tuple[np.ndarray, ...]:
+        """Upper and lower bounds of the inner children, exact scores of the leaves' rows."""
         if self.exact:
-            return self.block.values[points] @ self.query.astype(float)
-        # Python's whole numbers have no limit.
-        return self.block.vectors[points].astype(object) @ self.query.astype(object)
-
-    def _children(self, node: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
-        """(upper bounds, lower bounds, is it a leaf?, exact scores) of the children."""
-        found = self.known.get(node)
-        if found is None:
-            block = self.block
-            places = slice(block.first[node], block.last[node])
-            scores = self._scores(block.point[places])
-            near = scores.astype(float)
-            reach = self.length * block.radius[places]
-            reach = reach + SLACK * (reach + np.abs(near))
-            found = self.known[node] = (near + reach, near - reach, block.leaf[places], scores)
-        return found
-
-    def best(self, k: int, low: int | None, high: int | None, wanted) -> list[tuple[int, int]]:
+            scores = (node.values @ self.real).astype(np.int64)
+        else:
+            # Python's whole numbers have no limit.
+            scores = self.block.vectors[node.points].astype(object) @ self.query.astype(object)
+        near = scores[: len(node.inner)].astype(float)
+        reach = self.length * node.radius
+        reach += SLACK * (reach + np.abs(near))
+        return near + reach, near - reach, scores[len(node.inner) :][node.of]
+
+    def best(
+        self, k: int, low: int | None, high: int | None, wanted: np.ndarray
+    ) -> list[tuple[int, int]]:
         """The first ``k`` rows (score, id) from ``low`` to ``high``, by falling
-        score and rising id; ``wanted`` says which rows of a point count."""
+        score and rising id; ``wanted`` says which rows of the block count."""
         kept: list[tuple[int, int]] = []  # (-score, id), sorted
-        bottom = -math.inf if low is None else float(low)
-        top = math.inf if high is None else float(high)
-        waiting: list[tuple[float, int]] = []
-
-        def take(point: int, score: int) -> None:
-            if (low is not None and score < low) or (high is not None and score > high):
-                return
-            if len(kept) == k and -score > kept[-1][0]:
-                return
-            rows = slice(self.block.starts[point], self.block.starts[point + 1])
-            ids = self.block.ids[rows][wanted(rows)][:k]
-            for number in ids.tolist():
-                entry = (-score, number)
-                if len(kept) == k and entry >= kept[-1]:
-                    break
-                bisect.insort(kept, entry)
-                del kept[k:]
-
-        def least() -> float:
-            return max(bottom, -float(kept[-1][0])) if len(kept) == k else bottom
-
-        if self.block.leaf[0]:
-            take(0, int(self._scores(self.block.point[:1])[0]))
-            return [(-s, i) for s, i in kept]
-        heapq.heappush(waiting, (-math.inf, 0))
+        least, top = -math.inf if low is None else low, math.inf if high is None else high
+        waiting: list[tuple[float, int]] = [(-math.inf, 0)]
         while waiting:
-            bound, node = heapq.heappop(waiting)
-            if -bound < least():
+            bound, number = heapq.heappop(waiting)
+            if -bound < least:
                 break
-            upper, lower, leaf, scores = self._children(node)
-            meets = (upper >= least()) & (lower <= top)
-            begin = int(self.block.first[node])
-            for i in np.flatnonzero(meets & ~leaf).tolist():
-                heapq.heappush(waiting, (-min(upper[i], top), begin + i))
-            leaves = np.flatnonzero(meets & leaf)
-            for i in leaves[np.argsort(-upper[leaves], kind="stable")].tolist():
-                if upper[i] < least():
-                    break
-                take(int(self.block.point[begin + i]), int(scores[i]))
+            node = self.block.node(number)
+            found = self.known.get(number)
+            if found is None:
+                found = self.known[number] = self._scored(node)
+            upper, lower, scores = found
+            fits = np.flatnonzero(wanted[node.rows] & (scores >= least) & (scores <= top))
+            if len(fits) > 4 * k:
+                # Equal scores stay together: the id decides among them.
+                fits = fits[scores[fits] >= np.partition(scores[fits], -k)[-k]]
+            if len(fits):
+                kept += zip((-scores[fits]).tolist(), node.ids[fits].tolist())
+                kept.sort()
+                del kept[k:]
+                if len(kept) == k:
+                    least = max(least, -kept[-1][0])
+            for i in np.flatnonzero((upper >= least) & (lower <= top)).tolist():
+                heapq.heappush(waiting, (-min(upper[i], top), int(node.inner[i])))
         return [(-s, i) for s, i in kept]
 
 
@@ -321,12 +328,11 @@ def _search(
         plain = keys.tolist(), ids.tolist(), labels.tolist()
         for key, number, label, query, own in zip(*plain, queries, windows):
             descent = Descent(block, query)
+            wanted = (block.labels == label if same_label else block.labels != label) & (block.ids != number)
             if same_label:
-                wanted = lambda rows: (block.labels[rows] == label) & (block.ids[rows] != number)
                 for score, found in descent.best(k, None, None, wanted):
                     yield key, number, 0, found, score
                 continue
-            wanted = lambda rows: (block.labels[rows] != label) & (block.ids[rows] != number)
             for score in dict.fromkeys(own.tolist()):
                 # least * score <= 100 * x <= most * score, in whole numbers.
                 low, high = -(-least * score // 100), most * score // 100
