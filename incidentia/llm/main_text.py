@@ -72,6 +72,7 @@ LAYOUT = ("has", "is", "js", "no", "with", "without")
 TRUSTED = frozenset("body h1 h2 h3 h4 h5 h6 html main".split())
 
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_TAG = re.compile(r"<[A-Za-z/!?]")
 
 # (name, attributes) opens an element, (name, None) closes it, a text is text.
 Event = tuple[str, list | None] | str
@@ -95,6 +96,10 @@ class Events(HTMLParser):
 
 
 def events(html: str) -> list[Event]:
+    """The events of a page; a tag that the page's end cuts off is none."""
+    last = html.rfind("<")
+    if last > html.rfind(">") and _TAG.match(html, last):
+        html = html[:last]
     parser = Events()
     parser.feed(html)
     parser.close()
