@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from incidentia.session import scratch_path
+
 # Stands for a missing document id where ids are compared: it comes last.
 NO_ID = 2**63 - 1
 # Rows of one key that a task joins at most; more are dealt to more tasks.
@@ -40,6 +42,13 @@ def drop_written(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def written_tight(df: DataFrame, name: str) -> DataFrame:
+    """``written`` for tables of whole texts: the files are compressed harder."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def arrow_rows(
     df: DataFrame, function: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str
 ) -> DataFrame:

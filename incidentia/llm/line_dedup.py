@@ -10,8 +10,8 @@
    a chunk ends. What is left at the end and too short joins the chunk before it.
    No place depends on another block.
 3. Chunks of at least two lines and ``CHUNK_WORDS`` words (or of one line of
-   more than ``LONE_LINE_WORDS``) are counted over all documents, grouped by
-   their bytes; so are neighbouring whole lines, two by two where they have
+   more than ``LONE_LINE_WORDS``) are counted over all documents by 128-bit keys,
+   and those with equal keys are compared byte by byte; so are neighbouring whole lines, two by two where they have
    ``PARAGRAPH_WORDS`` words together, as a passage may begin and end anywhere
    among them.
 4. The first occurrence of a chunk or pair stays (smallest document id, then
@@ -24,12 +24,22 @@ import re
 from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from incidentia.llm.common import arrow_rows, fresh, id_or_last, spread_join
+from pyspark.sql.types import StructType
+
+from incidentia.llm.common import (
+    arrow_rows,
+    drop_written,
+    fresh,
+    id_or_last,
+    spread_join,
+    written_tight,
+)
 from incidentia.session import written
 
 PARAGRAPH_WORDS = 20
@@ -37,7 +47,7 @@ WINDOW = 2
 DIVISOR = 2
 CHUNK_WORDS = 12
 LONE_LINE_WORDS = 50
-BATCH_CHUNKS = 50_000
+SLICE_TEXTS = 1000
 BASE = 0x9E3779B1
 MASK = (1 << 64) - 1
 LEAVES = pow(BASE, WINDOW, 1 << 64)
@@ -116,73 +126,117 @@ def units(text: bytes) -> Iterator[tuple[int, int]]:
         yield from sorted(set(own))
 
 
-def _key(chunk: bytes) -> bytes:
-    return xxhash.xxh3_128_digest(chunk)
-
-
 def _encoded(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def chunk_rows(docs: DataFrame, doc_id: str, text: str, *, with_bytes: bool) -> DataFrame:
-    """(doc_id, key[, chunk]): each chunk and pair that counts, once per row of ``docs``."""
-    schema = "doc_id bigint, key binary" + ", chunk binary" * with_bytes
+def placed(source: bytes) -> tuple[list[tuple[int, int]], list[tuple[int, int, bytes]]]:
+    """(start, end) of the units that an earlier place of the same text has, and
+    (start, end, unit) of all others.
 
-    def made(ids: list[int], held: list[bytes]) -> pa.RecordBatch:
-        columns = {"doc_id": pa.array(ids, pa.int64())}
-        columns["key"] = pa.array([_key(c) for c in held], pa.binary())
-        if with_bytes:
-            columns["chunk"] = pa.array(held, pa.binary())
-        return pa.record_batch(columns)
+    A unit that overlaps its own first place is among the others, so that place
+    stays whole.
+    """
+    ends: dict[bytes, int] = {}
+    repeats, others = [], []
+    for a, b in units(source):
+        unit = source[a:b].strip()
+        if ends.setdefault(unit, b) <= a:
+            repeats.append((a, b))
+        else:
+            others.append((a, b, unit))
+    return repeats, others
+
+
+def without(source: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """The text without the spans, which may overlap."""
+    out, at = [], 0
+    for a, b in sorted(spans):
+        if a > at:
+            out.append(source[at:a])
+        at = max(at, b)
+    out.append(source[at:])
+    return b"".join(out)
 
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids: list[int] = []
-        held: list[bytes] = []
-        for number, t in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-            source = _encoded(t)
-            own = {source[a:b].strip() for a, b in units(source)}
-            held.extend(own)
-            ids.extend([number] * len(own))
-            if len(held) > BATCH_CHUNKS:
-                yield made(ids, held)
-                ids, held = [], []
-        yield made(ids, held)
 
-    rows = docs.select(id_or_last(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return arrow_rows(rows, run, schema)
+UNIT = "array<struct<begin: int, until: int, bare: int, size: int, key: bigint, rest: bigint>>"
+SPANS = "array<struct<begin: int, until: int>>"
 
 
-def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, first, n): chunks of more than one document row, the smallest
-    document id that has them, and the number of rows.
+def _lists(counts: list[int], **columns: np.ndarray) -> pa.ListArray:
+    fields = [pa.array(v) for v in columns.values()]
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(fields, names=list(columns)))
 
-    Grouping by the bytes themselves is the comparison. Two different chunks
-    that share a 128-bit key are left out, so neither is ever removed.
+
+def cut_rows(docs: DataFrame, text: str, row: str, unit: str, repeat: str) -> DataFrame:
+    """``docs`` with a number of its own for each row, its units with their places
+    and 128-bit keys, and the spans that repeat an earlier place of the same text.
+
+    The table is written, so a row keeps its number.
     """
-    by_bytes = (
-        chunk_rows(docs, doc_id, text, with_bytes=True)
-        .groupBy("key", "chunk")
-        .agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
-    )
-    by_key = by_bytes.groupBy("key").agg(
-        F.count("*").alias("texts"), F.sum("n").alias("n"), F.min("first").alias("first")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    at = docs.columns.index(text)
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        # Small slices, so that the places of few texts are held at a time.
+        for begin in range(0, batch.num_rows, SLICE_TEXTS):
+            yield cut(batch.slice(begin, SLICE_TEXTS))
+
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        places, keys, many = [], [], []
+        repeats, few = [], []
+        for t in batch[at].to_pylist():
+            source = _encoded(t)
+            own, others = placed(source)
+            repeats += own
+            few.append(len(own))
+            for a, b, held in others:
+                bare = a + len(source[a:b]) - len(source[a:b].lstrip())
+                places.append((a, b, bare, len(held)))
+                keys.append(xxhash.xxh3_128_digest(held))
+            many.append(len(others))
+        where = np.array(places, dtype=np.int32).reshape(-1, 4).T
+        key = np.frombuffer(b"".join(keys), "<i8").reshape(-1, 2).T
+        names = ("begin", "until", "bare", "size", "key", "rest")
+        found = _lists(many, **dict(zip(names, [*where, *key])))
+        spans = np.array(repeats, dtype=np.int32).reshape(-1, 2).T
+        own_spans = _lists(few, begin=spans[0], until=spans[1])
+        return pa.RecordBatch.from_arrays(
+            [*batch.columns, found, own_spans], names=[*batch.schema.names, unit, repeat]
+        )
+
+    added = StructType.fromDDL(f"`{unit}` {UNIT}, `{repeat}` {SPANS}")
+    schema = StructType([*numbered.schema.fields, *added.fields])
+    return written_tight(arrow_rows(numbered, run, schema), "cut-texts")
+
+
+def repeated_units(cut: DataFrame, doc_id: str, row: str, unit: str) -> DataFrame:
+    """(key, rest, n, first): keys of units that more than one row holds, the
+    number of places, and the row that comes first (smallest document id, rows
+    without one last, then the row's number)."""
+    place = F.struct(id_or_last(doc_id).alias("doc_id"), F.col(row).alias("row"))
+    each = cut.select(place.alias("place"), F.inline(unit))
+    counted = each.groupBy("key", "rest").agg(
+        F.count("*").alias("n"), F.min("place").alias("first"), F.max("place").alias("last")
     )
-    return by_key.where("texts = 1 AND n > 1").select("key", "first", "n")
+    return counted.where("first < last").select("key", "rest", "n", F.col("first.row").alias("first"))
 
 
-def _kept(source: bytes, gone: set[bytes]) -> bytes:
-    """The text without chunks and pairs that an earlier document or place has."""
-    ends: dict[bytes, int] = {}
-    out, at = [], 0
-    for a, b in units(source):
-        unit = source[a:b].strip()
-        # A pair may overlap its own first occurrence: that one stays whole.
-        if ends.setdefault(unit, b) <= a or _key(unit) in gone:
-            if a > at:
-                out.append(source[at:a])
-            at = max(at, b)
-    out.append(source[at:])
-    return b"".join(out)
+def _marks(cut: DataFrame, repeated: DataFrame, row: str, unit: str) -> DataFrame:
+    """(row, marks): for each row its units that other rows hold too."""
+    own = cut.select(F.col(row).alias("row"), F.inline(unit))
+    found = spread_join(own, repeated, ["key", "rest"], F.xxhash64("row", "begin"))
+    mark = F.struct("begin", "until", "bare", "size", "key", "rest", (F.col("row") != F.col("first")).alias("goes"))
+    return found.groupBy("row").agg(F.collect_list(mark).alias("marks"))
+
+
+def clashing_keys(marked: DataFrame, text: str, marks: str) -> DataFrame:
+    """(key, rest) of repeated units whose bytes are not all the same."""
+    chunk = F.substring(F.col("source"), F.col("bare") + 1, F.col("size"))
+    each = marked.select(F.encode(F.col(text), "UTF-8").alias("source"), F.inline(marks))
+    by_bytes = each.select("key", "rest", chunk.alias("chunk")).distinct()
+    return by_bytes.groupBy("key", "rest").agg(F.count("*").alias("texts")).where("texts > 1").select("key", "rest")
 
 
 def remove_repeated(
@@ -192,44 +246,52 @@ def remove_repeated(
 
     ``length`` names a column that holds the length of the text; it is set
     anew where a text changed. Null texts stay null, empty ones empty; a text
-    of which every chunk is repeated becomes empty. Rows with one document id
-    count as one document and keep the chunks they share. Rows without an id
-    come after all others. Line breaks and blanks around a removed chunk go
-    with it. An empty table gives an empty table.
+    of which every chunk is repeated becomes empty. Each row is a document of
+    its own, also where ids are missing or repeated: rows without an id come
+    after all others, and of rows with one id the first that is read comes
+    first. Line breaks and blanks around a removed chunk go with it. An empty
+    table gives an empty table.
+
+    Texts are cut once, into a written table. Only keys and places are counted
+    and joined. The bytes of units whose key occurs more than once are then
+    compared; should two different units share a 128-bit key, neither goes.
     """
-    repeated = written(repeated_chunks(docs, doc_id, text), "repeated-chunks")
-    own = chunk_rows(docs, doc_id, text, with_bytes=False)
-    gone = (
-        spread_join(own, repeated, ["key"], F.xxhash64("doc_id"))
-        .where(F.col("doc_id") > F.col("first"))
-        .groupBy("doc_id")
-        .agg(F.collect_set("key").alias("keys"))
-    )
-    own_id = fresh(docs.columns, "own_id")
-    keys, gone_id = fresh([*docs.columns, own_id], "gone_keys"), fresh(docs.columns, "gone_id")
-    marked = gone.select(F.col("doc_id").alias(gone_id), F.col("keys").alias(keys))
-    rows = docs.withColumn(own_id, id_or_last(doc_id))
-    joined = rows.join(marked, F.col(own_id) == F.col(gone_id), "left").drop(own_id, gone_id)
-    at, keys_at = docs.columns.index(text), len(docs.columns)
-    lengths = None if length is None else docs.columns.index(length)
+    names = [*docs.columns]
+    row, unit, repeat, marks = (fresh(names, n) for n in ("row_no", "units", "repeats", "marks"))
+    cut = cut_rows(docs, text, row, unit, repeat)
+    repeated = written(repeated_units(cut, doc_id, row, unit), "repeated-units")
+
+    def marked_by(keys: DataFrame) -> DataFrame:
+        own = _marks(cut, keys, row, unit).toDF(row, marks)
+        return written_tight(cut.drop(unit).join(own, row, "left").drop(row), "marked-texts")
+
+    marked = marked_by(repeated)
+    clashes = clashing_keys(marked, text, marks)
+    if not clashes.isEmpty():
+        marked = marked_by(written(repeated.join(clashes, ["key", "rest"], "left_anti"), "single-units"))
+    drop_written(cut)
+    goes = F.filter(F.coalesce(marks, F.array()), lambda m: m["goes"])
+    bounds = F.transform(goes, lambda m: F.struct(m["begin"].alias("begin"), m["until"].alias("until")))
+    spans = marked.select(*names, F.concat(repeat, bounds).alias(marks))
+    at, last = names.index(text), len(names)
+    lengths = None if length is None else names.index(length)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        columns = batch.columns[:keys_at]
+        columns = batch.columns[:last]
+        shorter = np.flatnonzero(pc.list_value_length(batch[last]).to_numpy(zero_copy_only=False))
         texts = columns[at].to_pylist()
-        for i, t in enumerate(texts):
-            if t:
-                texts[i] = _kept(_encoded(t), set(batch[keys_at][i].as_py() or ())).decode(
-                    "utf-8", "surrogatepass"
-                )
-        if lengths is not None:
-            kind = columns[lengths].type
-            old, new = columns[at].to_pylist(), columns[lengths].to_pylist()
-            new = [n if a == b else len(b) for n, a, b in zip(new, old, texts)]
-            columns[lengths] = pa.array(new, kind)
+        new = None if lengths is None else columns[lengths].to_pylist()
+        for i in shorter.tolist():
+            gone = [(s["begin"], s["until"]) for s in batch[last][i].as_py()]
+            texts[i] = without(_encoded(texts[i]), gone).decode("utf-8", "surrogatepass")
+            if new is not None:
+                new[i] = len(texts[i])
         columns[at] = pa.array(texts, columns[at].type)
-        yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(list(batch.schema)[:keys_at]))
+        if new is not None:
+            columns[lengths] = pa.array(new, columns[lengths].type)
+        yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(list(batch.schema)[:last]))
 
-    return arrow_rows(joined, run, docs.schema)
+    return arrow_rows(spans, run, docs.schema)
 
 
 def removed_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -73,9 +73,8 @@ def documents(spark):
 
 
 def expected_line_dedup(rows):
-    """The texts after removal, by plain dictionaries."""
-    last = line_dedup.NO_ID if hasattr(line_dedup, "NO_ID") else 2**63 - 1
-    texts = [(last if i is None else i, (t or "").encode()) for i, t in rows]
+    """The texts after removal, by plain dictionaries; each row is a document."""
+    texts = [((i is None, i or 0, place), (t or "").encode()) for place, (i, t) in enumerate(rows)]
     holders = collections.defaultdict(list)
     for i, t in texts:
         for chunk in {t[a:b].strip() for a, b, counted in line_dedup.chunks(t) if counted}:
@@ -151,11 +150,33 @@ def test_line_dedup_removes_all_of_planted_passages(spark):
     assert found == kept
 
 
+def test_line_dedup_of_rows_without_id_and_with_one_id(spark):
+    passage = " ".join(sentences(9, 5, 12))
+    rows = [(None, f"{passage}\n{prose(i, 20)}") for i in range(4)] + [(None, passage)] * 4
+    rows += [(3, passage + f"\nOwn end {i}") for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = [tuple(r) for r in line_dedup.remove_repeated(docs).collect()]
+    assert len(found) == len(rows)
+    assert [i for i, t in found if passage in t] == [3]
+    assert sum("Own end" in t for _, t in found) == 2
+
+
+def test_line_dedup_leaves_units_that_share_a_key(spark):
+    rows = [("same", 0, 4), ("also", 0, 4), ("same", 0, 4), ("once", 0, 4)]
+    each = [(t, [(a, b, a, b, 5 if t != "once" else 6, 7, False)]) for t, a, b in rows]
+    schema = "text string, marks array<struct<begin int, until int, bare int, size int, key long, rest long, goes boolean>>"
+    clash = line_dedup.clashing_keys(spark.createDataFrame(each, schema), "text", "marks")
+    assert [tuple(r) for r in clash.collect()] == [(5, 7)]
+
+
 def test_line_dedup_keeps_the_first_of_equal_lines():
+    def kept(text):
+        return line_dedup.without(text, line_dedup.placed(text)[0])
+
     line = sentences(1, 1, 30)[0].encode() + b"\n"
-    assert line_dedup._kept(line * 2, set()) == line * 2
+    assert kept(line * 2) == line * 2
     pair = b"\n".join(s.encode() for s in sentences(2, 2, 30)) + b"\n"
-    assert line_dedup._kept(pair + b"Own line\n" + pair, set()) == pair + b"Own line\n"
+    assert kept(pair + b"Own line\n" + pair) == pair + b"Own line\n"
 
 
 def test_line_dedup_of_nothing(none):
