@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from incidentia.session import scratch_path
@@ -42,10 +42,17 @@ def drop_written(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Remove shuffle files that no plan refers to any more. Spark does so when
+    the driver's garbage is collected; this is the time for it."""
+    spark._jvm.System.gc()
+
+
 def written_tight(df: DataFrame, name: str) -> DataFrame:
     """``written`` for tables of whole texts: the files are compressed harder."""
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    tight = {"compression": "zstd", "parquet.compression.codec.zstd.level": 9}
+    df.write.options(**tight).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -35,6 +35,7 @@ from pyspark.sql.types import StructType
 from incidentia.llm.common import (
     arrow_rows,
     drop_written,
+    free_shuffles,
     fresh,
     id_or_last,
     spread_join,
@@ -130,9 +131,9 @@ def _encoded(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def placed(source: bytes) -> tuple[list[tuple[int, int]], list[tuple[int, int, bytes]]]:
+def placed(source: bytes) -> tuple[list[tuple[int, int]], list[tuple[int, int, bytes, bool]]]:
     """(start, end) of the units that an earlier place of the same text has, and
-    (start, end, unit) of all others.
+    (start, end, unit, is it the first place?) of all others.
 
     A unit that overlaps its own first place is among the others, so that place
     stays whole.
@@ -141,10 +142,11 @@ def placed(source: bytes) -> tuple[list[tuple[int, int]], list[tuple[int, int, b
     repeats, others = [], []
     for a, b in units(source):
         unit = source[a:b].strip()
+        first = unit not in ends
         if ends.setdefault(unit, b) <= a:
             repeats.append((a, b))
         else:
-            others.append((a, b, unit))
+            others.append((a, b, unit, first))
     return repeats, others
 
 
@@ -159,7 +161,7 @@ def without(source: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(out)
 
 
-UNIT = "array<struct<begin: int, until: int, bare: int, size: int, key: bigint, rest: bigint>>"
+UNIT = "array<struct<begin: int, until: int, bare: int, size: int, key: bigint, rest: bigint, first: boolean>>"
 SPANS = "array<struct<begin: int, until: int>>"
 
 
@@ -184,22 +186,23 @@ def cut_rows(docs: DataFrame, text: str, row: str, unit: str, repeat: str) -> Da
             yield cut(batch.slice(begin, SLICE_TEXTS))
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        places, keys, many = [], [], []
+        places, keys, firsts, many = [], [], [], []
         repeats, few = [], []
         for t in batch[at].to_pylist():
             source = _encoded(t)
             own, others = placed(source)
             repeats += own
             few.append(len(own))
-            for a, b, held in others:
+            for a, b, held, first in others:
                 bare = a + len(source[a:b]) - len(source[a:b].lstrip())
                 places.append((a, b, bare, len(held)))
+                firsts.append(first)
                 keys.append(xxhash.xxh3_128_digest(held))
             many.append(len(others))
         where = np.array(places, dtype=np.int32).reshape(-1, 4).T
         key = np.frombuffer(b"".join(keys), "<i8").reshape(-1, 2).T
-        names = ("begin", "until", "bare", "size", "key", "rest")
-        found = _lists(many, **dict(zip(names, [*where, *key])))
+        names = ("begin", "until", "bare", "size", "key", "rest", "first")
+        found = _lists(many, **dict(zip(names, [*where, *key, np.array(firsts, dtype=bool)])))
         spans = np.array(repeats, dtype=np.int32).reshape(-1, 2).T
         own_spans = _lists(few, begin=spans[0], until=spans[1])
         return pa.RecordBatch.from_arrays(
@@ -212,22 +215,20 @@ def cut_rows(docs: DataFrame, text: str, row: str, unit: str, repeat: str) -> Da
 
 
 def repeated_units(cut: DataFrame, doc_id: str, row: str, unit: str) -> DataFrame:
-    """(key, rest, n, first): keys of units that more than one row holds, the
-    number of places, and the row that comes first (smallest document id, rows
+    """(key, rest, n, holder): keys of units that more than one row holds, the
+    number of rows, and the row that comes first (smallest document id, rows
     without one last, then the row's number)."""
     place = F.struct(id_or_last(doc_id).alias("doc_id"), F.col(row).alias("row"))
-    each = cut.select(place.alias("place"), F.inline(unit))
-    counted = each.groupBy("key", "rest").agg(
-        F.count("*").alias("n"), F.min("place").alias("first"), F.max("place").alias("last")
-    )
-    return counted.where("first < last").select("key", "rest", "n", F.col("first.row").alias("first"))
+    each = cut.select(place.alias("place"), F.inline(unit)).where("first")
+    counted = each.groupBy("key", "rest").agg(F.count("*").alias("n"), F.min("place").alias("place"))
+    return counted.where("n > 1").select("key", "rest", "n", F.col("place.row").alias("holder"))
 
 
 def _marks(cut: DataFrame, repeated: DataFrame, row: str, unit: str) -> DataFrame:
     """(row, marks): for each row its units that other rows hold too."""
-    own = cut.select(F.col(row).alias("row"), F.inline(unit))
+    own = cut.select(F.col(row).alias("row"), F.inline(unit)).drop("first")
     found = spread_join(own, repeated, ["key", "rest"], F.xxhash64("row", "begin"))
-    mark = F.struct("begin", "until", "bare", "size", "key", "rest", (F.col("row") != F.col("first")).alias("goes"))
+    mark = F.struct("begin", "until", "bare", "size", "key", "rest", (F.col("row") != F.col("holder")).alias("goes"))
     return found.groupBy("row").agg(F.collect_list(mark).alias("marks"))
 
 
@@ -260,16 +261,16 @@ def remove_repeated(
     row, unit, repeat, marks = (fresh(names, n) for n in ("row_no", "units", "repeats", "marks"))
     cut = cut_rows(docs, text, row, unit, repeat)
     repeated = written(repeated_units(cut, doc_id, row, unit), "repeated-units")
-
-    def marked_by(keys: DataFrame) -> DataFrame:
-        own = _marks(cut, keys, row, unit).toDF(row, marks)
-        return written_tight(cut.drop(unit).join(own, row, "left").drop(row), "marked-texts")
-
-    marked = marked_by(repeated)
+    free_shuffles(docs.sparkSession)
+    own = _marks(cut, repeated, row, unit).toDF(row, marks)
+    marked = written_tight(cut.drop(unit).join(own, row, "left"), "marked-texts")
+    drop_written(cut)
     clashes = clashing_keys(marked, text, marks)
     if not clashes.isEmpty():
-        marked = marked_by(written(repeated.join(clashes, ["key", "rest"], "left_anti"), "single-units"))
-    drop_written(cut)
+        each = marked.select(row, F.inline(marks)).join(clashes, ["key", "rest"], "left_anti")
+        mark = F.struct("begin", "until", "bare", "size", "key", "rest", "goes")
+        single = each.groupBy(row).agg(F.collect_list(mark).alias(marks))
+        marked = written_tight(marked.drop(marks).join(single, row, "left"), "marked-texts")
     goes = F.filter(F.coalesce(marks, F.array()), lambda m: m["goes"])
     bounds = F.transform(goes, lambda m: F.struct(m["begin"].alias("begin"), m["until"].alias("until")))
     spans = marked.select(*names, F.concat(repeat, bounds).alias(marks))
