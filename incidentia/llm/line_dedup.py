@@ -49,6 +49,8 @@ DIVISOR = 2
 CHUNK_WORDS = 12
 LONE_LINE_WORDS = 50
 SLICE_TEXTS = 1000
+# What ``bytes.strip`` takes off.
+BLANKS = " \t\n\r\x0b\x0c"
 BASE = 0x9E3779B1
 MASK = (1 << 64) - 1
 LEAVES = pow(BASE, WINDOW, 1 << 64)
@@ -161,7 +163,7 @@ def without(source: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(out)
 
 
-UNIT = "array<struct<begin: int, until: int, bare: int, size: int, key: bigint, rest: bigint, first: boolean>>"
+UNIT = "array<struct<begin: int, until: int, key: bigint, rest: bigint, first: boolean>>"
 SPANS = "array<struct<begin: int, until: int>>"
 
 
@@ -194,14 +196,13 @@ def cut_rows(docs: DataFrame, text: str, row: str, unit: str, repeat: str) -> Da
             repeats += own
             few.append(len(own))
             for a, b, held, first in others:
-                bare = a + len(source[a:b]) - len(source[a:b].lstrip())
-                places.append((a, b, bare, len(held)))
+                places.append((a, b))
                 firsts.append(first)
                 keys.append(xxhash.xxh3_128_digest(held))
             many.append(len(others))
-        where = np.array(places, dtype=np.int32).reshape(-1, 4).T
+        where = np.array(places, dtype=np.int32).reshape(-1, 2).T
         key = np.frombuffer(b"".join(keys), "<i8").reshape(-1, 2).T
-        names = ("begin", "until", "bare", "size", "key", "rest", "first")
+        names = ("begin", "until", "key", "rest", "first")
         found = _lists(many, **dict(zip(names, [*where, *key, np.array(firsts, dtype=bool)])))
         spans = np.array(repeats, dtype=np.int32).reshape(-1, 2).T
         own_spans = _lists(few, begin=spans[0], until=spans[1])
@@ -228,13 +229,14 @@ def _marks(cut: DataFrame, repeated: DataFrame, row: str, unit: str) -> DataFram
     """(row, marks): for each row its units that other rows hold too."""
     own = cut.select(F.col(row).alias("row"), F.inline(unit)).drop("first")
     found = spread_join(own, repeated, ["key", "rest"], F.xxhash64("row", "begin"))
-    mark = F.struct("begin", "until", "bare", "size", "key", "rest", (F.col("row") != F.col("holder")).alias("goes"))
+    mark = F.struct("begin", "until", "key", "rest", (F.col("row") != F.col("holder")).alias("goes"))
     return found.groupBy("row").agg(F.collect_list(mark).alias("marks"))
 
 
 def clashing_keys(marked: DataFrame, text: str, marks: str) -> DataFrame:
     """(key, rest) of repeated units whose bytes are not all the same."""
-    chunk = F.substring(F.col("source"), F.col("bare") + 1, F.col("size"))
+    held = F.substring(F.col("source"), F.col("begin") + 1, F.col("until") - F.col("begin"))
+    chunk = F.btrim(held.cast("string"), F.lit(BLANKS))
     each = marked.select(F.encode(F.col(text), "UTF-8").alias("source"), F.inline(marks))
     by_bytes = each.select("key", "rest", chunk.alias("chunk")).distinct()
     return by_bytes.groupBy("key", "rest").agg(F.count("*").alias("texts")).where("texts > 1").select("key", "rest")
@@ -268,7 +270,7 @@ def remove_repeated(
     clashes = clashing_keys(marked, text, marks)
     if not clashes.isEmpty():
         each = marked.select(row, F.inline(marks)).join(clashes, ["key", "rest"], "left_anti")
-        mark = F.struct("begin", "until", "bare", "size", "key", "rest", "goes")
+        mark = F.struct("begin", "until", "key", "rest", "goes")
         single = each.groupBy(row).agg(F.collect_list(mark).alias(marks))
         marked = written_tight(marked.drop(marks).join(single, row, "left"), "marked-texts")
     goes = F.filter(F.coalesce(marks, F.array()), lambda m: m["goes"])

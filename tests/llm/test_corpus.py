@@ -162,9 +162,9 @@ def test_line_dedup_of_rows_without_id_and_with_one_id(spark):
 
 
 def test_line_dedup_leaves_units_that_share_a_key(spark):
-    rows = [("same", 0, 4), ("also", 0, 4), ("same", 0, 4), ("once", 0, 4)]
-    each = [(t, [(a, b, a, b, 5 if t != "once" else 6, 7, False)]) for t, a, b in rows]
-    schema = "text string, marks array<struct<begin int, until int, bare int, size int, key long, rest long, goes boolean>>"
+    rows = [(" same", 5), ("also", 5), ("same\n", 5), ("once", 6), (" once\t", 6)]
+    each = [(t, [(0, len(t), key, 7, False)]) for t, key in rows]
+    schema = "text string, marks array<struct<begin int, until int, key long, rest long, goes boolean>>"
     clash = line_dedup.clashing_keys(spark.createDataFrame(each, schema), "text", "marks")
     assert [tuple(r) for r in clash.collect()] == [(5, 7)]
 
