@@ -20,6 +20,7 @@ from incidentia.operators.counts import (
 )
 from incidentia.operators.joins import keep_selected
 from incidentia.operators.risk import captioned
+from incidentia.operators.snapshot import COUNTED
 from incidentia.session import written
 
 
@@ -109,19 +110,27 @@ COUNT_VIEWS = {
 
 
 def views(
-    rows: DataFrame, spec: FilterSpec = FilterSpec(), box: Box = CITY_BOX
+    rows: DataFrame,
+    spec: FilterSpec = FilterSpec(),
+    box: Box = CITY_BOX,
+    counted: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Every served table, by name, for the filtered rows.
 
     All counts come from one scan, written as one small table of which each
-    view is a part. Views on columns that are not there are left out.
+    view is a part. Views on columns that are not there are left out. What
+    ``counted`` has (see ``snapshot.section_counts``) is not counted again.
     """
     kept = apply_filters(rows, spec)
     present = [column for column, _, _, _ in COUNT_VIEWS.values() if column in kept.columns]
     present += ["hora"] if "hora" in kept.columns else []
     zoned = ("comuna", "zona_riesgo")
     pairs = (zoned,) if set(zoned) <= set(kept.columns) else ()
-    counts = written(multi_dim_counts(kept, present, pairs=pairs, with_all=True), "views")
+    if counted is None:
+        counts = written(multi_dim_counts(kept, present, pairs=pairs, with_all=True), "views")
+    else:
+        missing = [c for c in present if c not in COUNTED]
+        counts = written(counted.unionByName(multi_dim_counts(kept, missing)), "views") if missing else counted
 
     def part(dimension: str) -> DataFrame:
         return counts.where(F.col("dimension") == dimension)

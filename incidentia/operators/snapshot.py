@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from incidentia.functions.dates import iso_text
 from incidentia.functions.values import age_band
@@ -35,19 +36,41 @@ def with_age_band(rows: DataFrame) -> DataFrame:
     return rows.withColumn("rango_edad", age_band(F.col("edad")))
 
 
+PAIR = ("comuna", "zona_riesgo")
+COUNTED = [column for column, _, _, _ in LISTS.values()]
+COUNTS = StructType(
+    [StructField(n, StringType()) for n in ("dimension", "value", "other")]
+    + [StructField("total", LongType())]
+)
+
+
+def section_counts(rows: DataFrame) -> DataFrame:
+    """All groups of all lists, none cut, from one scan: ``dimension, value, other, total``.
+
+    Counts of parts of the rows add up to the counts of all; see ``added``.
+    """
+    return multi_dim_counts(with_age_band(rows), COUNTED, pairs=(PAIR,), with_all=True)
+
+
+def added(counts: DataFrame) -> DataFrame:
+    """The counts of several parts of the rows as counts of all of them."""
+    groups = counts.groupBy("dimension", "value", "other").agg(F.sum("total").alias("total"))
+    return groups.select(COUNTS.fieldNames())
+
+
 def sections(rows: DataFrame) -> DataFrame:
-    """All lists of the snapshot as ``lista, clave, zona, total``, from one scan.
+    """All lists of the snapshot as ``lista, clave, zona, total``, from one scan."""
+    return cut_sections(written(section_counts(rows), "counts"))
+
+
+def cut_sections(counts: DataFrame) -> DataFrame:
+    """The lists from the counts of all groups.
 
     Top-k lists are cut here: the row-number filter with a constant limit
     keeps at most that many rows per task before its shuffle.
     """
-    columns = [column for column, _, _, _ in LISTS.values()]
-    pair = ("comuna", "zona_riesgo")
-    counts = written(
-        multi_dim_counts(with_age_band(rows), columns, pairs=(pair,), with_all=True), "counts"
-    )
     lista = F.when(F.col("dimension").isNull(), "total").when(
-        F.col("dimension") == "+".join(pair), "zona_riesgo"
+        F.col("dimension") == "+".join(PAIR), "zona_riesgo"
     )
     for name, (column, _, _, _) in LISTS.items():
         lista = lista.when(F.col("dimension") == column, name)
@@ -90,7 +113,15 @@ def snapshot_doc(rows: DataFrame, source: str, processed_at: Column | None = Non
 
     The age bands are always listed, so there are rows even for an empty table.
     """
-    entries = written(sections(rows), "sections")
+    return snapshot_of_counts(written(section_counts(rows), "counts"), source, processed_at)
+
+
+def snapshot_of_counts(
+    counts: DataFrame, source: str, processed_at: Column | None = None
+) -> DataFrame:
+    """The document from ``section_counts``, which may have been added up from
+    increments: the rows behind them are not read."""
+    entries = written(cut_sections(counts), "sections")
     whole = F.col("lista") == "total"
     stamp = F.current_timestamp() if processed_at is None else processed_at
     return _with_fields(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import functools
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,11 +12,14 @@ from pyspark.sql.streaming import StreamingQuery
 from incidentia.functions.geo import CITY_BOX, Box
 from incidentia.operators import snapshot
 from incidentia.operators.clean import clean_copies, copies
+from incidentia.operators.counts import modes_of
 from incidentia.operators.facets import COUNT_VIEWS, FilterSpec, served_counts, views
 from incidentia.operators.quality import dq_of_copies
 from incidentia.schemas import CLEAN
 from incidentia.session import written
+from incidentia.sinks.commits import CommittedTable
 from incidentia.sinks.tables import (
+    Outcome,
     newest_version,
     overwrite_table,
     publish,
@@ -37,6 +41,9 @@ from incidentia.sources.stream import kafka_messages
 from incidentia.streaming.events import event_envelope, to_messages
 from incidentia.streaming.jobs import stream_etl
 
+# How long the place of a message is remembered.
+RESENT_WITHIN = "1 hour"
+
 
 def ingest(
     spark: SparkSession,
@@ -86,21 +93,54 @@ def process_batch(
     store: Callable[[DataFrame], None] | None = None,
     collection_path: str | None = None,
     fallback_path: str | None = None,
-) -> str:
+    counts_path: str | None = None,
+) -> Processed:
     """Clean table to raw collection and aggregates document.
 
+    All groups of the document's lists are counted once. ``counts_path`` keeps
+    them uncut, so that ``serve`` can add those of the stream. The leaders of
+    the run (most frequent area, shift and so on) follow from them too.
+
     ``store`` writes the document to an outside store; if that fails it goes
     to ``fallback_path``. Says which of the two was used.
     """
     rows = snapshot.with_age_band(read_clean(spark, table_path))
     if collection_path is not None:
         overwrite_table(rows, collection_path)
-    document = snapshot.snapshot_doc(rows, source)
-    return write_with_fallback(
+    counts = written(snapshot.section_counts(rows), "counts")
+    if counts_path is not None:
+        CommittedTable(spark, counts_path, snapshot.COUNTS).overwrite(counts.coalesce(1))
+    document = snapshot.snapshot_of_counts(counts, source)
+    used = write_with_fallback(
         document,
         store or (lambda d: write_document(d, snapshot_path)),
         lambda d: write_document(d, fallback_path or snapshot_path),
     )
+    result = Processed(used)
+    result.cause = used.cause
+    result.leaders = modes_of(counts, LEADERS)
+    return result
+
+
+class Processed(Outcome):
+    """Which writer took the document, and the most frequent values of the run."""
+
+    leaders: DataFrame
+
+
+# Column counted -> name of the leader.
+LEADERS = {
+    "comuna": "comuna_lider",
+    "turno_dia": "turno_lider",
+    "modalidad": "modalidad_lider",
+    "bien_hurtado": "bien_lider",
+}
+
+
+def stored_counts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The counts of several runs and streams, added up."""
+    tables = [CommittedTable(spark, path, snapshot.COUNTS).read() for path in paths]
+    return written(snapshot.added(functools.reduce(DataFrame.unionByName, tables)), "counts")
 
 
 def process_stream(
@@ -112,13 +152,21 @@ def process_stream(
     *,
     quarantine_path: str | None = None,
     per_trigger: int | None = None,
+    counts_path: str | None = None,
+    resent_within: str | None = RESENT_WITHIN,
 ) -> StreamingQuery:
     """Topic to event store until stopped; wait with ``awaitTermination``.
 
-    ``per_trigger`` bounds the messages of one micro-batch.
+    ``per_trigger`` bounds the messages of one micro-batch. Each adds its
+    counters to the store (``read_counters``) and, with ``counts_path``, its
+    counts to those that ``serve`` takes. A message that comes twice from one
+    place of the topic is stored once.
     """
     messages = kafka_messages(spark, servers, topic, per_trigger=per_trigger)
-    return stream_etl(messages, store_path, checkpoint, quarantine_path=quarantine_path)
+    return stream_etl(
+        messages, store_path, checkpoint, quarantine_path=quarantine_path,
+        counts_path=counts_path, resent_within=resent_within,
+    )
 
 
 def load_served(
@@ -143,21 +191,28 @@ def serve(
     *,
     stream_path: str | None = None,
     snapshot_path: str | None = None,
+    counts_paths: Sequence[str] = (),
     box: Box = CITY_BOX,
 ) -> dict[str, DataFrame]:
     """Every served table for the selections in ``spec``; the KPIs name the source.
 
-    Without selections the counts come from the snapshot if there is one. The
-    snapshot holds batch rows only, so it is not used together with a stream.
+    Without selections, what was counted before is not counted again:
+    ``counts_paths`` name the counts of the batch run and of the stream, which
+    add up to those of both. Without them the snapshot serves, but not
+    together with a stream, as it holds batch rows only.
     """
     rows = load_served(spark, store_path, csv_path, stream_path)
-    served = views(rows, spec, box)
+    counted, stored = None, None
+    if spec.unfiltered and counts_paths:
+        counted = stored_counts(spark, counts_paths)
+    elif spec.unfiltered and snapshot_path is not None and stream_path is None:
+        if newest_version(spark, snapshot_path) is not None:
+            stored = read_snapshot(spark, snapshot_path)
+    served = views(rows, spec, box, counted)
     # The label is the same in every row.
     label = rows.select("source").limit(1).agg(F.coalesce(F.max("source"), F.lit(NO_DATA)))
     served["kpis"] = served["kpis"].withColumn("fuente", label.scalar())
-    if snapshot_path is not None and stream_path is None and spec.unfiltered:
-        if newest_version(spark, snapshot_path) is not None:
-            stored = read_snapshot(spark, snapshot_path)
-            for name in COUNT_VIEWS:
-                served[name] = served_counts(rows, spec, name, stored)
+    if stored is not None:
+        for name in COUNT_VIEWS:
+            served[name] = served_counts(rows, spec, name, stored)
     return served

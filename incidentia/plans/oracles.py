@@ -170,7 +170,7 @@ CTES["clean"] = (
 _BROKEN = "'{broken ' || event_id"
 CTES["sent"] = (
     ["ev"],
-    f"""SELECT k, ts AS kafka_ts, k = 5 AS broken, 'EVT-' || event_id AS event_id,
+    f"""SELECT k, ev.event_id AS number, ts AS kafka_ts, k = 5 AS broken, 'EVT-' || event_id AS event_id,
         CASE WHEN k = 6 THEN NULL ELSE {TIME_TEXT} END AS fecha_hecho,
         CAST(user_id AS VARCHAR) AS comuna, event_type AS modalidad,
         CASE WHEN k <> 4 THEN CAST(k AS VARCHAR) END AS edad,
@@ -183,6 +183,22 @@ CTES["judged"] = (
         WHEN {_hour_from_text('fecha_hecho')} IS NULL THEN 'unreadable_hour' END AS motivo FROM sent""",
 )
 
+# The micro-batch in which each event arrives, of three.
+_OWN_PART = """least(floor((epoch_us(ts) - (SELECT min(epoch_us(ts)) FROM events)) * 3
+    / greatest((SELECT max(epoch_us(ts)) - min(epoch_us(ts)) FROM events), 1)), 2)"""
+_PART = f"""CAST(CASE WHEN event_id % 101 = 0 THEN 2
+    WHEN event_id % 17 = 0 THEN least({_OWN_PART} + 1, 2) ELSE {_OWN_PART} END AS INTEGER)"""
+CTES["arrived"] = ([], f"SELECT event_id AS number, ts, event_type, {_PART} AS part FROM events")
+CTES["batches"] = (
+    ["judged", "arrived"],
+    "SELECT judged.*, number, part FROM judged JOIN arrived USING (number)",
+)
+CTES["good"] = (
+    ["judged"],
+    f"""SELECT *, CAST(hour({_parsed('fecha_hecho')}) AS INTEGER) AS hora_num,
+        {_band('CAST(edad AS DOUBLE)')} AS rango FROM judged WHERE motivo IS NULL""",
+)
+
 
 def _needed(names) -> list[str]:
     ordered: list[str] = []
@@ -492,9 +508,48 @@ ORACLES = {
             '{SOURCE_LABEL}' AS fuente, {_hour_from_text('fecha_hecho')} AS hora_hecho FROM raw""",
     ),
     "stream_etl": _STORED_EVENTS,
+    "stream_compacted": _sql(
+        "judged", f"""SELECT {_EVENT_COLUMNS} FROM judged, (VALUES (1), (2)) WHERE motivo IS NULL"""
+    ),
+    "stream_dedup": _sql(
+        "judged",
+        f"""SELECT {_EVENT_COLUMNS} FROM judged WHERE motivo IS NULL UNION ALL
+            SELECT {_EVENT_COLUMNS} FROM judged WHERE motivo IS NULL AND number % 5 = 0""",
+    ),
+    "stream_counters": _sql(
+        "batches",
+        """SELECT CAST(part AS BIGINT) AS lote, count(*) - count(motivo) AS enviados,
+            count(motivo) AS errores FROM batches GROUP BY part""",
+    ),
+    "stream_restart": _sql(
+        "batches",
+        """SELECT CAST(part AS BIGINT) AS lote, count(*) - count(motivo) AS enviados, count(motivo) AS errores,
+            (SELECT count(*) FROM judged WHERE motivo IS NULL) AS guardados,
+            (SELECT count(motivo) FROM judged) AS apartados FROM batches GROUP BY part""",
+    ),
+    "stream_lookup_large": _sql("area_counts", "SELECT comuna, total FROM area_counts"),
+    "snapshot_incremental": _sql(
+        "good bands",
+        f"""SELECT (SELECT count(*) FROM good) AS total_eventos, '{SOURCE_LABEL}' AS fuente, lista, clave,
+                CAST(NULL AS VARCHAR) AS zona, total FROM (
+            SELECT 'por_comuna' AS lista, comuna AS clave, count(*) AS total FROM good GROUP BY comuna
+            UNION ALL SELECT 'por_modalidad', modalidad, count(*) FROM good GROUP BY modalidad
+            UNION ALL SELECT 'por_hora', CAST(hora_num AS VARCHAR), count(*) FROM good
+                WHERE hora_num IS NOT NULL GROUP BY hora_num
+            UNION ALL SELECT 'por_edad', b.rango, count(g.rango) FROM bands b LEFT JOIN good g
+                ON g.rango = b.rango GROUP BY b.rango)""",
+    ),
     "stream_clean": _sql("valid", f"SELECT {DERIVED} FROM valid"),
-    "stream_hourly": """SELECT desde, event_type AS modalidad, count(*) AS total
-        FROM (SELECT date_trunc('hour', ts) AS desde, event_type FROM events)
-        WHERE desde + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR GROUP BY 1, 2""",
+    "stream_hourly": _sql(
+        "arrived",
+        # An hour is final once the events of earlier micro-batches have gone an hour beyond it;
+        # what comes for it later is left out.
+        """SELECT desde, event_type AS modalidad, count(*) AS total
+        FROM (SELECT date_trunc('hour', ts) AS desde, event_type, part FROM arrived) h
+        WHERE desde + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
+          AND NOT EXISTS (SELECT 1 FROM (SELECT part AS earlier, max(ts) AS newest FROM arrived GROUP BY 1)
+              WHERE earlier < h.part AND h.desde + INTERVAL 1 HOUR <= newest - INTERVAL 1 HOUR)
+        GROUP BY 1, 2""",
+    ),
     "stream_risk": _sql("zones", "SELECT * FROM zones"),
 }

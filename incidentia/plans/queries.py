@@ -18,6 +18,7 @@ from incidentia.plans.standins import STANDIN_BOX, table
 from incidentia.schemas import RAW, UNKNOWN_AREA
 from incidentia.session import scratch_path
 from incidentia.sinks import tables as sinks
+from incidentia.sinks.commits import CommittedTable
 from incidentia.sources import fallback, files
 from incidentia.streaming import events as messages
 from incidentia.streaming import jobs
@@ -539,24 +540,110 @@ def event_envelope(spark, sf_dir):
 # ---- Streams ----------------------------------------------------------------------
 
 
+def _streamed(spark, sf_dir, *, more=(), source=None, **options) -> str:
+    """Messages to the event store in several micro-batches, each after a start
+    from the checkpoint; the store's path."""
+    path, checkpoint = scratch_path(spark, "stream-events"), scratch_path(spark, "checkpoint")
+    sent = standins.event_messages(standins.in_parts(spark, sf_dir), "_part") if source is None else source
+    standins.replay(
+        spark,
+        sent,
+        lambda stream: jobs.stream_etl(stream, path, checkpoint, replay=True, **options),
+        path=scratch_path(spark, "sent"),
+    )
+    return path
+
+
+def _stored(events: DataFrame) -> DataFrame:
+    return events.select(*EVENT_COLUMNS, F.col("kafka_ts").cast("timestamp_ntz").alias("kafka_ts"))
+
+
 @query
 def stream_etl(spark, sf_dir):
-    path = scratch_path(spark, "stream-events")
-    sent = standins.event_messages(standins.event_stream(spark, sf_dir))
-    jobs.finish(
-        jobs.stream_etl(sent, path, scratch_path(spark, "checkpoint"), replay=True)
+    """The events of several micro-batches, with a stop and a start between them."""
+    return _stored(files.read_events(spark, _streamed(spark, sf_dir, pack_every=None)))
+
+
+@query
+def stream_restart(spark, sf_dir):
+    """Events and rejected messages per micro-batch, when the last batch is run
+    a second time after its parts were committed, as after a crash."""
+    path = _streamed(spark, sf_dir, pack_every=None)
+    again = standins.in_parts(spark, sf_dir).where(F.col("_part") == standins.PARTS - 1)
+    rows = quality.with_rejection(messages.parse_events(standins.event_messages(again)))
+    jobs.batch_writer(path)(rows, standins.PARTS - 1)
+    events, aside = files.read_events(spark, path), jobs.read_rejected(spark, path)
+    return jobs.read_counters(spark, path).withColumns(
+        {
+            "guardados": events.agg(F.count("*")).scalar(),
+            "apartados": aside.agg(F.count("*")).scalar(),
+        }
     )
-    stored = files.read_collection(spark, path)
-    return stored.select(*EVENT_COLUMNS, F.col("kafka_ts").cast("timestamp_ntz").alias("kafka_ts"))
+
+
+@query
+def stream_compacted(spark, sf_dir):
+    """The events after packing, and those that a reader from before still finds."""
+    path = _streamed(spark, sf_dir, pack_every=None)
+    before = files.read_events(spark, path)
+    store = jobs.EventStore(spark, path)
+    files_before = sum(p.files for p in store.events.parts())
+    store.pack(at_least=2)
+    parts = store.events.parts()
+    assert len(parts) == 1 and parts[0].files < files_before
+    return _stored(files.read_events(spark, path)).unionByName(_stored(before))
+
+
+@query
+def stream_dedup(spark, sf_dir):
+    """Messages sent again are stored once; equal reports at other places stay."""
+    events = standins.in_parts(spark, sf_dir)
+    places = events.withColumn("place", F.col("event_id"))
+    resent = places.where(F.col("event_id") % 3 == 0).withColumn("_part", F.lit(standins.PARTS - 1))
+    equal = places.where(F.col("event_id") % 5 == 0).withColumn("place", -1 - F.col("event_id"))
+    sent = standins.event_messages(places.unionByName(resent).unionByName(equal), "_part", "place")
+    placed = standins.with_position(sent, F.col("place")).drop("place")
+    path = _streamed(spark, sf_dir, source=placed, resent_within="1 hour")
+    return _stored(files.read_events(spark, path))
+
+
+@query
+def stream_counters(spark, sf_dir):
+    """Messages stored and set aside, as the running job counted them."""
+    return jobs.read_counters(spark, _streamed(spark, sf_dir, pack_every=2))
+
+
+@query
+def snapshot_incremental(spark, sf_dir):
+    """The document from the counts that each micro-batch added."""
+    counted = scratch_path(spark, "stream-counts")
+    _streamed(spark, sf_dir, counts_path=counted, pack_every=3)
+    counts = pipeline.stored_counts(spark, [counted])
+    return snapshot.snapshot_of_counts(counts, SOURCE_LABEL).drop("procesado_en")
+
+
+@query
+def stream_lookup_large(spark, sf_dir):
+    """Events by area, looked up per micro-batch in a dimension that is not broadcast."""
+    path, checkpoint = scratch_path(spark, "stream-areas"), scratch_path(spark, "checkpoint")
+    rows = standins.in_parts(spark, sf_dir).select("event_id", "user_id", "_part")
+    areas = standins.user_areas(spark, sf_dir)
+    standins.replay(
+        spark,
+        rows,
+        lambda stream: jobs.stream_lookup(
+            stream, areas, "user_id", path, checkpoint, replay=True, limit_bytes=0, slice_rows=20
+        ),
+        path=scratch_path(spark, "sent"),
+    )
+    found = CommittedTable(spark, path).read().fillna(DEFAULT_AREA)
+    return counts.by_count(found.groupBy("comuna").agg(F.count("*").alias("total")), "total", "comuna")
 
 
 @query
 def stream_quarantine(spark, sf_dir):
     """What the stream sets aside."""
-    path = scratch_path(spark, "stream-events")
-    sent = standins.event_messages(standins.event_stream(spark, sf_dir))
-    jobs.finish(jobs.stream_etl(sent, path, scratch_path(spark, "checkpoint"), replay=True))
-    rejected = files.read_collection(spark, f"{path}-quarantine")
+    rejected = jobs.read_rejected(spark, _streamed(spark, sf_dir, pack_every=None))
     return rejected.select("event_id", "fecha_hecho", F.col("_corrupt").alias("texto"), "motivo")
 
 
@@ -571,15 +658,18 @@ def stream_clean(spark, sf_dir):
 
 @query
 def stream_hourly(spark, sf_dir):
-    path = scratch_path(spark, "stream-hourly")
-    rows = standins.event_stream(spark, sf_dir).select(
-        F.col("ts").cast("timestamp").alias("instant"), F.col("event_type").alias("modalidad")
+    """Final hours of a stream in several micro-batches with late events."""
+    path, checkpoint = scratch_path(spark, "stream-hourly"), scratch_path(spark, "checkpoint")
+    rows = standins.in_parts(spark, sf_dir).select(
+        F.col("ts").cast("timestamp").alias("instant"), F.col("event_type").alias("modalidad"), "_part"
     )
-    jobs.finish(
-        jobs.stream_hourly(
-            rows, path, scratch_path(spark, "checkpoint"),
-            time="instant", key="modalidad", replay=True,
-        )
+    standins.replay(
+        spark,
+        rows,
+        lambda stream: jobs.stream_hourly(
+            stream, path, checkpoint, time="instant", key="modalidad", replay=True
+        ),
+        path=scratch_path(spark, "sent"),
     )
     stored = spark.read.parquet(path)
     return stored.withColumn("desde", F.col("desde").cast("timestamp_ntz"))
@@ -587,11 +677,13 @@ def stream_hourly(spark, sf_dir):
 
 @query
 def stream_risk(spark, sf_dir):
-    path = scratch_path(spark, "stream-risk")
-    rows = standins.incidents_in_areas(
-        spark, sf_dir, standins.event_stream(spark, sf_dir)
-    ).select("comuna")
-    jobs.finish(
-        jobs.stream_risk(rows, path, scratch_path(spark, "checkpoint"), key="comuna", replay=True)
+    """Zones kept up to date over several micro-batches."""
+    path, checkpoint = scratch_path(spark, "stream-risk"), scratch_path(spark, "checkpoint")
+    rows = standins.incidents_in_areas(spark, sf_dir, standins.in_parts(spark, sf_dir), "_part")
+    standins.replay(
+        spark,
+        rows.select("comuna", "_part"),
+        lambda stream: jobs.stream_risk(stream, path, checkpoint, key="comuna", replay=True, pack_every=3),
+        path=scratch_path(spark, "sent"),
     )
     return jobs.read_zones(spark, path)

@@ -8,8 +8,11 @@ every cleaning rule has something to do.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from incidentia.functions.dates import shift_of
@@ -17,7 +20,9 @@ from incidentia.functions.geo import Box
 from incidentia.operators.clean import with_area
 from incidentia.operators.joins import lookup
 from incidentia.schemas import RAW, UNKNOWN_AREA
+from incidentia.session import written
 from incidentia.sources.stream import file_stream
+from incidentia.streaming.jobs import finish
 
 STANDIN_BOX = Box(10.0, 50.0, 20.0, 80.0)
 
@@ -37,6 +42,50 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return file_stream(spark, f"{sf_dir}/{{events}}.parquet", schema)
 
 
+# Micro-batches that a stand-in stream comes in.
+PARTS = 3
+
+
+def in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` with ``_part``, the micro-batch that an event arrives in.
+
+    Time from the first to the last event is cut into equal parts. One event
+    in 17 comes a part later than its time says, one in 101 in the last part.
+    """
+    events = table(spark, sf_dir, "events")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    seconds = lambda t: F.unix_micros(t.cast("timestamp"))
+    length = F.greatest(seconds(F.lit(last)) - seconds(F.lit(first)), F.lit(1))
+    own = F.least(F.floor((seconds(F.col("ts")) - seconds(F.lit(first))) * PARTS / length), F.lit(PARTS - 1))
+    late = F.when(F.col("event_id") % 101 == 0, PARTS - 1).when(
+        F.col("event_id") % 17 == 0, F.least(own + 1, F.lit(PARTS - 1))
+    )
+    return events.withColumn("_part", F.coalesce(late, own).cast("int"))
+
+
+def replay(
+    spark: SparkSession,
+    rows: DataFrame,
+    start: Callable[[DataFrame], StreamingQuery],
+    *,
+    path: str,
+    part: str = "_part",
+) -> None:
+    """Stream ``rows`` part by part: the files of a part are added, the stream
+    starts, takes them and ends; the next start goes on from its checkpoint."""
+    stored = written(rows, "parts")
+    for number in range(PARTS):
+        stored.where(F.col(part) == number).drop(part).write.mode("append").parquet(path)
+        finish(start(file_stream(spark, path, stored.drop(part).schema)))
+
+
+def with_position(messages: DataFrame, number: Column) -> DataFrame:
+    """Messages with the place that a broker would give the numbered one."""
+    return messages.withColumns(
+        {"topic": F.lit("incidents"), "partition": (number % 3).cast("int"), "offset": number}
+    )
+
+
 def with_k(events: DataFrame) -> DataFrame:
     """Add ``k``. It comes out of a generator, so the JSON is read once per
     row: filters on ``k`` are not pushed below it."""
@@ -121,13 +170,13 @@ def _plain_columns() -> dict[str, Column]:
     }
 
 
-def _select(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    return rows.select(*[column.alias(name) for name, column in columns.items()])
+def _select(rows: DataFrame, columns: dict[str, Column], *more: str) -> DataFrame:
+    return rows.select(*[column.alias(name) for name, column in columns.items()], *more)
 
 
-def typed_events(events: DataFrame) -> DataFrame:
+def typed_events(events: DataFrame, *more: str) -> DataFrame:
     """Incident columns that follow from the plain columns of an event."""
-    return _select(events, _plain_columns())
+    return _select(events, _plain_columns(), *more)
 
 
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,15 +195,17 @@ def detailed_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incidents_in_areas(
-    spark: SparkSession, sf_dir: str, events: DataFrame | None = None
+    spark: SparkSession, sf_dir: str, events: DataFrame | None = None, *more: str
 ) -> DataFrame:
-    """Typed incidents with the area of the reporting user."""
-    rows = incidents(spark, sf_dir) if events is None else typed_events(events)
+    """Typed incidents with the area of the reporting user; ``more`` names
+    columns of the events that go along."""
+    rows = incidents(spark, sf_dir) if events is None else typed_events(events, *more)
     return lookup(rows, user_areas(spark, sf_dir), "user_id").fillna({"comuna": UNKNOWN_AREA})
 
 
-def event_messages(events: DataFrame) -> DataFrame:
-    """JSON messages as a producer sends them: all text, some of it broken."""
+def event_messages(events: DataFrame, *more: str) -> DataFrame:
+    """JSON messages as a producer sends them: all text, some of it broken.
+    ``more`` names columns of the events that go along."""
     k = F.col("k")
     payload = F.to_json(
         F.struct(
@@ -176,4 +227,5 @@ def event_messages(events: DataFrame) -> DataFrame:
     return with_k(events).select(
         F.when(k == 5, broken).otherwise(payload).cast("binary").alias("value"),
         F.col("ts").cast("timestamp").alias("timestamp"),
+        *more,
     )

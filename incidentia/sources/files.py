@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from incidentia.schemas import CLEAN, SNAPSHOT
+from incidentia.schemas import CLEAN, SNAPSHOT, STREAM_STORE
+from incidentia.sinks.commits import CommittedTable
 from incidentia.sinks.tables import newest_version
 
 
@@ -84,17 +85,21 @@ def snapshot_list(snapshot: DataFrame, name: str) -> DataFrame:
     return snapshot.where(F.col("lista") == name).select("clave", "zona", "total")
 
 
+def read_events(spark: SparkSession, path: str) -> DataFrame:
+    """The events that the stream has stored, each once, also while they are packed."""
+    return CommittedTable(spark, path, STREAM_STORE).read()
+
+
+def as_incidents(events: DataFrame) -> DataFrame:
+    """Streamed events with hour and age as the clean table has them."""
+    return events.withColumns({"hora": F.col("hora_num"), "edad": F.col("edad").try_cast("double")})
+
+
 def read_incidents(spark: SparkSession, batch_path: str, stream_path: str) -> DataFrame:
     """Batch and stream tables under one schema; neither overwrites the other.
 
     What the stream does not carry is null there.
     """
-    batch = read_collection(spark, batch_path)
-    stream = read_collection(spark, stream_path)
-    shared = stream.withColumns(
-        {"hora": F.col("hora_num"), "edad": F.col("edad").try_cast("double")}
-    )
-    return (
-        batch.withColumn("origen", F.lit("batch"))
-        .unionByName(shared.withColumn("origen", F.lit("stream")), allowMissingColumns=True)
-    )
+    batch = read_collection(spark, batch_path).withColumn("origen", F.lit("batch"))
+    shared = as_incidents(read_events(spark, stream_path)).withColumn("origen", F.lit("stream"))
+    return batch.unionByName(shared, allowMissingColumns=True)

@@ -1,4 +1,5 @@
-"""Streaming sources. Both give ``value BINARY, timestamp TIMESTAMP``."""
+"""Streaming sources. Both give ``value BINARY, timestamp TIMESTAMP``; Kafka also
+where each message lies: ``topic``, ``partition``, ``offset``."""
 
 from __future__ import annotations
 
@@ -9,6 +10,9 @@ MESSAGE = StructType(
     [StructField("value", BinaryType()), StructField("timestamp", TimestampType())]
 )
 
+# What names a message: the same place is the same message.
+POSITION = ("topic", "partition", "offset")
+
 
 def kafka_messages(
     spark: SparkSession, servers: str, topic: str, *, per_trigger: int | None = None
@@ -23,7 +27,7 @@ def kafka_messages(
     )
     if per_trigger is not None:
         reader = reader.option("maxOffsetsPerTrigger", per_trigger)
-    return reader.load().select("value", "timestamp")
+    return reader.load().select("value", "timestamp", *POSITION)
 
 
 def file_stream(
