@@ -130,7 +130,10 @@ def views(
         counts = written(multi_dim_counts(kept, present, pairs=pairs, with_all=True), "views")
     else:
         missing = [c for c in present if c not in COUNTED]
-        counts = written(counted.unionByName(multi_dim_counts(kept, missing)), "views") if missing else counted
+        counts = counted
+        if missing:
+            more = multi_dim_counts(kept, missing)
+            counts = written(counted.unionByName(more, allowMissingColumns=True), "views")
 
     def part(dimension: str) -> DataFrame:
         return counts.where(F.col("dimension") == dimension)

@@ -41,6 +41,8 @@ from incidentia.sources.stream import kafka_messages
 from incidentia.streaming.events import event_envelope, to_messages
 from incidentia.streaming.jobs import stream_etl
 
+# How long a store may take to give a first row before the next source is asked.
+PROBE_SECONDS = 120.0
 # How long the place of a message is remembered.
 RESENT_WITHIN = "1 hour"
 
@@ -180,7 +182,7 @@ def load_served(
     ]
     if stream_path is not None:
         sources.insert(0, ("store+stream", lambda: read_incidents(spark, store_path, stream_path)))
-    return load_first(spark, sources, CLEAN)
+    return load_first(spark, sources, CLEAN, seconds=PROBE_SECONDS)
 
 
 def serve(

@@ -52,6 +52,7 @@ def _inside(lat: str, lon: str) -> str:
 
 TIME_TEXT = (
     "CASE WHEN k = 0 THEN 'sin fecha' WHEN k = 1 THEN strftime(ts, '%Y-%m-%d %H:%M') "
+    "WHEN k = 7 THEN strftime(ts, '%-d/%-m/%Y  %-H:%M') WHEN k = 8 THEN strftime(ts, '%-d/%-m/%Y 99:%M') "
     "ELSE strftime(ts, '%-d/%-m/%Y %-H:%M') END"
 )
 
@@ -59,13 +60,14 @@ TIME_TEXT = (
 def _hour_from_text(text: str) -> str:
     half = (
         f"CASE WHEN contains({text}, 'T') THEN split_part({text}, 'T', 2) "
-        f"WHEN contains({text}, ' ') THEN split_part({text}, ' ', 2) END"
+        f"WHEN contains({text}, ' ') THEN split_part(regexp_replace({text}, ' +', ' ', 'g'), ' ', 2) END"
     )
-    return f"TRY_CAST(split_part({half}, ':', 1) AS INTEGER)"
+    hour = f"TRY_CAST(split_part({half}, ':', 1) AS INTEGER)"
+    return f"(CASE WHEN {hour} BETWEEN 0 AND 23 THEN {hour} END)"
 
 
 def _parsed(text: str) -> str:
-    return f"try_strptime({text}, '%d/%m/%Y %H:%M')"
+    return f"try_strptime(regexp_replace({text}, '\\s+', ' ', 'g'), '%d/%m/%Y %H:%M')"
 
 
 # Common table expressions, each with those it builds on.
@@ -507,6 +509,11 @@ ORACLES = {
             'EVT-' || md5(concat_ws(chr(31), {', '.join(_RAW_BLANK)})) AS event_id,
             '{SOURCE_LABEL}' AS fuente, {_hour_from_text('fecha_hecho')} AS hora_hecho FROM raw""",
     ),
+    "pruned_box": _sql(
+        "inc",
+        """SELECT event_id, lat, lon, modalidad FROM inc
+            WHERE lat BETWEEN 20 AND 24 AND lon BETWEEN 40 AND 48""",
+    ),
     "stream_etl": _STORED_EVENTS,
     "stream_compacted": _sql(
         "judged", f"""SELECT {_EVENT_COLUMNS} FROM judged, (VALUES (1), (2)) WHERE motivo IS NULL"""

@@ -366,6 +366,16 @@ def clean_csv_roundtrip(spark, sf_dir):
     return files.read_clean(spark, path, fmt="csv")
 
 
+@query
+def pruned_box(spark, sf_dir):
+    """Incidents within a small box, from a table laid out by place."""
+    path = scratch_path(spark, "by-place")
+    rows = standins.detailed_incidents(spark, sf_dir).select("event_id", "lat", "lon", "modalidad")
+    sinks.write_by_place(rows, path, STANDIN_BOX, files=16)
+    near = F.col("lat").between(20, 24) & F.col("lon").between(40, 48)
+    return files.read_collection(spark, path).where(near)
+
+
 @query
 def pruned_scan(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(
@@ -377,7 +387,7 @@ def pruned_scan(spark, sf_dir):
     )
     path = scratch_path(spark, "by-month")
     sinks.write_clean_table(orders, path)
-    stored = spark.read.parquet(path)
+    stored = files.read_collection(spark, path)
     wanted = (F.col("anio") == 1997) & F.col("mes").between(3, 5) & (F.col("comuna") == "2-HIGH")
     return stored.where(wanted)
 

@@ -93,10 +93,13 @@ def with_k(events: DataFrame) -> DataFrame:
 
 
 def time_text(k: Column) -> Column:
-    """Time as reported: two values of ``k`` stand for unreadable ones."""
+    """Time as reported: three values of ``k`` stand for unreadable ones, one
+    for two blanks before the hour."""
     return (
         F.when(k == 0, "sin fecha")
         .when(k == 1, F.date_format("ts", "yyyy-MM-dd HH:mm"))
+        .when(k == 7, F.date_format("ts", "d/M/yyyy  H:mm"))
+        .when(k == 8, F.date_format("ts", "d/M/yyyy 99:mm"))
         .otherwise(F.date_format("ts", "d/M/yyyy H:mm"))
     )
 

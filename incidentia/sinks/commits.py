@@ -1,6 +1,6 @@
 """Tables kept by commits: appended by batch, packed and replaced in one step.
 
-A table is a folder of parts, ``<path>/part=<name>``, each written by one Spark
+A table is a folder of parts, ``<path>/commit_part=<name>``, each written by one Spark
 job. A commit is a small file ``<path>/_commits/<number>`` that lists the parts
 which make up the table from then on. It comes into being by a rename, so a
 reader sees the table before the commit or after it, never in between. Parts
@@ -23,9 +23,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from incidentia.sinks.tables import _folder
+from incidentia.sinks.folders import folder
 
 COMMITS = "_commits"
+PART = "commit_part"
 # Parts below this size are packed, and so many commits stay readable.
 PACK_BYTES = 128 * 1024 * 1024
 KEPT_COMMITS = 20
@@ -55,7 +56,7 @@ class CommittedTable:
     # ---- Commits ----
 
     def numbers(self) -> list[int]:
-        place, system = _folder(self.spark, f"{self.path}/{COMMITS}")
+        place, system = folder(self.spark, f"{self.path}/{COMMITS}")
         if not system.exists(place):
             return []
         names = [s.getPath().getName() for s in system.listStatus(place)]
@@ -68,7 +69,7 @@ class CommittedTable:
             if not known:
                 return []
             number = known[-1]
-        place, system = _folder(self.spark, f"{self.path}/{COMMITS}/{number}")
+        place, system = folder(self.spark, f"{self.path}/{COMMITS}/{number}")
         source = system.open(place)
         text = self.spark._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(source)
         source.close()
@@ -90,9 +91,9 @@ class CommittedTable:
     def _write_commit(self, number: int, parts: list[Part]) -> bool:
         jvm, gateway = self.spark._jvm, self.spark.sparkContext._gateway
         text = "".join(json.dumps(asdict(p)) + "\n" for p in parts).encode("utf-8")
-        folder = f"{self.path}/{COMMITS}"
-        draft, system = _folder(self.spark, f"{folder}/.draft-{uuid.uuid4().hex}")
-        target, _ = _folder(self.spark, f"{folder}/{number}")
+        log = f"{self.path}/{COMMITS}"
+        draft, system = folder(self.spark, f"{log}/.draft-{uuid.uuid4().hex}")
+        target, _ = folder(self.spark, f"{log}/{number}")
         out = system.create(draft)
         out.write(text)
         out.close()
@@ -114,7 +115,7 @@ class CommittedTable:
     # ---- Parts ----
 
     def _folder_of(self, name: str) -> str:
-        return f"{self.path}/part={name}"
+        return f"{self.path}/{PART}={name}"
 
     def _written(self, rows: DataFrame, name: str, partition_by: tuple[str, ...]) -> Part:
         """Write a part; its rows are counted by the same job."""
@@ -122,7 +123,7 @@ class CommittedTable:
         observed = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
         writer = observed.write.mode("overwrite")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(self._folder_of(name))
-        place, system = _folder(self.spark, self._folder_of(name))
+        place, system = folder(self.spark, self._folder_of(name))
         held = system.getContentSummary(place)
         return Part(name, (), held.getFileCount(), held.getLength(), counted.get["rows"])
 
@@ -139,7 +140,7 @@ class CommittedTable:
         made = replace(self._written(rows, name, partition_by), batches=((stream, batch, batch),))
 
         if not made.rows:
-            place, system = _folder(self.spark, self._folder_of(name))
+            place, system = folder(self.spark, self._folder_of(name))
             system.delete(place, True)
             return 0
 
@@ -157,13 +158,16 @@ class CommittedTable:
 
     def read(self, number: int | None = None) -> DataFrame:
         """The rows of the newest commit, or of an earlier one."""
-        live = [self._folder_of(p.name) for p in self.parts(number) if p.rows]
-        if not live:
+        parts = self.parts(number)
+        # An empty table may still have a file that tells its columns.
+        held = [p for p in parts if p.rows] or [p for p in parts if p.files][:1]
+        live = [self._folder_of(p.name) for p in held]
+        if not live or self.schema is not None and not held[0].rows:
             if self.schema is None:
                 raise FileNotFoundError(f"{self.path} holds no rows.")
             return self.spark.createDataFrame([], self.schema)
         reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
-        return reader.option("basePath", self.path).parquet(*live).drop("part")
+        return reader.option("basePath", self.path).parquet(*live).drop(PART)
 
     # ---- Upkeep ----
 
@@ -189,7 +193,7 @@ class CommittedTable:
         batches = _joined(b for p in old for b in p.batches)
         if folders:
             reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
-            rows = reader.option("basePath", self.path).parquet(*folders).drop("part")
+            rows = reader.option("basePath", self.path).parquet(*folders).drop(PART)
             rows = rows if merge is None else merge(rows)
             # Adaptive execution gives the files their size: a large month is split, small ones share a task.
             gathered = rows.hint("rebalance", *map(F.col, partition_by)) if partition_by else rows.hint("rebalance")
@@ -213,13 +217,13 @@ class CommittedTable:
         known = self.numbers()
         kept = known[-keep:]
         live = {p.name for n in kept for p in self.parts(n)}
-        place, system = _folder(self.spark, self.path)
+        place, system = folder(self.spark, self.path)
         for status in system.listStatus(place):
             name = status.getPath().getName()
-            if name.startswith("part=") and name.removeprefix("part=") not in live:
+            if name.startswith(f"{PART}=") and name.removeprefix(f"{PART}=") not in live:
                 system.delete(status.getPath(), True)
         for number in known[: -len(kept)]:
-            system.delete(_folder(self.spark, f"{self.path}/{COMMITS}/{number}")[0], False)
+            system.delete(folder(self.spark, f"{self.path}/{COMMITS}/{number}")[0], False)
 
 
 def _joined(batches) -> tuple[tuple[str, int, int], ...]:

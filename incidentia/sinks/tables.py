@@ -8,6 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from incidentia.functions.geo import CITY_BOX, Box, place_curve
+from incidentia.sinks.commits import CommittedTable
+from incidentia.sinks.folders import folder
+from incidentia.sources.fallback import within
+
+# Versions of a replaced table that stay for readers.
+KEPT_VERSIONS = 2
+
 
 def write_delimited(rows: DataFrame, path: str, *, sep: str = ",") -> None:
     """Header and UTF-8; Spark creates the folder. Cells keep their outer blanks."""
@@ -22,8 +30,18 @@ def write_delimited(rows: DataFrame, path: str, *, sep: str = ",") -> None:
 
 
 def overwrite_table(rows: DataFrame, path: str, *, fmt: str = "parquet", **options) -> None:
-    """Replace the whole collection."""
-    rows.write.format(fmt).options(**options).mode("overwrite").save(path)
+    """Replace the whole collection. Parquet is replaced in one step: readers
+    find the old rows until the new ones are all there, also after a failure."""
+    if fmt == "parquet" and not options:
+        _replace(rows, path)
+    else:
+        rows.write.format(fmt).options(**options).mode("overwrite").save(path)
+
+
+def _replace(rows: DataFrame, path: str, *partition_by: str) -> None:
+    table = CommittedTable(rows.sparkSession, path)
+    table.overwrite(rows, partition_by=partition_by)
+    table.remove_old(KEPT_VERSIONS)
 
 
 def write_clean_table(rows: DataFrame, path: str) -> None:
@@ -35,24 +53,33 @@ def write_clean_table(rows: DataFrame, path: str) -> None:
     each file narrows its area and time statistics.
     """
     gathered = rows.hint("rebalance", F.col("anio"), F.col("mes"))
-    gathered.sortWithinPartitions("anio", "mes", "comuna", "fecha_dt").write.mode(
-        "overwrite"
-    ).partitionBy("anio", "mes").parquet(path)
+    _replace(gathered.sortWithinPartitions("anio", "mes", "comuna", "fecha_dt"), path, "anio", "mes")
 
 
-def _folder(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+def write_by_place(rows: DataFrame, path: str, box: Box = CITY_BOX, files: int | None = None) -> None:
+    """Replace a table laid out for filters on the pair of coordinates.
+
+    A curve through the box visits neighbouring places one after another. Each
+    file gets a stretch of it, so its coordinate statistics are narrow in both
+    directions, and a small box reads few files. A place with very many
+    events shares its value of the curve; the row's hash splits it.
+    """
+    curve, content = "_curve", "_content"
+    placed = rows.withColumn(curve, place_curve(F.col("lat"), F.col("lon"), box)).withColumn(
+        content, F.xxhash64(*rows.columns)
+    )
+    ranged = placed.repartitionByRange(*([] if files is None else [files]), curve, content)
+    _replace(ranged.sortWithinPartitions(curve).drop(curve, content), path)
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the complete versions below ``path``, the newest last."""
-    place, system = _folder(spark, path)
+    place, system = folder(spark, path)
     if not system.exists(place):
         return []
     names = [s.getPath().getName() for s in system.listStatus(place) if s.isDirectory()]
     numbers = sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
-    done = lambda n: system.exists(_folder(spark, f"{path}/version={n}/_SUCCESS")[0])
+    done = lambda n: system.exists(folder(spark, f"{path}/version={n}/_SUCCESS")[0])
     return [n for n in numbers if done(n)]
 
 
@@ -71,7 +98,7 @@ def write_version(
     number = (there[-1] + 1 if there else 0) if number is None else number
     rows.write.format(fmt).mode("overwrite").save(f"{path}/version={number}")
     for old in versions(spark, path)[:-keep]:
-        place, system = _folder(spark, f"{path}/version={old}")
+        place, system = folder(spark, f"{path}/version={old}")
         system.delete(place, True)
     return number
 
@@ -91,9 +118,17 @@ def write_with_fallback(
     rows: DataFrame,
     primary: Callable[[DataFrame], None],
     fallback: Callable[[DataFrame], None],
+    probe: Callable[[], None] | None = None,
+    seconds: float | None = None,
 ) -> Outcome:
-    """Use ``primary``; whatever error it raises, ``fallback``. Says which one wrote."""
+    """Use ``primary``; whatever error it raises, ``fallback``. Says which one wrote.
+
+    ``probe`` says beforehand, by an error, if the store cannot be reached; it
+    has failed if it takes longer than ``seconds``. The write itself has no limit.
+    """
     try:
+        if probe is not None:
+            within(rows.sparkSession, seconds, probe)
         primary(rows)
         return Outcome("primary")
     except Exception as error:

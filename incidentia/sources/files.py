@@ -55,6 +55,8 @@ def read_clean(
 
     CSV files must have the columns in that order: another header raises.
     """
+    if fmt == "parquet" and CommittedTable(spark, path).numbers():
+        return CommittedTable(spark, path, schema).read().select(schema.fieldNames())
     reader = spark.read.schema(schema).format(fmt)
     if fmt == "csv":
         reader = reader.options(header=True, escape='"', enforceSchema=False)
@@ -64,6 +66,8 @@ def read_clean(
 
 def read_collection(spark: SparkSession, path: str, *, fmt: str = "parquet", **options) -> DataFrame:
     """A stored collection without the store's own ``_id``."""
+    if fmt == "parquet" and CommittedTable(spark, path).numbers():
+        return CommittedTable(spark, path).read().drop("_id")
     return spark.read.format(fmt).options(**options).load(path).drop("_id")
 
 

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
+import time
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import tuples
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from incidentia.functions.geo import Box
 from incidentia.operators import facets, snapshot
 from incidentia.operators.clean import clean, normalise_missing
+from incidentia.operators.counts import modes
 from incidentia.plans import jobs
 from incidentia.plans.standins import STANDIN_BOX, raw_incidents
 from incidentia.schemas import CLEAN, RAW, RUN_LOG, SNAPSHOT
@@ -271,10 +276,15 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert files.read_document(spark, at["log"], RUN_LOG).first().total_registros == stored.count()
     same(stored, files.read_clean(spark, at["csv"], fmt="csv"))
 
-    used = jobs.process_batch(
-        spark, at["table"], "test", at["snap"], collection_path=at["store"]
-    )
+    counted = scratch_path(spark, "counts")
+    for _ in range(2):  # a second run replaces the first one's counts
+        used = jobs.process_batch(
+            spark, at["table"], "test", at["snap"], collection_path=at["store"], counts_path=counted
+        )
     assert used == "primary"
+    leaders = {"comuna": "comuna_lider", "turno_dia": "turno_lider", "modalidad": "modalidad_lider",
+               "bien_hurtado": "bien_lider"}
+    assert tuples(used.leaders) == tuples(modes(stored, leaders))
     assert files.read_snapshot(spark, at["snap"]).first().total_eventos == stored.count()
     assert files.read_collection(spark, at["store"]).columns.count("rango_edad") == 1
 
@@ -284,6 +294,10 @@ def test_jobs_end_to_end(spark, tmp_path):
     from_snapshot = jobs.serve(spark, at["store"], at["csv"], snapshot_path=at["snap"])
     for name in facets.COUNT_VIEWS:
         assert tuples(from_snapshot[name]) == tuples(served[name]), name
+    from_counts = jobs.serve(spark, at["store"], at["csv"], counts_paths=[counted])
+    assert set(from_counts) == set(served)
+    for name in set(served) - {"mapa"}:
+        assert sorted(map(str, tuples(from_counts[name]))) == sorted(map(str, tuples(served[name]))), name
     from_csv = jobs.load_served(spark, "/tmp/no-such-store", at["csv"])
     assert {r.source for r in from_csv.select("source").distinct().collect()} == {"csv"}
 
@@ -319,3 +333,70 @@ def test_non_ascii_text_survives(spark, rows):
 def test_top_lists_are_cut_before_their_shuffle(spark, rows):
     plan = snapshot.sections(rows)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_a_failed_write_leaves_the_clean_table(spark, table):
+    path = scratch_path(spark, "clean")
+    row = "anio int, mes int, comuna string, fecha_dt timestamp_ntz"
+    at = dt.datetime(2019, 3, 5)
+    sinks.write_clean_table(table([(2019, 3, "a", at)], row), path)
+    reader = files.read_collection(spark, path)
+    again = table([(2019, 3, "b", at), (2019, 4, "c", at)], row)
+    broken = again.withColumn("comuna", F.when(F.col("mes") == 4, F.raise_error(F.lit("gone"))).otherwise("b"))
+    with pytest.raises(Exception, match="gone"):
+        sinks.write_clean_table(broken, path)
+    assert [r.comuna for r in files.read_collection(spark, path).collect()] == ["a"]
+    sinks.write_clean_table(again, path)
+    assert sorted(r.comuna for r in files.read_collection(spark, path).collect()) == ["b", "c"]
+    assert [r.comuna for r in reader.collect()] == ["a"]
+
+
+def test_replaced_tables_keep_two_versions(spark):
+    path = scratch_path(spark, "table")
+    for n in range(5):
+        sinks.overwrite_table(spark.range(n), path)
+    assert len(list(Path(path).glob("commit_part=*"))) == 2
+    sinks.overwrite_table(spark.range(0), path)
+    assert files.read_collection(spark, path).columns == ["id"]
+
+
+def test_a_small_box_reads_few_files(spark):
+    path = scratch_path(spark, "by-place")
+    box = Box(0.0, 100.0, 0.0, 100.0)
+    rows = spark.range(20_000).selectExpr(
+        "id", "CAST(crc32(CAST(id AS STRING)) % 1000 AS DOUBLE) / 10 AS lat",
+        "CAST(crc32(CAST(-id AS STRING)) % 1000 AS DOUBLE) / 10 AS lon",
+    )
+    odd = spark.createDataFrame([(-1, None, 5.0), (-2, 5.0, None), (-3, -9.0, 500.0)], rows.schema)
+    sinks.write_by_place(rows.unionByName(odd), path, box, files=64)
+    stored = files.read_collection(spark, path)
+    same(rows.unionByName(odd), stored)
+    touched = 0
+    parts = list(Path(path).rglob("*.parquet"))
+    for file in parts:
+        group = pq.ParquetFile(file).metadata.row_group(0)
+        held = {group.column(i).path_in_schema: group.column(i).statistics for i in range(group.num_columns)}
+        touched += all(held[c].has_min_max and held[c].min <= 30 and held[c].max >= 25 for c in ("lat", "lon"))
+    assert len(parts) >= 60 and touched <= 4
+    near = stored.where("lat BETWEEN 25 AND 30 AND lon BETWEEN 25 AND 30")
+    assert "PushedFilters: [IsNotNull(lat)" in near._jdf.queryExecution().toString()
+
+
+def test_a_store_that_hangs_falls_back_in_time(spark):
+    def never(batches):
+        time.sleep(120)
+        yield from batches
+
+    hangs = ("store", lambda: spark.range(4).mapInArrow(never, "id long"))
+    begin = time.monotonic()
+    found = fallback.load_first(spark, [hangs, ("csv", lambda: spark.range(2))], spark.range(0).schema, seconds=2)
+    assert [r.source for r in found.collect()] == ["csv"] * 2 and time.monotonic() - begin < 60
+    with pytest.raises(ZeroDivisionError):
+        fallback.within(spark, 60, lambda: 1 / 0)
+    assert fallback.within(spark, 60, lambda: spark.range(3).count()) == 3
+    wrote = []
+    used = sinks.write_with_fallback(
+        spark.range(1), lambda d: wrote.append("primary"), lambda d: wrote.append("fallback"),
+        probe=lambda: time.sleep(30), seconds=0.5,
+    )
+    assert used == "fallback" and wrote == ["fallback"] and isinstance(used.cause, TimeoutError)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pandas as pd
 import pytest
 from conftest import column
 from pyspark.sql import functions as F
@@ -47,7 +48,20 @@ def test_time_parts(table):
 
 def test_hour_from_text(table):
     rows = ["2019-03-05T07:05", "05/03/2019 07:05", "x", "", None, "sin fecha", "a 25:00"]
-    assert column(texts(table, rows), dates.hour_from_text(c())) == [7, 7, None, None, None, None, 25]
+    assert column(texts(table, rows), dates.hour_from_text(c())) == [7, 7, None, None, None, None, None]
+    rows = ["a  7:05", "a 23:59", "a 99:00", "a -3:00", "a 0:00"]
+    assert column(texts(table, rows), dates.hour_from_text(c())) == [7, 23, None, None, 0]
+
+
+def test_times_as_pandas_reads_them(table):
+    rows = [
+        "05/03/2019 07:05", "05/03/2019  07:05", "5/3/2019\t7:5", " 5/3/2019 7:05", " 15/3/2019 7:05",
+        "005/3/2019 07:05", "05/03/2019 007:05", "05/03/2019 24:00", "31/02/2019 01:00", "05/03/19 07:05",
+        "05/03/2019 07:05 ", "\u000105/03/2019 07:05", "5/3/2019 99:10", "29/02/2020 0:0", "05/03/2019 07:60", "",
+    ]
+    read = pd.to_datetime(pd.Series(rows), format="%d/%m/%Y %H:%M", errors="coerce")
+    want = [None if pd.isna(t) else t.to_pydatetime() for t in read]
+    assert column(texts(table, rows), dates.parse_event_time(c())) == want
 
 
 def test_numbers(table):

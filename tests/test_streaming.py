@@ -110,7 +110,7 @@ def test_etl_stores_what_batch_computes_and_replays_add_nothing(spark):
     assert first.select(batch.columns).exceptAll(batch).isEmpty()
     counters = sorted(tuples(jobs.read_counters(spark, store)))
     assert counters == sorted((number, good, bad) for number, (good, bad) in seen.items())
-    assert sorted(spark.read.parquet(store).drop("part").dtypes) == sorted(
+    assert sorted(spark.read.parquet(store).drop("commit_part").dtypes) == sorted(
         (f.name, f.dataType.simpleString()) for f in STREAM_STORE
     )
     # The same input again, from the start: the batches are known.
@@ -126,7 +126,7 @@ def test_empty_batch_is_not_written(spark):
     nothing = quality.with_rejection(events.parse_events(standins.event_messages(standins.table(spark, SMALL, "events")))).limit(0)
     jobs.batch_writer(store, report=lambda *r: reports.append(r))(nothing, 0)
     assert not reports and read_events(spark, store).isEmpty()
-    assert not list(Path(store.removeprefix("file:")).glob("part=*"))
+    assert not list(Path(store.removeprefix("file:")).glob("commit_part=*"))
 
 
 def test_late_events_are_left_out_of_final_hours(spark):
