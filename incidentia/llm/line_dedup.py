@@ -264,7 +264,8 @@ def remove_repeated(
     cut = cut_rows(docs, text, row, unit, repeat)
     repeated = written(repeated_units(cut, doc_id, row, unit), "repeated-units")
     free_shuffles(docs.sparkSession)
-    own = _marks(cut, repeated, row, unit).toDF(row, marks)
+    own = written(_marks(cut, repeated, row, unit).toDF(row, marks), "unit-marks")
+    free_shuffles(docs.sparkSession)
     marked = written_tight(cut.drop(unit).join(own, row, "left"), "marked-texts")
     drop_written(cut)
     clashes = clashing_keys(marked, text, marks)
