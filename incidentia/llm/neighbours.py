@@ -8,7 +8,7 @@ vector, so each product comes with a bound of its error:
     |u.v - q.r| <= |u - q| + (1 + |u - q|) |v - r|
 
 A pair survives if its upper bound reaches the k-th largest lower bound of its
-query in the tile. Survivors are computed anew in double precision from the
+query in the tile, where an id counts once, by its best lower bound. Survivors are computed anew in double precision from the
 original vectors; tile results are merged by one heap per query. So the answer
 is that of a full search.
 """
@@ -102,6 +102,8 @@ def tile(
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(query, candidate, score): the nearest ``k`` candidates of this tile."""
     q, c = Rounded(queries), Rounded(vectors)
+    order = np.argsort(ids, kind="stable")
+    first = np.flatnonzero(np.diff(ids[order], prepend=ids[order[0]] - 1))
     for start in range(0, len(queries), QUERY_ROWS):
         rows = slice(start, start + QUERY_ROWS)
         near = (q.whole[rows] @ c.whole.T) * q.step[rows, None] * c.step
@@ -109,8 +111,10 @@ def tile(
         low = near - bound
         own = query_ids[rows, None] == ids
         low[own] = -np.inf
+        # Several vectors of one id fill one place only.
+        of_id = low if len(first) == len(ids) else np.maximum.reduceat(low[:, order], first, axis=1)
         least = (
-            np.partition(low, -k, axis=1)[:, -k] if low.shape[1] > k else np.full(len(low), -np.inf)
+            np.partition(of_id, -k, axis=1)[:, -k] if len(first) > k else np.full(len(low), -np.inf)
         )
         x, y = np.nonzero((near + bound >= least[:, None]) & ~own)
         best: dict[int, list[tuple[float, int]]] = {}
