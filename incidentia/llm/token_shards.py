@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from incidentia.llm.common import arrow_rows
-from incidentia.llm.tokens import ENCODE_BYTES, WordEncoder, slices
+from incidentia.llm.tokens import ENCODE_BYTES, WordEncoder, largest_id, slices
 from incidentia.session import scratch_path, written
 
 SIZE = 2048
@@ -196,9 +196,11 @@ def write_shards(
     """Write the shards below ``path``; file ``i`` holds the slots from ``i * records`` on.
 
     Null and empty texts are an end id alone. Rows without an id and repeated
-    rows are laid out like any other. No documents give no files. The tokenizer
-    must have at most 65,536 ids.
+    rows are laid out like any other. No documents give no files. A tokenizer
+    with ids that 16 bits do not hold is refused.
     """
+    if largest_id(tokenizer) >= 1 << 16:
+        raise ValueError(f"{tokenizer}: ids above 65,535 do not fit into 16 bits")
     spark, room = docs.sparkSession, size - 1
     tokenised = written(_tokenised(docs, tokenizer, doc_id, text), "token-ids")
     parts = written(tokenised.groupBy("part").agg(F.sum("n").alias("tokens")), "token-counts")

@@ -41,6 +41,12 @@ def _byte_letters() -> dict[int, str]:
     return letters
 
 
+def largest_id(path: str) -> int:
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(path).get_vocab().values(), default=0)
+
+
 class WordEncoder:
     """Encodes texts with a tokenizer that drops white space, word by word.
 

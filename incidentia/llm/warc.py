@@ -31,6 +31,7 @@ RECORDS = 2_000
 RUN_BATCH = 20_000
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 NO_PAGE = -(2**63)
+NO_TIME = "0001-01-01T00:00:00Z"
 INDEX = (
     "url_key string, captured string, page_id bigint, archive string, byte_offset bigint, "
     "record_bytes bigint, record_type string, payload_bytes bigint, payload_digest string, "
@@ -77,7 +78,7 @@ def decided(
         F.coalesce(F.col(page_id).cast("bigint"), F.lit(NO_PAGE)).alias("page_id"),
         F.coalesce(F.col(url).cast("string"), F.lit("")).alias("url"),
         F.coalesce(F.col(html).cast("string"), F.lit("")).alias("payload"),
-        F.date_format(captured, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("captured"),
+        F.coalesce(F.date_format(captured, "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit(NO_TIME)).alias("captured"),
     )
     rows = rows.select(
         "*",
@@ -151,7 +152,8 @@ def write_archives(
     """Write a record for each row of ``pages`` below ``path``.
 
     Null payloads are empty ones. A missing id is written as the smallest
-    number there is, so it never wins. Rows that repeat the id and payload of a
+    number there is, so it never wins; a missing time as ``NO_TIME``, the first
+    of all. Rows that repeat the id and payload of a
     response are responses, too. Blanks and control characters of a URL are
     percent-encoded, a missing one is empty. Payloads below ``least_bytes`` are
     always written in full.
