@@ -218,6 +218,23 @@ def test_neighbours_equal_full_search(spark):
     assert empty.count() == 0
 
 
+def test_neighbours_with_many_vectors_of_one_id(spark):
+    draw = np.random.default_rng(8)
+    ask, others = draw.normal(size=12), draw.normal(size=(298, 12))
+    rows = [(50, ask.tolist())]
+    rows += [(1, (ask + draw.normal(size=12) / 100).tolist()) for _ in range(30)]
+    rows += [(100 + 3 * i, v.tolist()) for i, v in enumerate(others)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.nearest(table, F.col("vec_id") == 50).orderBy("rank").collect()
+    cosine = {}
+    for i, v in rows[1:]:
+        value = float(np.dot(ask, v) / np.linalg.norm(ask) / np.linalg.norm(v))
+        cosine[i] = max(value, cosine.get(i, -2))
+    want = sorted(cosine, key=lambda i: (-cosine[i], i))[:5]
+    assert [r.vec_id for r in found] == want and want[0] == 1
+    assert np.allclose([r.score for r in found], [cosine[i] for i in want])
+
+
 # ---- 3: Pitman-Yor --------------------------------------------------------------
 
 
@@ -373,6 +390,10 @@ def test_warc_round_trip_on_odd_input(spark):
     assert by_id[1].payload_digest == by_id[2].payload_digest
     assert [r.record_type for r in found if r.page_id == 6] == ["response"] * 2
     assert warc.captures(pages.limit(0), at).count() == 0
+    untimed = warc.captures(pages, F.when(F.col("page_id") != 6, at)).collect()
+    assert len(untimed) == len(rows)
+    times = collections.Counter(r.captured for r in untimed)
+    assert times[warc.NO_TIME] == 3
     path = scratch_path(spark, "warc")
     warc.write_archives(pages, path, at, least_bytes=13)
     plain = {r.page_id: r.record_type for r in warc.runs(spark, path).collect()}
@@ -598,19 +619,22 @@ def bare(text):
 
 
 def plain_overlap(text, item):
+    """(agreeing words, window, -first word) of the best window, or nothing."""
     a, b = bare(text), bare(item)
     window = min(decontamination.WINDOW, len(b))
-    if len(b) < decontamination.LEAST_WORDS:
-        return False
-    return any(
-        sum(x == y for x, y in zip(a[i : i + window], b[j : j + window])) >= math.ceil(0.8 * window)
-        for i in range(len(a) - window + 1)
-        for j in range(len(b) - window + 1)
-    )
+    need = math.ceil(0.8 * window) if len(b) >= decontamination.LEAST_WORDS else window
+    if not b or len(a) < window:
+        return None
+    same = np.array([[x == y for y in b] for x in a], int)
+    rows, columns = len(a) - window + 1, len(b) - window + 1
+    sums = sum(same[t : t + rows, t : t + columns] for t in range(window)).max(axis=1)
+    at = int(sums.argmax())
+    return (int(sums[at]), window, -at) if sums[at] >= need else None
 
 
 def test_decontamination_equals_brute_force(spark):
-    items = [(i, prose(1000 + i, 14 + 3 * i)) for i in range(6)] + [(9, "too short an item"), (10, None), (None, prose(2000, 9))]
+    items = [(i, prose(1000 + i, 14 + 3 * i)) for i in range(6)] + [(9, "not in any text"), (10, None), (None, prose(2000, 9)),
+             (11, "Paris is the capital of France"), (12, "of"), (-1, "")]
     docs = []
     for i in range(40):
         draw, words = random.Random(i), prose(i, 60).split()
@@ -622,26 +646,46 @@ def test_decontamination_equals_brute_force(spark):
             words[20:20] = leak
         docs.append((i, " ".join(words)))
     docs += [(100, None), (101, ""), (102, items[8][1]), (102, items[8][1])]
+    docs += [(103, "It is so: PARIS is the capital of France, is it?"), (104, "Paris is a capital of France")]
+    docs += [(None, items[1][1]), (105, " ".join(["of"] * 5000))]
     documents = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", F.lit(1))
     benchmark = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(2))
     found = decontamination.overlaps(documents, benchmark).collect()
-    got = collections.Counter((r.doc_id, r.item_id) for r in found)
-    want = collections.Counter(
-        (d, -1 if i is None else i) for d, t in docs for i, b in items if plain_overlap(t or "", b or "")
-    )
-    assert got == want and len(got) > 5
+    got = collections.Counter((r.doc_id, r.item_id, r.agreeing, r.window, -r.first_word) for r in found)
+    want, bad = collections.Counter(), set()
+    for number, (d, t) in enumerate(docs):
+        for i, b in items:
+            best = plain_overlap(t or "", b or "")
+            if best:
+                want[(d, i, *best)] += 1
+                bad |= {number} if len(bare(b)) >= decontamination.EVIDENCE_WORDS else set()
+    assert got == want and len(got) > 5 and {11, 12, None} <= {k[1] for k in got}
     kept = decontamination.remove_contaminated(documents, benchmark)
     assert kept.columns == documents.columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, _ in docs if d not in {d for d, _ in got})
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(
+        d for k, (d, _) in enumerate(docs) if k not in bad
+    )
     assert decontamination.overlaps(documents, benchmark.limit(0)).count() == 0
     assert decontamination.overlaps(documents.limit(0), benchmark).count() == 0
 
 
-def test_benchmark_in_blocks_gives_the_same(spark, documents, monkeypatch):
+def test_hot_seeds_and_a_full_filter_give_the_same(spark, documents, monkeypatch):
     benchmark = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     whole = {tuple(r) for r in decontamination.overlaps(documents, benchmark).collect()}
-    monkeypatch.setattr(decontamination, "BLOCK_WORDS", 500)
+    kept = {r.doc_id for r in decontamination.remove_contaminated(documents, benchmark).collect()}
+    monkeypatch.setattr(decontamination, "SLICE_ROWS", 2)
+    monkeypatch.setattr(decontamination, "FILTER_BITS", decontamination.BUCKET_BITS)
     assert whole and {tuple(r) for r in decontamination.overlaps(documents, benchmark).collect()} == whole
+    again = decontamination.remove_contaminated(documents, benchmark).collect()
+    assert {r.doc_id for r in again} == kept
+    assert kept.isdisjoint(r[0] for r in whole)
+
+
+def test_a_million_equal_words_are_few_seeds(spark):
+    documents = spark.createDataFrame([(1, "very " * 1_000_000)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, "very " * 20)], "item_id long, text string")
+    found = decontamination.overlaps(documents, benchmark).collect()
+    assert [tuple(r) for r in found] == [(1, 1, 13, 13, 0)]
 
 
 # ---- 10: licenses ---------------------------------------------------------------
@@ -703,9 +747,7 @@ def test_pipeline_equals_its_stages_by_brute_force(spark, documents):
     _, group = plain_components(rows)
     rows = [r for r, g in zip(rows, group) if r[0] == g]
     items = [r.text for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
-    block = decontamination.Block(list(enumerate(items)))
-    bad = block.hits(pa.array([t for _, t in rows]))
-    rows = [r for k, r in enumerate(rows) if k not in bad]
+    rows = [(i, t) for i, t in rows if not any(plain_overlap(t, b) for b in items)]
     want = sorted((i, len(ids), zlib.crc32(np.array(ids[:2048], "<u4").tobytes())) for (i, _), ids in zip(rows, whole_ids([t for _, t in rows])))
     found = corpus_pipeline.run(spark, SMALL).collect()
     total = collections.Counter()
