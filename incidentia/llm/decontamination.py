@@ -49,7 +49,9 @@ BUCKET_BITS = 15
 # Words before and after the begin of a seed that a window around it can reach.
 BEFORE = WINDOW - 1 - min(m[-1] for m in MASKS)
 AFTER = WINDOW
+# Text that is cut into words at a time, and seeds whose surroundings are looked up at a time.
 TEXT_BYTES = 4 << 20
+SEED_ROWS = 20_000
 _FACTORS = np.array([pow(0x9E3779B97F4A7C15, 2 * i + 1, 1 << 64) for i in range(8)], np.uint64)
 SEEDS = "seed bigint, before int, after int, around binary"
 
@@ -147,8 +149,7 @@ def item_seeds(benchmark: DataFrame, item_id: str, text: str, least_words: int)
                 )
 
     made = arrow_rows(items, run, SEEDS + ", item_id bigint, words int")
-    # A word that an item repeats gives equal rows.
-    return written(made.distinct(), "benchmark-seeds")
+    return written(made, "benchmark-seeds")
 
 
 class SeedFilter:
@@ -169,7 +170,7 @@ class SeedFilter:
         rows = places.groupBy(bucket).agg(F.bitmap_construct_agg(bit).alias("bits"))
         self.bytes = np.zeros((1 << (self.bits - BUCKET_BITS), 1 << (BUCKET_BITS - 3)), np.uint8)
         # At most 2 ** (FILTER_BITS - BUCKET_BITS) rows of 4 KB, whatever the benchmark's size.
-        for row in rows.toLocalIterator():
+        for row in rows.collect():
             self.bytes[row.bucket] = np.frombuffer(row.bits, np.uint8)
         self.bytes = self.bytes.reshape(-1)
 
@@ -200,10 +201,10 @@ def text_seeds(rows: DataFrame, known: SeedFilter, short: list[int]) -> DataFram
                     seeds, place = _seeds(marks, edges, whole, mask)
                     maybe = known.places(seeds)
                     seeds, place = seeds[maybe], place[maybe]
-                    for at in range(0, len(seeds), SLICE_ROWS):
+                    for at in range(0, len(seeds), SEED_ROWS):
                         yield found(
                             texts, marks, edges, whole, number,
-                            seeds[at : at + SLICE_ROWS], place[at : at + SLICE_ROWS],
+                            seeds[at : at + SEED_ROWS], place[at : at + SEED_ROWS],
                         )
                 number += len(texts)
 
@@ -293,16 +294,17 @@ def _hits(rows: DataFrame, benchmark: DataFrame, item_id: str, item_text: str, l
     lengths = items.where(F.col("words") < LEAST_WORDS).select("words").distinct()
     short = sorted(r.words for r in lengths.collect())
     seeds = written(text_seeds(rows, SeedFilter(items), short), "document-seeds")
-    known = items.select("seed").distinct()
-    counts = written(seeds.join(known, "seed", "left_semi").groupBy("seed").count(), "seed-counts")
     # A seed of many documents is dealt over several tasks, its items are copied to each.
+    # The list holds at most (all rows / SLICE_ROWS) seeds.
+    counts = seeds.groupBy("seed").count().where(F.col("count") > SLICE_ROWS)
     pieces = F.ceil(F.col("count") / F.lit(SLICE_ROWS)).cast("int").alias("pieces")
-    many = counts.where(F.col("count") > SLICE_ROWS).select("seed", pieces)
+    many = F.broadcast(written(counts.select("seed", pieces), "frequent-seeds"))
     piece = F.coalesce(F.pmod(F.xxhash64("row", "place"), "pieces").cast("int"), F.lit(0))
-    ours = seeds.join(F.broadcast(many), "seed", "left").withColumn("piece", piece).drop("pieces")
-    theirs = items.join(counts.select("seed", pieces), "seed").select(
+    ours = seeds.join(many, "seed", "left").withColumn("piece", piece).drop("pieces")
+    last = F.coalesce("pieces", F.lit(1)) - 1
+    theirs = items.join(many, "seed", "left").select(
         "seed",
-        F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"),
+        F.explode(F.sequence(F.lit(0), last)).alias("piece"),
         "item_id",
         "words",
         *(F.col(c).alias(f"item_{c}") for c in ("before", "after", "around")),
