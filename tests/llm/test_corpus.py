@@ -460,6 +460,12 @@ def test_no_documents_give_no_shards(none):
     assert token_shards.materialise(none, tokens.tokenizer_path()).count() == 0
 
 
+def test_shards_refuse_ids_above_16_bits(documents, monkeypatch):
+    monkeypatch.setattr(token_shards, "largest_id", lambda path: 1 << 16)
+    with pytest.raises(ValueError, match="16 bits"):
+        token_shards.write_shards(documents, tokens.tokenizer_path(), "unused")
+
+
 # ---- 7: quality -----------------------------------------------------------------
 
 
