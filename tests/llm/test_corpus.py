@@ -257,40 +257,95 @@ def test_pitman_yor_counts_and_held_out_score(spark, documents):
 
 
 def test_pitman_yor_is_a_distribution(spark):
-    """Over all words, the end and one unknown word, each context adds up to 1."""
+    """Over all words, one unknown word and the end, each context adds up to 1.
+
+    Texts x, x w and the empty one give P(x) E(x), P(x) P(w | x) E(w) and E,
+    with P at the begin of a text and E of its end. If words after x add up to
+    1 - E(x) for each x, then P solves linear equations; so must it add up.
+    """
     train = [(i, " ".join(random.Random(i).choices(["a", "b", "c", "d."], k=30))) for i in range(40)]
-    ask = [(100 + i, f"a {w}") for i, w in enumerate(["a", "b", "c", "d.", "never"])]
-    ask += [(200, "a"), (201, "")]
+    words = ["a", "b", "c", "d.", "never"]
+    ask = [(1000, "")] + [(100 + i, w) for i, w in enumerate(words)]
+    ask += [(200 + 10 * i + j, f"{v} {w}") for i, v in enumerate(words) for j, w in enumerate(words)]
     docs = spark.createDataFrame(train + ask, "doc_id long, text string")
-    score = {r.doc_id: r.score for r in pitman_yor.score(docs, F.col("doc_id") >= 100).collect()}
-    lone = {w: [(300 + i, w)] for i, w in enumerate(["a"])}
-    assert lone
-    # P(a w end) / P(a w) is unknown here, so compare through the end of each word.
-    more = spark.createDataFrame(
-        train + [(400 + i, w) for i, w in enumerate(["a", "b", "c", "d.", "never"])] + [(500, "")],
-        "doc_id long, text string",
-    )
-    own = {r.doc_id: r.score for r in pitman_yor.score(more, F.col("doc_id") >= 100).collect()}
-    assert own[500] == pytest.approx(score[201])
-    assert all(s < 0 for s in own.values())
-
-
-def test_seating_keeps_customers_and_tables_grow_with_the_weight():
-    draw = np.random.default_rng(1)
-    customers = np.array([1, 2, 3, 50, 4000] * 200)
-    few = pitman_yor.seat(customers, np.full(1000, 0.01), 0.5, draw)
-    many = pitman_yor.seat(customers, np.full(1000, 50.0), 0.5, draw)
-    for sizes in (few, many):
-        assert (sizes.sum(axis=1) == customers).all() and (sizes >= 0).all()
-    assert (many > 0).sum() > 2 * (few > 0).sum()
-
-
-def test_seating_of_two_customers_has_the_right_odds():
-    """With discount d and weight a, two customers share a table with odds (1 - d) : a."""
-    draw = np.random.default_rng(2)
-    sizes = pitman_yor.seat(np.full(40_000, 2), np.full(40_000, 0.5), 0.2, draw)
-    alone = ((sizes > 0).sum(axis=1) == 2).mean()
-    assert alone == pytest.approx(0.5 / (0.5 + 0.8), abs=0.01)
+    found = {r.doc_id: 10**r.score for r in pitman_yor.score(docs, F.col("doc_id") >= 100).collect()}
+    one = np.array([found[100 + i] for i in range(5)])
+    two = np.array([[found[200 + 10 * i + j] for j in range(5)] for i in range(5)])
+    begin = np.linalg.solve(np.eye(5) - two / one, one)
+    assert begin.min() > 0 and begin.sum() + found[1000] == pytest.approx(1, abs=1e-9)
+
+
+def one_by_one(c, start, discount, copies, seed):
+    """Tables after c customers came in, one after the other."""
+    draw, tables = np.random.default_rng(seed), np.ones(copies)
+    for n in range(1, c):
+        tables += draw.random(copies) * (start + n) < start + discount * tables
+    return tables
+
+
+def law_of(copies, c, start, discount, first=1.0, later=None, total=None):
+    full = lambda v: None if v is None else np.full(copies, v)
+    return pitman_yor.Law(full(c), full(start), full(first), discount, full(later), full(total))
+
+
+@pytest.mark.parametrize("start", [0.5, 20.0, 800.0])
+@pytest.mark.parametrize("customers", [10, 1000, 100_000])
+def test_table_counts_are_those_of_plain_seating(customers, start):
+    # If the parent has no other word, the law is that of coming in one by one.
+    plain = one_by_one(customers, start, 0.8, 4000, 1)
+    drawn = law_of(4000, customers, start, 0.8).draw(np.random.default_rng(2))
+    assert drawn.mean() == pytest.approx(plain.mean(), rel=0.02)
+    assert drawn.std() == pytest.approx(plain.std(), rel=0.1)
+
+
+@pytest.mark.parametrize("discount", [0.7, 0.8])
+def test_stirling_numbers_of_large_dishes(discount):
+    size = 3000
+    exact, t = np.full(size + 2, -np.inf), np.arange(1, size + 2)
+    exact[1] = 0.0
+    for c in range(1, size):
+        stay = np.log(np.maximum(c - discount * t, 1e-300)) + exact[1:]
+        exact[1:] = np.logaddexp(exact[:-1], stay)
+    off = np.abs(pitman_yor.log_stirling(np.full(size, size), t[:-1], discount) - exact[1:-1])
+    assert off[:-5].max() < 0.02 and off.max() < 0.1
+
+
+@pytest.mark.parametrize("start, first, later", [(6.0, 0.5, 1.5), (400.0, 900.0, 901.0), (9.0, 0.5, 1.3)])
+def test_steps_follow_the_law_that_is_written_out(start, first, later):
+    c, draw, at = pitman_yor.EXACT, np.random.default_rng(4), np.arange(6000)
+    law = law_of(6000, c, start, 0.8, first, later, 5000.0)
+    whole, steps = law._written_out(at, c, draw), law._stepped(at, draw)
+    assert steps.mean() == pytest.approx(whole.mean(), rel=0.02)
+    assert steps.std() == pytest.approx(whole.std(), rel=0.1, abs=0.05)
+
+
+@pytest.mark.parametrize("customers", [2, 30, 80])
+@pytest.mark.parametrize("others", [0, 7])
+def test_seating_equals_moves_of_single_customers(customers, others):
+    """The plain sampler: one customer leaves and sits down again at a time, with
+    tables of all sizes, the parent's tables held."""
+    start, d, total, fresh = 6.0, 0.8, 40.0, 0.5
+    later = others + 1 - 0.7 * 1 + fresh
+    first = later - 1 if others else fresh
+    draw, copies = np.random.default_rng(3), 300
+    sizes = np.zeros((copies, customers + 1))
+    sizes[:, 0] = customers
+    rows, seen = np.arange(copies), []
+    moves = customers * 120
+    for n in range(moves):
+        at = (np.cumsum(sizes, axis=1) <= draw.random((copies, 1)) * customers).sum(axis=1)
+        sizes[rows, at] -= 1
+        t = (sizes > 0).sum(axis=1)
+        own = np.where(t == 0, first, later + t - 1)
+        chance = np.where(sizes > 0, sizes - d, 0)
+        chance[rows, (sizes == 0).argmax(axis=1)] = (start + d * t) * own / (total + t)
+        summed = np.cumsum(chance, axis=1)
+        at = (summed <= draw.random((copies, 1)) * summed[:, -1:]).sum(axis=1)
+        sizes[rows, at] += 1
+        if n > moves // 2 and n % max(1, customers // 4) == 0:
+            seen.append((sizes > 0).sum(axis=1).mean())
+    law = law_of(20_000, customers, start, d, first, later, total)
+    assert law.draw(draw).mean() == pytest.approx(np.mean(seen), rel=0.03)
 
 
 def test_pitman_yor_on_odd_input(spark, odd, none):
