@@ -1,7 +1,9 @@
 """License detection: sparse TF-IDF cosine to templates, inheritance by directory.
 
-Each line of a file and the whole file are units. A unit is a sparse vector of
-its terms, weighted by their frequency and by how rare they are among the
+Units are the whole file, its lines, its paragraphs (between lines without a
+letter or digit) and its runs of comment lines; so a notice is found on one line,
+wrapped over many above any amount of source, or as a file of its own. A unit is
+a sparse vector of its terms, weighted by their frequency and by how rare they are among the
 templates (a term of no template is as rare as can be). The cosine to each
 template is a join on terms. The best unit decides on the license of a file.
 
@@ -29,7 +31,26 @@ from incidentia.session import written
 
 THRESHOLD = 0.6
 
-# License notices as projects write them.
+# License texts and notices as projects write them.
+_BSD_CONDITIONS = (
+    "Redistribution and use in source and binary forms, with or without modification, are "
+    "permitted provided that the following conditions are met: 1. Redistributions of source code "
+    "must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other "
+    "materials provided with the distribution. "
+)
+_BSD_DISCLAIMER = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY "
+    "EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF "
+    "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE "
+    "COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, "
+    "EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF "
+    "SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+    "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR "
+    "TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+    "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT license. See the LICENSE file in the project root."),
@@ -72,11 +93,6 @@ TEMPLATES = (
         "International License.",
     ),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    (
-        "BSD-3-Clause",
-        "Redistribution and use in source and binary forms, with or without modification, are "
-        "permitted provided that the following conditions are met",
-    ),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license."),
     (
         "MPL-2.0",
@@ -84,7 +100,83 @@ TEMPLATES = (
         "a copy of the MPL was not distributed with this file, You can obtain one at "
         "http://mozilla.org/MPL/2.0/",
     ),
-)
+    (
+        "LGPL-2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation; "
+        "either version 2.1 of the License, or (at your option) any later version.",
+    ),
+    (
+        "LGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version.",
+    ),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Affero General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version.",
+    ),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    (
+        "Unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free "
+        "to copy, modify, publish, use, compile, sell, or distribute this software, either in "
+        "source code form or as a compiled binary, for any purpose, commercial or "
+        "non-commercial, and by any means.",
+    ),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with "
+        "or without fee is hereby granted, provided that the above copyright notice and this "
+        "permission notice appear in all copies.",
+    ),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with "
+        "or without fee is hereby granted, provided that the above copyright notice and this "
+        "permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE "
+        "AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR "
+        "ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER "
+        "RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, "
+        "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
+        "PERFORMANCE OF THIS SOFTWARE.",
+    ),
+    (
+        "MIT",
+        "MIT License. Permission is hereby granted, free of charge, to any person obtaining a "
+        "copy of this software and associated documentation files (the \"Software\"), to deal in "
+        "the Software without restriction, including without limitation the rights to use, copy, "
+        "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and "
+        "to permit persons to whom the Software is furnished to do so, subject to the following "
+        "conditions: The above copyright notice and this permission notice shall be included in "
+        "all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", "
+        "WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+        "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN "
+        "NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR "
+        "OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT "
+        "OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    ("BSD-2-Clause", _BSD_CONDITIONS + _BSD_DISCLAIMER),
+    (
+        "BSD-3-Clause",
+        _BSD_CONDITIONS + "3. Neither the name of the copyright holder nor the names of its "
+        "contributors may be used to endorse or promote products derived from this software "
+        "without specific prior written permission. " + _BSD_DISCLAIMER,
+    ),
+    *((name, f"SPDX-License-Identifier: {name}") for name in (
+        "MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "ISC",
+        "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "CC-BY-4.0", "CC-BY-SA-4.0", "Unlicense",
+    )),
+)
 
 # Words that are frequent in any English text.
 STOP_WORDS = frozenset(
@@ -94,6 +186,9 @@ STOP_WORDS = frozenset(
 )
 
 _TERM = "[a-z0-9]+"
+# A line that begins like a comment, and what lies between paragraphs.
+COMMENT_LINE = r"^[ \t]*([*#;%]|//|/[*]|--|<!--)"
+BETWEEN = r"\n[^a-zA-Z0-9]*\n"
 _LICENSE_FILE = r"(?i)^(un)?licen[cs]e|^copying|^notice"
 
 
@@ -126,7 +221,15 @@ def _unit_terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(_TERM), 0)
 
 
-def _within_reach(terms: Column, known: Column, stop: Column, threshold: float) -> Column:
+def _units(text: Column) -> Column:
+    """The whole text, lines, paragraphs and runs of comment lines, each once."""
+    lines = F.split(text, "\n")
+    comments = F.transform(lines, lambda line: F.when(line.rlike(COMMENT_LINE), line).otherwise(""))
+    runs = F.split(F.array_join(comments, "\n"), "\n\n+")
+    return F.array_distinct(F.concat(F.array(text), lines, F.split(text, BETWEEN), runs))
+
+
+def _within_reach(terms: Column, known: list[str], threshold: float) -> Column:
     """Can a unit with these terms reach the threshold?
 
     With weights K of its template terms and U of the others (sums of squares),
@@ -134,8 +237,9 @@ def _within_reach(terms: Column, known: Column, stop: Column, threshold: float)
     square of the largest rarity to U, and K is at most that square times the
     square of the number of template terms, repeats included.
     """
-    inside = F.size(F.filter(terms, lambda t: F.array_contains(known, t))).cast("double")
-    outside = F.size(F.array_except(terms, F.concat(known, stop)))
+    inside = F.size(F.filter(terms, lambda t: t.isin(known))).cast("double")
+    weighty = [*known, *STOP_WORDS]
+    outside = F.size(F.array_distinct(F.filter(terms, lambda t: ~t.isin(weighty))))
     least = (threshold - 1e-6) ** 2
     return (inside > 0) & (outside * least <= inside * inside * (1 - least))
 
@@ -154,22 +258,20 @@ def own_licenses(
     name. Several rows with one path are one file.
     """
     spark, weights = files.sparkSession, Weights(templates)
-    known = F.array(*[F.lit(t) for t in weights.terms])
-    stop = F.array(*[F.lit(t) for t in sorted(STOP_WORDS)])
+    known, stop = weights.terms, sorted(STOP_WORDS)
     lower = F.lower(F.col(text).cast("string"))
     # Without a term of some template every cosine is 0.
-    hit = F.arrays_overlap(F.split(lower, "[^a-z0-9]+"), known)
+    hit = F.exists(F.split(lower, "[^a-z0-9]+"), lambda t: t.isin(known))
     texts = files.select(F.col(path).cast("string").alias("path"), F.col(text).cast("string").alias("text"))
     near = texts.where(hit & F.col("path").isNotNull())
-    lines = F.array_distinct(F.concat(F.array("text"), F.split("text", "\n")))
     units = (
-        near.select("path", F.explode(lines).alias("unit"))
+        near.select("path", F.explode(_units(F.col("text"))).alias("unit"))
         .select("path", F.xxhash64("unit").alias("unit"), _unit_terms(F.col("unit")).alias("terms"))
-        .where(_within_reach(F.col("terms"), known, stop, threshold))
+        .where(_within_reach(F.col("terms"), known, threshold))
     )
     counted = (
         units.select("path", "unit", F.explode("terms").alias("term"))
-        .where(~F.array_contains(stop, F.col("term")))
+        .where(~F.col("term").isin(stop))
         .groupBy("path", "unit", "term")
         .agg(F.count("*").alias("times"))
     )

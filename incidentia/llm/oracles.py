@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from incidentia.llm.licenses import STOP_WORDS, TEMPLATES
+from incidentia.llm.licenses import BETWEEN, COMMENT_LINE, STOP_WORDS, TEMPLATES
 
 ORACLES: dict[str, str] = {}
 
@@ -161,7 +161,12 @@ template_terms AS (
     FROM documents
 ), units AS (
     SELECT DISTINCT path, unit
-    FROM (SELECT path, unnest(list_concat([text], string_split(text, chr(10)))) AS unit FROM files)
+    FROM (SELECT path, unnest([text] || string_split(text, chr(10))
+              || string_split_regex(text, '{BETWEEN}')
+              || string_split_regex(array_to_string(list_transform(string_split(text, chr(10)),
+                  lambda line: CASE WHEN regexp_matches(line, '{COMMENT_LINE}') THEN line ELSE '' END),
+                  chr(10)), '\n\n+')) AS unit
+          FROM files)
 ), counted AS (
     SELECT path, unit, term, count(*) AS times
     FROM (SELECT path, unit, unnest(regexp_extract_all(lower(unit), '[a-z0-9]+')) AS term FROM units)

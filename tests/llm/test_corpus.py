@@ -6,6 +6,7 @@ import collections
 import itertools
 import math
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -780,6 +781,33 @@ def test_licenses_are_inherited_from_the_nearest_directory(spark):
     assert licenses.scan(files.limit(0)).count() == 0
 
 
+def test_licenses_of_wrapped_headers_and_whole_files(spark):
+    texts = {(n, t[:30]): t for n, t in licenses.TEMPLATES}
+    mit, agpl = texts["MIT", "Permission is hereby granted, "], texts["AGPL-3.0", "This program is free software:"]
+    long = {n: t for n, t in licenses.TEMPLATES if len(t) > 500}
+    lesser = texts["LGPL-2.1", "This library is free software;"]
+    code = "\n".join(f"    value_{i} = compute(value_{i - 1}, table[{i}])" for i in range(400))
+    wrap = lambda text, mark="": "\n".join(mark + line for line in textwrap.wrap(text, 72 - len(mark)))
+    owner = "Copyright (c) 2021 The Owners of Something"
+    rows = [
+        ("MIT", f'"""{owner}\n\n{wrap(mit)}\n"""\n{code}'),
+        ("MIT", wrap(f"{owner}. {mit}", "# ") + "\n" + code),
+        ("MIT", f"{owner}\n\n" + wrap(long["MIT"])),
+        ("ISC", f"ISC License\n\n{owner}\n\n" + wrap(long["ISC"])),
+        ("BSD-2-Clause", f"{owner}\nAll rights reserved.\n\n" + wrap(long["BSD-2-Clause"])),
+        ("BSD-3-Clause", f"/*\n * {owner}\n *\n{wrap(long['BSD-3-Clause'], ' * ')}\n */\n{code}"),
+        ("LGPL-2.1", f"/* {owner}\n *\n{wrap(lesser, ' * ')}\n */\n{code}"),
+        ("AGPL-3.0", f"// {owner}\n//\n{wrap(agpl, '// ')}\n{code}"),
+        ("GPL-2.0", "        GNU GENERAL PUBLIC LICENSE\n           Version 2, June 1991\n\n" + prose(1, 900)),
+        ("Apache-2.0", f"// SPDX-License-Identifier: Apache-2.0\n{code}"),
+        (None, code), (None, prose(2, 500)), (None, "# SPDX-License-Identifier: Other-Terms\n" + code),
+        (None, "\n" * 50_000 + "#\n" * 50_000),
+    ]
+    files = spark.createDataFrame([(f"f{i}", t) for i, (_, t) in enumerate(rows)], "path string, text string")
+    found = {r.path: r.license for r in licenses.own_licenses(files).collect()}
+    assert [found.get(f"f{i}") for i in range(len(rows))] == [n for n, _ in rows]
+
+
 # ---- Pipeline -------------------------------------------------------------------
 
 
