@@ -250,20 +250,31 @@ def write_shards(
     return shards
 
 
-def read_shards(spark, shards: Shards, *, with_ids: bool = True) -> DataFrame:
-    """(slot, shard, byte_offset, ids_crc32[, ids]) of every record, read from the files."""
+def read_shards(spark, shards: Shards, *, with_ids: bool = True, start: int = 0) -> DataFrame:
+    """(slot, shard, byte_offset, ids_crc32[, ids]) of the records from slot ``start`` on,
+    read from the files. Files before that slot are not opened; of its own file only
+    the records from its byte on are cut out. A start beyond the last slot gives none.
+    """
     stride = shards.stride
     if not shards.count:
         schema = "slot bigint, shard int, byte_offset bigint, ids_crc32 bigint"
         return spark.createDataFrame([], schema + ", ids binary" * with_ids)
     name = F.regexp_extract(F.element_at(F.split("path", "/"), -1), r"^part-(\d+)", 1)
     # A file is a whole number of records; they are cut out of it one by one.
-    at = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - stride, F.lit(stride).cast("bigint")))
+    first, skipped = F.lit(0).cast("bigint"), F.lit(True)
+    if start:
+        # The name is known from the listing, so the scan leaves other files out.
+        number = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("int")
+        skipped = number >= start // shards.records
+        begin = start % shards.records * stride
+        first = F.when(number == start // shards.records, F.lit(begin)).otherwise(0).cast("bigint")
+        skipped &= F.col("length") > first
+    at = F.explode(F.sequence(first, F.col("length") - stride, F.lit(stride).cast("bigint")))
     records = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "part-*")
         .load(shards.path)
-        .where(F.col("length") > 0)
+        .where((F.col("length") > 0) & skipped)
         .select(name.cast("int").alias("shard"), "content", at.alias("byte_offset"))
         .withColumn("ids", F.substring("content", (F.col("byte_offset") + 1).cast("int"), F.lit(stride)))
     )

@@ -512,6 +512,17 @@ def test_shards_hold_the_stream(spark, documents, odd):
             assert sorted(rebuilt) == sorted(texts[doc_id])
 
 
+@pytest.mark.parametrize("start", [0, 1, 7, 8, 20, 10**6])
+def test_reading_goes_on_at_a_slot(spark, documents, start):
+    path = scratch_path(spark, "shards")
+    shards = token_shards.write_shards(documents, tokens.tokenizer_path(), path, size=512, records=8)
+    key = lambda r: (r.slot, r.shard, r.byte_offset, bytes(r.ids))
+    whole = sorted(map(key, token_shards.read_shards(spark, shards).collect()))
+    assert [k[0] for k in whole] == list(range(shards.count)) and shards.count > 20
+    rest = token_shards.read_shards(spark, shards, start=start)
+    assert sorted(map(key, rest.collect())) == whole[start:]
+
+
 def test_no_documents_give_no_shards(none):
     assert token_shards.materialise(none, tokens.tokenizer_path()).count() == 0
 
