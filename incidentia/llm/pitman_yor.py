@@ -3,9 +3,9 @@
 Each context has a restaurant of its own; all of them share one parent, whose
 base is uniform over the training vocabulary and one unknown word. A table of a
 context restaurant is a customer of the parent. The context of a word is the
-word before it if that is one of the ``CONTEXT_WORDS`` most frequent, else its
-last byte; a text begins in a context of its own. So the number of restaurants
-is bounded, while their customers are all training words.
+word before it, whichever that is; a text begins after the end of another. So
+every training word has a restaurant, and what comes after a word that is not
+known is the parent's alone.
 
 With ``c`` customers and ``t`` tables of a word in a restaurant (``C`` and
 ``T`` of all words), discount ``d`` and strength ``s``:
@@ -27,15 +27,21 @@ a correction, and the law is sampled by Metropolis steps. Dishes of one sweep ar
 given the totals before it. Predictive probabilities are averaged over sweeps.
 
 The work is dealt out by dish. A bucket holds words with all their restaurants,
-so seating them needs only totals of bounded size from outside: tables per
-context, and counts of the most frequent words, whose restaurants are spread
-over all buckets. These totals are refreshed once per sweep.
+so seating them needs from outside the tables per context, and the counts of the
+``CONTEXT_WORDS`` most frequent words, whose restaurants are spread over all
+buckets. Both are refreshed once per sweep. What belongs to the most frequent
+words is an array of bounded size. The tables in the contexts of all other
+words are added up in the bucket that holds the word as a dish: buckets write
+letters to each other, about contexts in which they have a dish to seat.
 
 1. Documents become slices: word codes of a bounded number of texts, written once.
 2. Each slice asks each bucket about its distinct (context, word) pairs and
    brings their counts along, so a frequent pair counts once per slice.
-3. Buckets add up the counts and run the sweeps; no sweep shuffles anything.
+3. Buckets add up the counts and run the sweeps; letters go between them.
 4. Buckets answer, and slices score their documents.
+
+The customers of a context are the training occurrences of its word, as each is
+followed by one token, so they need no count of their own.
 """
 
 from __future__ import annotations
@@ -55,11 +61,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from incidentia.llm.common import drop_written
+from incidentia.llm.common import drop_written, free_shuffles
 from incidentia.llm.tokens import slices
 from incidentia.llm.words import split_words
-from incidentia.session import written
+from incidentia.session import scratch_path, written
 
+# Words whose contexts and dishes are spread over all buckets; the others are
+# whole in one bucket. This has no effect on what a context is.
 CONTEXT_WORDS = 2000
 BUCKET_TOKENS = 2_000_000
 BURN_IN = 1
@@ -87,6 +95,15 @@ def unpack(data: bytes) -> tuple:
     return pickle.loads(zstandard.decompress(data))
 
 
+def _planes(marks: np.ndarray) -> np.ndarray:
+    """Ascending marks by byte, the highest first: those hardly differ and pack well."""
+    return np.ascontiguousarray(marks.astype(">u8").view(np.uint8).reshape(-1, 8).T)
+
+
+def _whole(planes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(planes.T).view(">u8").ravel().astype(np.uint64)
+
+
 # ---- Slices ---------------------------------------------------------------------
 
 SLICE = "slice bigint, doc_ids array<bigint>, held array<boolean>, edges binary, words binary, tokens bigint"
@@ -103,7 +120,6 @@ def _sliced(docs: DataFrame, doc_id: str, text: str, held: Column) -> DataFrame:
                 coded = words.dictionary_encode()
                 own = coded.dictionary.cast(pa.large_binary()).to_pylist()
                 marks = np.array([END_MARK, *map(xxhash.xxh64_intdigest, own)], np.uint64)
-                last = np.array([0, *(w[-1] for w in own)], np.uint8)
                 # Frequent words get small codes, which pack well.
                 codes = coded.indices.to_numpy() + 1 if len(words) else np.zeros(0, np.int64)
                 order = np.argsort(-np.bincount(codes, minlength=len(marks)), kind="stable")
@@ -120,7 +136,7 @@ def _sliced(docs: DataFrame, doc_id: str, text: str, held: Column) -> DataFrame:
                         pa.array([rows["held"].to_pylist()], pa.list_(pa.bool_())),
                         pa.array([(edges + np.arange(texts + 1)).astype(np.int64).tobytes()]),
                         pa.array(
-                            [pack(marks[order], last[order], (line & 0xFFFF).astype(np.uint16),
+                            [pack(marks[order], (line & 0xFFFF).astype(np.uint16),
                                   (line >> 16).astype(np.uint16))], pa.binary()
                         ),
                         pa.array([len(line)], pa.int64()),
@@ -141,33 +157,43 @@ class Slice:
     """The words of a slice, and its distinct (word, context) pairs by bucket."""
 
     def __init__(self, words: bytes, edges: bytes, held: list[bool]):
-        self.marks, self.last, low, high = unpack(words)
+        self.marks, low, high = unpack(words)
         self.line = low.astype(np.int64) | high.astype(np.int64) << 16
         self.edges = np.frombuffer(edges, np.int64)
         self.train = np.repeat(~np.array(held, bool), np.diff(self.edges))
 
     def pairs(self, frequent: np.ndarray, buckets: int) -> None:
-        """Number the pairs in the order of bucket, word and context."""
+        """Number the pairs in the order of bucket, word and context, that of
+        the most frequent words first."""
         at = np.minimum(np.searchsorted(frequent, self.marks), max(0, len(frequent) - 1))
         known = frequent[at] == self.marks if len(frequent) else np.zeros(len(self.marks), bool)
         self.top = np.where(known, at, -1)
-        classes = np.where(known, at, CONTEXT_WORDS + self.last.astype(np.int64))
         before = np.empty(len(self.line), np.int64)
-        before[1:] = classes[self.line[:-1]]
-        before[self.edges[:-1]] = CONTEXT_WORDS + 256
-        pair, self.of = np.unique(self.line * CONTEXTS + before, return_inverse=True)
-        word, context = pair // CONTEXTS, pair % CONTEXTS
+        before[1:] = self.line[:-1]
+        before[self.edges[:-1]] = 0  # the end of another text
+        size = len(self.marks)
+        pair, self.of = np.unique(self.line * size + before, return_inverse=True)
+        word, context = pair // size, pair % size
         count = np.bincount(self.of, self.train, len(pair)).astype(np.uint32)
-        salt = np.where(known[word], context + 1, 0).astype(np.uint64)
-        bucket = _mixed(self.marks[word] + salt * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(buckets)
-        order = np.lexsort((context, self.marks[word], bucket))
+        salt = np.where(known[word], self.marks[context], np.uint64(0))
+        bucket = _home(self.marks[word] + salt * np.uint64(0x9E3779B97F4A7C15), buckets)
+        by_mark, as_context = np.empty(size, np.int64), np.empty(size, np.int64)
+        by_mark[np.argsort(self.marks)] = np.arange(size)
+        as_context[np.lexsort((self.marks, ~known))] = np.arange(size)
+        order = np.lexsort((as_context[context], by_mark[word], bucket))
         self.place = np.empty(len(pair), np.int64)
         self.place[order] = np.arange(len(pair))
         self.word, self.context, self.count = word[order], context[order], count[order]
-        self.bucket = bucket[order].astype(np.int64)
+        self.bucket = bucket[order]
 
 
-CONTEXTS = CONTEXT_WORDS + 257
+# The contexts of the most frequent words; all others together are the last.
+CONTEXTS = CONTEXT_WORDS + 1
+
+
+def _home(marks: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of a word; that of the tables in its context, too."""
+    return (_mixed(marks) % np.uint64(buckets)).astype(np.int64)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -176,15 +202,15 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def _frequent_words(sliced: DataFrame) -> np.ndarray:
-    """Marks of the most frequent training words, in the order of marks."""
+    """Marks of the most frequent training words (the end is one), in the order of marks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for words, edges, held in zip(*(batch[c].to_pylist() for c in ("words", "edges", "held"))):
                 own = Slice(words, edges, held)
-                n = np.bincount(own.line[own.train], minlength=len(own.marks))[1:]
+                n = np.bincount(own.line[own.train], minlength=len(own.marks))
                 seen = np.flatnonzero(n)
-                yield pa.record_batch({"mark": own.marks[seen + 1].view(np.int64), "n": n[seen]})
+                yield pa.record_batch({"mark": own.marks[seen].view(np.int64), "n": n[seen]})
 
     named = sliced.select("words", "edges", "held").mapInArrow(run, "mark bigint, n bigint")
     total = named.groupBy("mark").agg(F.sum("n").alias("n"))
@@ -424,28 +450,81 @@ class Totals:
 
 class Bucket:
     """Words, their (word, context) pairs with counts and tables, and the words'
-    tables in the parent."""
+    tables in the parent.
 
-    def __init__(self, marks, top, word, context, count, tables=None, seats=None, drawn=()):
-        self.marks, self.top, self.word, self.context, self.count = marks, top, word, context, count
+    Contexts below ``CONTEXT_WORDS`` are those of the most frequent words; the
+    others follow in the order of ``rare``, the marks of their words.
+    """
+
+    def __init__(self, marks, top, many, context, count, rare, buckets, moved=None):
+        self.marks, self.top, self.context, self.count = marks, top, context, count
+        self.many, self.word = many, np.repeat(np.arange(len(marks)), many)
+        self.rare, self.buckets = rare, buckets
         self.seated = np.flatnonzero(count > 1)
         # At first each dish has one table.
-        self.tables = np.minimum(count, 1) if tables is None else tables.astype(np.int64)
-        self.seats = np.minimum(self.in_parent(), 1) if seats is None else seats.astype(np.int64)
-        self.drawn = list(drawn)
-
-    def state(self) -> bytes:
+        self.tables, self.drawn, self.spread = np.minimum(count, 1), [], []
+        if moved is None:
+            self.seats = np.minimum(self.in_parent(), 1)
+        else:
+            self.tables[self.seated], seats, self.drawn, self.spread = moved
+            self.seats = seats.astype(np.int64)
+        # Of these contexts the bucket must know all tables; by home, in the order of marks.
+        asked = np.unique(context[self.seated])
+        self.asked = (asked[asked >= CONTEXT_WORDS] - CONTEXT_WORDS).astype(np.int64)
+        self.homes = _home(rare, buckets)
+        self.reach = np.zeros(len(rare), np.int64)
+
+    def fixed(self) -> bytes:
+        """What no sweep changes. After the first letters only contexts with
+        dishes to seat must be told apart; all others become one."""
+        place = np.full(len(self.rare), len(self.asked), np.uint32)
+        place[self.asked] = np.arange(len(self.asked))
+        context = self.context.astype(np.uint32)
+        other = context >= CONTEXT_WORDS
+        context[other] = CONTEXT_WORDS + place[context[other] - CONTEXT_WORDS]
         return pack(
-            self.marks, self.top, self.word, self.context, self.count,
-            self.tables.astype(np.uint32), self.seats.astype(np.uint32), self.drawn,
+            self.marks, self.top, self.many.astype(np.uint32), context, self.count,
+            self.rare[self.asked], self.buckets,
         )
 
+    def moved(self) -> bytes:
+        tables, seats = (v.astype(np.uint32) for v in (self.tables[self.seated], self.seats))
+        return pack(tables, seats, self.drawn, self.spread)
+
+    def letters(self, first: bool) -> Iterator[tuple[int, bytes]]:
+        """To each home the tables in its contexts, as far as they may change;
+        at ``first`` also those of dishes with one customer, which do not."""
+        sums = []
+        for x in (np.flatnonzero(self.count == 1) if first else self.seated[:0], self.seated):
+            x = x[self.context[x] >= CONTEXT_WORDS]
+            sums.append(np.bincount(self.context[x] - CONTEXT_WORDS, self.tables[x], len(self.rare)))
+        single = np.flatnonzero(sums[0])
+        for home in np.unique(self.homes[np.concatenate((single, self.asked))]):
+            content = []
+            for x, tables in zip((single, self.asked), sums):
+                own = x[self.homes[x] == home]
+                content += [_planes(self.rare[own]), tables[own].astype(np.uint32)]
+            yield int(home), pack(*content)
+
+    def hear(self, sums: dict[int, bytes], own: bytes | None, keep: bool) -> None:
+        """Take the tables of all buckets in the contexts that were asked for,
+        and those in the contexts of the bucket's own words."""
+        for home, content in sums.items():
+            (self.reach[self.asked[self.homes[self.asked] == home]],) = unpack(content)
+        if keep:
+            tables = np.zeros(len(self.marks), np.uint32)
+            if own is not None:
+                marks, found = unpack(own)
+                tables[np.searchsorted(self.marks, _whole(marks))] = found
+            self.spread.append(tables)
+
     def in_parent(self) -> np.ndarray:
         return np.bincount(self.word, self.tables, len(self.marks)).astype(np.int64)
 
     def totals(self) -> Totals:
         own = self.top[self.word] < 0
-        by_context = [np.bincount(self.context, v, CONTEXTS) for v in (self.count, self.tables)]
+        context = np.minimum(self.context, CONTEXT_WORDS)
+        by_context = [np.bincount(context, v, CONTEXTS) for v in (self.count, self.tables)]
         top = self.top[self.word[~own]]
         by_top = [np.bincount(top, v[~own], CONTEXT_WORDS) for v in (self.count, self.tables)]
         seats = self.seats[self.top < 0]
@@ -469,7 +548,8 @@ class Bucket:
         total = PARENT_STRENGTH + totals.parent_customers - self.tables[x]
         later = others + 1 - PARENT_DISCOUNT * tables + totals.parent_new
         first = np.where(others > 0, later - 1, totals.parent_new)
-        start = STRENGTH + DISCOUNT * (totals.tables[self.context[x]] - self.tables[x])
+        reach = np.concatenate((totals.tables[:CONTEXT_WORDS], self.reach))[self.context[x]]
+        start = STRENGTH + DISCOUNT * (reach - self.tables[x])
         law = Law(self.count[x], start, first, DISCOUNT, later, total)
         self.tables[x] = law.draw(draw)
         in_parent = self.in_parent()
@@ -482,19 +562,44 @@ class Bucket:
 
     def answers(self, positions: np.ndarray) -> tuple:
         """Count and tables (over all samples) of pairs; for each of their words
-        the training count, and customers and tables in the parent by sample.
-        Small whole numbers pack much better than the probabilities."""
+        the training count, customers and tables in the parent by sample, and
+        the tables in its context by sample (unless it is one of the most
+        frequent). Small whole numbers pack much better than the probabilities."""
         tables = len(self.drawn) * np.minimum(self.count, 1).astype(np.uint32)
         tables[self.seated] = np.sum([d[0] for d in self.drawn], axis=0)
         of_word = np.bincount(self.word, self.count, len(self.marks)).astype(np.uint64)
         word = np.unique(self.word[positions])
         parent = [(d[1][word].astype(np.uint32), d[2][word].astype(np.uint32)) for d in self.drawn]
-        return self.count[positions].astype(np.uint32), tables[positions], of_word[word], parent
+        spread = [v[word] for v in self.spread]
+        return self.count[positions].astype(np.uint32), tables[positions], of_word[word], parent, spread
 
 
 # ---- Model ----------------------------------------------------------------------
 
-STATE = "bucket int, state binary, asks binary, totals binary"
+# What buckets get, and from whom: their own state (what is fixed, and what a sweep
+# moves), who asks them for what, what goes to the driver, tables in contexts from
+# other buckets (and from the home's own list), and from homes the sums that were
+# asked for or all of the own.
+LETTERS = "kind string, bucket int, sender int, blob binary"
+FIXED, MOVED, ASKS, TOTALS, TABLES, SUMS, OWN = "fixed", "moved", "asks", "totals", "tables", "sums", "own"
+
+
+def _letters(rows: list[tuple[str, int, int, bytes]]) -> pa.Table:
+    kinds = (pa.string(), pa.int32(), pa.int32(), pa.binary())
+    columns = zip(*rows) if rows else [()] * 4
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], [f.split()[0] for f in LETTERS.split(", ")])
+
+
+def _sent(letters: DataFrame) -> DataFrame:
+    """Letters written once, by kind."""
+    path = scratch_path(letters.sparkSession, "letters")
+    letters.write.partitionBy("kind").parquet(path)
+    columns = letters.schema[1:].add(letters.schema["kind"])
+    return letters.sparkSession.read.schema(columns).parquet(path).select(letters.columns)
+
+
+def _of(letters: DataFrame, *kinds: str) -> DataFrame:
+    return letters.where(F.col("kind").isin(*kinds))
 
 
 def _requests(sliced: DataFrame, frequent: np.ndarray, buckets: int) -> DataFrame:
@@ -511,9 +616,14 @@ def _requests(sliced: DataFrame, frequent: np.ndarray, buckets: int) -> DataFram
                     first = np.concatenate(([True], np.diff(own.word[x]) != 0))
                     many = np.diff(np.append(np.flatnonzero(first), len(first)))
                     word = own.word[x][first]
+                    context = own.top[own.context[x]]
+                    other = context < 0
+                    rare, at = np.unique(own.marks[own.context[x][other]], return_inverse=True)
+                    context[other] = CONTEXT_WORDS + at
                     blob = pack(
-                        own.marks[word], own.top[word].astype(np.int16), many.astype(np.uint16),
-                        own.context[x].astype(np.uint16), own.count[x],
+                        _planes(own.marks[word]), own.top[word].astype(np.int16), many.astype(np.uint32),
+                        context.astype(np.uint16 if len(rare) < 60_000 else np.uint32), own.count[x],
+                        _planes(rare),
                     )
                     yield pa.record_batch(
                         {
@@ -527,14 +637,23 @@ def _requests(sliced: DataFrame, frequent: np.ndarray, buckets: int) -> DataFram
     return columns.mapInArrow(run, "bucket int, slice bigint, blob binary")
 
 
-def _opened(requests: DataFrame) -> DataFrame:
+def _opened(requests: DataFrame, buckets: int) -> DataFrame:
     """The buckets, with counts added up and who asked for what."""
 
     def run(table: pa.Table) -> pa.Table:
+        number = table["bucket"][0].as_py()
         asked = [unpack(b) for b in table["blob"].to_pylist()]
-        marks = np.concatenate([np.repeat(a[0], a[2]) for a in asked])
+        marks = np.concatenate([np.repeat(_whole(a[0]), a[2]) for a in asked])
         top = np.concatenate([np.repeat(a[1], a[2]) for a in asked])
-        context = np.concatenate([a[3] for a in asked])
+        others = [_whole(a[5]) for a in asked]
+        rare = np.unique(np.concatenate(others))
+        same = np.arange(CONTEXT_WORDS)
+        context = np.concatenate(
+            [
+                np.concatenate((same, CONTEXT_WORDS + np.searchsorted(rare, other)))[a[3]]
+                for a, other in zip(asked, others)
+            ]
+        ).astype(np.uint32)
         count = np.concatenate([a[4] for a in asked])
         order = np.lexsort((context, marks))
         marks, context = marks[order], context[order]
@@ -543,31 +662,79 @@ def _opened(requests: DataFrame) -> DataFrame:
         place = np.empty(len(order), np.int64)
         place[order] = np.cumsum(new) - 1
         summed = np.bincount(place, count).astype(np.int64)
-        word = (np.cumsum(word_new) - 1)[new]
-        own = Bucket(marks[word_new], top[order][word_new], word, context[new], summed)
+        many = np.bincount((np.cumsum(word_new) - 1)[new])
+        own = Bucket(marks[word_new], top[order][word_new], many, context[new], summed, rare, buckets)
         ends = np.cumsum([len(a[3]) for a in asked])
         steps = [np.diff(p, prepend=0).astype(np.uint32) for p in np.split(place, ends[:-1])]
-        row = {
-            "bucket": table["bucket"][:1].combine_chunks(),
-            "state": pa.array([own.state()], pa.binary()),
-            "asks": pa.array([pack(table["slice"].to_pylist(), steps)], pa.binary()),
-            "totals": pa.array([own.totals().state()], pa.binary()),
-        }
-        return pa.table(row)
+        asks = pack(table["slice"].to_pylist(), steps)
+        fixed = [(ASKS, number, number, asks), (FIXED, number, number, own.fixed())]
+        return _letters([*fixed, *_written_by(own, number, own.totals(), first=True)])
+
+    return requests.groupBy("bucket").applyInArrow(run, LETTERS)
 
-    return requests.groupBy("bucket").applyInArrow(run, STATE)
 
+def _written_by(bucket: Bucket, number: int, totals: Totals, first: bool = False) -> list[tuple]:
+    tables = [(TABLES, home, number, content) for home, content in bucket.letters(first)]
+    return [(MOVED, number, number, bucket.moved()), (TOTALS, number, number, totals.state()), *tables]
 
-def _summed(state: DataFrame, number: int, before: Totals | None = None) -> Totals:
+
+def _context_sums(letters: DataFrame, singles: DataFrame | None) -> DataFrame:
+    """Each home adds up the tables in its contexts: the sums go back to who
+    has dishes there, and to the home. ``singles`` are the tables of dishes
+    with one customer, as the first call gives them."""
+    first = singles is None
+
+    def run(table: pa.Table) -> pa.Table:
+        home = table["bucket"][0].as_py()
+        sent = [unpack(b) for b in table["blob"].to_pylist()]
+        named = [_whole(p) for a in sent for p in (a[0], a[2])]
+        marks, at = np.unique(np.concatenate(named), return_inverse=True)
+        cuts = np.cumsum([len(p) for p in named])[:-1]
+        places = np.split(at, cuts)
+        sums = np.zeros((2, len(marks)))
+        for n, a in enumerate(sent):
+            for j in (0, 1):
+                sums[j, places[2 * n + j]] += a[2 * j + 1]
+        total = sums.sum(axis=0).astype(np.uint32)
+        rows = [(OWN, home, home, pack(_planes(marks), total))]
+        if first:
+            kept, none = sums[0] > 0, np.zeros(0, np.uint64)
+            content = pack(_planes(marks[kept]), sums[0, kept].astype(np.uint32), _planes(none), none)
+            rows.append((TABLES, home, -1, content))
+        for n, sender in enumerate(table["sender"].to_pylist()):
+            if len(places[2 * n + 1]):
+                rows.append((SUMS, sender, home, pack(total[places[2 * n + 1]])))
+        return _letters(rows)
+
+    sent = _of(letters, TABLES)
+    if not first:
+        sent = sent.unionByName(_of(singles, TABLES))
+    return sent.groupBy("bucket").applyInArrow(run, LETTERS)
+
+
+def _read(table: pa.Table, keep: bool) -> tuple[int, Bucket, bytes | None]:
+    """A bucket that has read its letters, and who asked it."""
+    number, sums, one = table["bucket"][0].as_py(), {}, {}
+    for kind, sender, blob in zip(*(table[c].to_pylist() for c in ("kind", "sender", "blob"))):
+        if kind == SUMS:
+            sums[sender] = blob
+        else:
+            one[kind] = blob
+    bucket = Bucket(*unpack(one[FIXED]), unpack(one[MOVED]))
+    bucket.hear(sums, one.get(OWN), keep)
+    return number, bucket, one.get(ASKS)
+
+
+def _summed(letters: DataFrame, buckets: int, number: int, before: Totals | None = None) -> Totals:
     """Totals of all buckets, added up in two steps; the frequent words' tables
     in the parent are drawn here."""
-    groups = max(1, int(state.count() ** 0.5))
+    groups = max(1, int(buckets**0.5))
 
     def add(table: pa.Table) -> pa.Table:
-        rows = [unpack(t) for t in table["totals"].to_pylist()]
+        rows = [unpack(t) for t in table["blob"].to_pylist()]
         return pa.table({"totals": pa.array([pack(*map(sum, zip(*rows)))], pa.binary())})
 
-    parts = state.select(F.pmod("bucket", F.lit(groups)).alias("part"), "totals")
+    parts = _of(letters, TOTALS).select(F.pmod("bucket", F.lit(groups)).alias("part"), "blob")
     found = parts.groupBy("part").applyInArrow(add, "totals binary").collect()
     total = Totals(*map(sum, zip(*(unpack(bytes(r.totals)) for r in found))))
     total.top_parent = np.minimum(total.top_tables, 1 if before is None else before.top_parent)
@@ -577,38 +744,35 @@ def _summed(state: DataFrame, number: int, before: Totals | None = None) -> Tota
     return total
 
 
-def _swept(state: DataFrame, totals: Totals, number: int) -> DataFrame:
+def _swept(opened: DataFrame, letters: DataFrame, sums: DataFrame, totals: Totals, number: int) -> DataFrame:
     keep = number >= BURN_IN
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b, own, asks in zip(*(batch[c].to_pylist() for c in ("bucket", "state", "asks"))):
-                bucket = Bucket(*unpack(own))
-                # The same bucket draws the same numbers if its task runs again.
-                found = bucket.sweep(totals, np.random.default_rng((SEED, number, b)), keep)
-                row = ([b], pa.int32()), ([bucket.state()], pa.binary()), ([asks], pa.binary())
-                arrays = [pa.array(*r) for r in (*row, ([found.state()], pa.binary()))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "state", "asks", "totals"])
+    def run(table: pa.Table) -> pa.Table:
+        # What is read are the tables after the sweep before.
+        b, bucket, _ = _read(table, number > BURN_IN)
+        # The same bucket draws the same numbers if its task runs again.
+        found = bucket.sweep(totals, np.random.default_rng((SEED, number, b)), keep)
+        return _letters(_written_by(bucket, b, found))
 
-    return state.select("bucket", "state", "asks").mapInArrow(run, STATE)
+    heard = _of(opened, FIXED).unionByName(_of(letters, MOVED)).unionByName(_of(sums, SUMS, OWN))
+    return heard.groupBy("bucket").applyInArrow(run, LETTERS)
 
 
-def _answers(state: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b, own, asks in zip(*(batch[c].to_pylist() for c in ("bucket", "state", "asks"))):
-                bucket = Bucket(*unpack(own))
-                for number, steps in zip(*unpack(asks)):
-                    found = bucket.answers(np.cumsum(steps, dtype=np.int64))
-                    yield pa.record_batch(
-                        {
-                            "slice": pa.array([number], pa.int64()),
-                            "bucket": pa.array([b], pa.int32()),
-                            "blob": pa.array([pack(*found)], pa.binary()),
-                        }
-                    )
+def _answers(opened: DataFrame, letters: DataFrame, sums: DataFrame) -> DataFrame:
+    def run(table: pa.Table) -> pa.Table:
+        b, bucket, asks = _read(table, True)
+        slices_, steps = unpack(asks)
+        found = [pack(*bucket.answers(np.cumsum(s, dtype=np.int64))) for s in steps]
+        return pa.table(
+            {
+                "slice": pa.array(slices_, pa.int64()),
+                "bucket": pa.array([b] * len(found), pa.int32()),
+                "blob": pa.array(found, pa.binary()),
+            }
+        )
 
-    return state.select("bucket", "state", "asks").mapInArrow(run, "slice bigint, bucket int, blob binary")
+    heard = _of(opened, FIXED, ASKS).unionByName(_of(letters, MOVED)).unionByName(_of(sums, OWN))
+    return heard.groupBy("bucket").applyInArrow(run, "slice bigint, bucket int, blob binary")
 
 
 SCORE = (
@@ -622,7 +786,6 @@ def _scored(sliced: DataFrame, answers: DataFrame, frequent, buckets: int, sampl
     trained = int(first.customers.sum())
     unknown = [float(s.parent_probability(np.zeros(1), np.zeros(1))[0]) for s in samples]
     top = [s.parent_probability(s.top_tables, s.top_parent) for s in samples]
-    lift = [STRENGTH + DISCOUNT * s.tables for s in samples]
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         own = Slice(*(left[c][0].as_py() for c in ("words", "edges", "held")))
@@ -640,12 +803,16 @@ def _scored(sliced: DataFrame, answers: DataFrame, frequent, buckets: int, sampl
         known[frequent_here] = first.top_count[own.top[frequent_here]]
         chance = np.zeros(len(pair))
         for s in range(len(samples)):
+            tables = np.zeros(len(own.marks))
+            tables[run_word] = np.concatenate([f[4][s] for f in found])
+            tables[frequent_here] = samples[s].tables[own.top[frequent_here]]
             p = np.full(len(own.marks), unknown[s])
             seats = (np.concatenate([f[3][s][i] for f in found]) for i in (0, 1))
             p[run_word] = samples[s].parent_probability(*seats)
             p[frequent_here] = top[s][own.top[frequent_here]]
-            chance += lift[s][own.context] * p[own.word]
-        chance = (pair + chance / len(samples)) / (STRENGTH + first.customers[own.context])
+            chance += (STRENGTH + DISCOUNT * tables[own.context]) * p[own.word]
+        # Each training occurrence of a word is a customer of its context.
+        chance = (pair + chance / len(samples)) / (STRENGTH + known[own.context])
         base = np.log10((known + 1) / (trained + first.vocabulary + 1))
         at = own.place[own.of]
         starts = own.edges[:-1]
@@ -684,12 +851,23 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
         return docs.sparkSession.createDataFrame([], SCORE)
     buckets = -(-tokens // BUCKET_TOKENS)
     frequent = _frequent_words(sliced)
-    state = written(_opened(_requests(sliced, frequent, buckets)), "buckets")
-    totals, samples = _summed(state, 0), []
+    opened = letters = _sent(_opened(_requests(sliced, frequent, buckets), buckets))
+    totals, samples = _summed(opened, buckets, 0), []
+    free_shuffles(docs.sparkSession)
+    singles = sums = _sent(_context_sums(opened, None))
     for number in range(BURN_IN + SAMPLES):
-        before, state = state, written(_swept(state, totals, number), "buckets")
-        drop_written(before)
-        totals = _summed(state, number, totals)
+        before = letters, sums
+        letters = _sent(_swept(opened, letters, sums, totals, number))
+        totals = _summed(letters, buckets, number, totals)
+        free_shuffles(docs.sparkSession)
+        sums = _sent(_context_sums(letters, singles))
+        # What is fixed, what is asked and the tables that do not change are read again.
+        drop_written(before[0], only=[f"kind={k}" for k in (MOVED, TOTALS, TABLES)])
+        drop_written(before[1], only=[f"kind={k}" for k in (SUMS, OWN)])
         if number >= BURN_IN:
             samples.append(totals)
-    return _scored(sliced, _answers(state), frequent, buckets, samples)
+    answers = written(_answers(opened, letters, sums), "answers")
+    for table in (opened, letters, singles, sums):
+        drop_written(table)
+    free_shuffles(docs.sparkSession)
+    return _scored(sliced, answers, frequent, buckets, samples)

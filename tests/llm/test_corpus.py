@@ -276,6 +276,38 @@ def test_pitman_yor_is_a_distribution(spark):
     assert begin.min() > 0 and begin.sum() + found[1000] == pytest.approx(1, abs=1e-9)
 
 
+def test_pitman_yor_tells_rare_words_apart_as_contexts(spark):
+    """Words beyond the most frequent ones have contexts of their own, also if
+    they end alike; the letters between buckets add up to the same."""
+    many = " ".join(f"w{i}" for i in range(pitman_yor.CONTEXT_WORDS + 100))
+    pairs = [("qxa", "left"), ("qya", "right"), ("qza", "left"), ("qva", "right")]
+    train = [(i, many) for i in range(8)] + [(20 + i, "left right") for i in range(8)]
+    train += [(30 + 10 * i + j, f"{v} {w}") for i, (v, w) in enumerate(pairs) for j in range(4)]
+    ask = [(1000 + i, f"{v} {w}") for i, (v, w) in enumerate(pairs)]
+    ask += [(2000 + i, f"{v} {'left' if w == 'right' else 'right'}") for i, (v, w) in enumerate(pairs)]
+    docs = spark.createDataFrame(train + ask, "doc_id long, text string")
+    found = {r.doc_id: r.score for r in pitman_yor.score(docs, F.col("doc_id") >= 1000).collect()}
+    assert all(found[1000 + i] > found[2000 + i] + 0.5 for i in range(len(pairs)))
+
+
+def test_pitman_yor_tables_of_contexts_add_up_over_buckets(spark, documents, monkeypatch):
+    """With many buckets and all words, a distribution over words after a rare one."""
+    monkeypatch.setattr(pitman_yor, "BUCKET_TOKENS", 300)
+    many = " ".join(f"w{i}" for i in range(pitman_yor.CONTEXT_WORDS + 100))
+    words = ["left", "right", "up", "never"]
+    lines = [(i, "qxa " + random.Random(i).choice(words[:3]) + " qxa") for i in range(60)]
+    # After qxa there also are the end and, once, each of the words w0, w1 ...
+    train = [*lines, *((100 + i, many) for i in range(3))]
+    ask = [(1000, "qxa")] + [(1001 + i, f"qxa {w}") for i, w in enumerate(["left", "right", "up"])]
+    docs = spark.createDataFrame(train + ask, "doc_id long, text string")
+    found = pitman_yor.score(docs, F.col("doc_id") >= 1000)
+    one = {r.doc_id: r.score for r in found.where("doc_id >= 1000").collect()}
+    monkeypatch.setattr(pitman_yor, "BUCKET_TOKENS", 10**9)
+    whole = {r.doc_id: r.score for r in pitman_yor.score(docs, F.col("doc_id") >= 1000).where("doc_id >= 1000").collect()}
+    # Draws differ by bucket, the law does not.
+    assert all(one[i] == pytest.approx(whole[i], abs=0.15) for i in one)
+
+
 def one_by_one(c, start, discount, copies, seed):
     """Tables after c customers came in, one after the other."""
     draw, tables = np.random.default_rng(seed), np.ones(copies)
