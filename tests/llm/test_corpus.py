@@ -602,6 +602,47 @@ def test_threshold_is_the_quantile_of_rejects():
     assert quality.fit(x, label, quantile=0.5).threshold == pytest.approx(np.median(x @ quality.fit(x, label).weights))
 
 
+def test_ranking_is_fitted_on_every_label(spark, monkeypatch):
+    """More labels than a sample would take: the last ones count as well, the
+    threshold is the quantile of all, and the weights are those of all pairs."""
+    draw, many = np.random.default_rng(3), 12_000
+    rows = [
+        (i, " ".join(draw.choice(["ba", "kelo", "NU", "12", "tise."], 3 + int(draw.integers(20)))))
+        for i in range(many)
+    ]
+    label = [(i, int(len(t.split()) + draw.normal() * 6 > 9)) for i, t in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(label, "doc_id long, quality int")
+    ranking = quality.train(docs, labels)
+    x = quality.features(pa.array([t for _, t in rows]))
+    y = np.array([q for _, q in label])
+    strength = x @ ranking.weights
+    # (equal strengths are on one side)
+    assert abs((strength < ranking.threshold).sum() - (y == 0).sum()) <= (strength == strength[0]).sum() + 20
+    ordered = np.sort(strength)
+    below = (y == 0).sum()
+    assert ranking.threshold == pytest.approx((ordered[below - 1] + ordered[below]) / 2, abs=1e-9)
+    local = quality.fit(x, y)
+    assert np.allclose(local.weights, ranking.weights, rtol=1e-5, atol=1e-8)
+    monkeypatch.setattr(quality, "BROADCAST_LABELS", 10)
+    shuffled = quality.train(docs, labels)
+    assert np.allclose(shuffled.weights, ranking.weights, rtol=1e-6, atol=1e-9)
+
+
+def test_node_sums_stand_for_all_pairs():
+    draw = np.random.default_rng(5)
+    x = draw.normal(size=(300, quality.FEATURES))
+    y = (x[:, 0] + draw.normal(size=300) > 0).astype(int)
+    w = draw.normal(size=quality.FEATURES) * 2
+    loss, slope, bend = quality._derivatives(quality.node_sums(x, y, w), w)
+    diff = (x[y == 1][:, None] - x[y == 0]).reshape(-1, quality.FEATURES)
+    p = 1 / (1 + np.exp(diff @ w))
+    assert loss == pytest.approx(np.logaddexp(0, -(diff @ w)).mean() + quality.RIDGE * w @ w / 2, rel=1e-10)
+    assert np.allclose(slope, quality.RIDGE * w - diff.T @ p / len(diff), atol=1e-10)
+    whole = (diff * (p * (1 - p))[:, None]).T @ diff / len(diff) + quality.RIDGE * np.eye(quality.FEATURES)
+    assert np.allclose(bend, whole, atol=1e-10)
+
+
 # ---- 8: SimHash -----------------------------------------------------------------
 
 
