@@ -50,7 +50,8 @@ def hour_from_text(text: Column) -> Column:
     )
     clock = F.try_element_at(halves, F.lit(2))
     hour = F.try_element_at(F.split(clock, ":"), F.lit(1)).try_cast("int")
-    return F.when(hour.between(0, 23), hour)
+    # A list of one, so that the text is taken apart once.
+    return F.get(F.filter(F.array(hour), lambda h: h.between(0, 23)), F.lit(0))
 
 
 def iso_text(instant: Column) -> Column:

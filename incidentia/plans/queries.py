@@ -468,14 +468,22 @@ def served_from_csv(spark, sf_dir):
 
 
 def _batch_and_stream(spark, sf_dir):
-    """The collection of the batch job and the store of the stream; the paths."""
-    table_path, _ = _ingested(spark, sf_dir)
+    """The collection of the batch job and the store of the stream; the paths.
+
+    The stream runs beside the batch job, as neither reads what the other writes:
+    one takes the cores that short steps and last tasks of the other leave idle.
+    """
     store, streamed = scratch_path(spark, "collection"), scratch_path(spark, "stream-events")
-    pipeline.process_batch(
-        spark, table_path, SOURCE_LABEL, scratch_path(spark, "snapshot"), collection_path=store
-    )
     sent = standins.event_messages(standins.event_stream(spark, sf_dir))
-    jobs.finish(jobs.stream_etl(sent, streamed, scratch_path(spark, "checkpoint"), replay=True))
+    stream = jobs.stream_etl(sent, streamed, scratch_path(spark, "checkpoint"), replay=True)
+    try:
+        table_path, _ = _ingested(spark, sf_dir)
+        pipeline.process_batch(
+            spark, table_path, SOURCE_LABEL, scratch_path(spark, "snapshot"), collection_path=store
+        )
+        jobs.finish(stream)
+    finally:
+        stream.stop()
     return store, streamed
 
 

@@ -114,10 +114,11 @@ def raw_incidents(spark: SparkSession, sf_dir: str, events: DataFrame | None = N
         F.col("c_custkey").alias("user_id"), "c_nationkey", "c_name", "c_mktsegment", "c_acctbal"
     )
     source = table(spark, sf_dir, "events") if events is None else events
-    known = with_k(source).select("ts", "user_id", "event_type", "value", "k")
+    # The property is read after the lookup, which may look at the keys first.
+    sent = source.select("ts", "user_id", "event_type", "value", "props")
     k, value = F.col("k"), F.col("value")
     balance, segment = F.col("c_acctbal"), F.col("c_mktsegment")
-    raw = lookup(known, customers, "user_id").select(
+    raw = with_k(lookup(sent, customers, "user_id")).select(
         time_text(k).alias("fecha_hecho"),
         F.col("c_nationkey").cast("string").alias("codigo_comuna"),
         F.col("c_name").alias("nombre_barrio"),

@@ -67,3 +67,24 @@ def test_no_python_in_any_plan_and_no_pairwise_join(spark):
             found = plan(QUERIES[name](spark, SMALL))
             for word in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
                 assert word not in found, (name, word)
+
+
+def test_the_stream_starts_before_the_batch_job(spark, monkeypatch):
+    """Neither waits for the other; both are done when their tables are served."""
+    from incidentia.plans import queries
+
+    order, ingest, stream = [], queries._ingested, queries.jobs.stream_etl
+    monkeypatch.setattr(queries, "_ingested", lambda *a: order.append("batch") or ingest(*a))
+    monkeypatch.setattr(queries.jobs, "stream_etl", lambda *a, **k: order.append("stream") or stream(*a, **k))
+    queries._batch_and_stream(spark, SMALL)
+    assert order == ["stream", "batch"] and not spark.streams.active
+
+
+def test_a_lookup_that_counts_keys_does_not_read_the_property(spark, monkeypatch):
+    """The JSON property is read once per event, above the join."""
+    from incidentia.plans import standins
+
+    seen, real = [], standins.lookup
+    monkeypatch.setattr(standins, "lookup", lambda rows, *a: seen.append(plan(rows.groupBy("user_id").count())) or real(rows, *a))
+    standins.raw_incidents(spark, SMALL)
+    assert len(seen) == 1 and "Generate" not in seen[0] and "props" not in seen[0]
