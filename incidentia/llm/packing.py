@@ -30,6 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from incidentia.llm.common import few_texts
 from incidentia.llm.tokens import ENCODE_BYTES, WordEncoder, slices
 from incidentia.session import written
 
@@ -287,7 +288,8 @@ def pack(
     repeated rows are packed each. No documents give no pieces. The places
     within a sequence leave no gap from 0 on.
     """
-    made = written(pieces(docs, tokenizer, doc_id, text, size), "pieces")
+    with few_texts(docs.sparkSession):
+        made = written(pieces(docs, tokenizer, doc_id, text, size), "pieces")
     counted = written(made.groupBy("part", "length").agg(F.count("*").alias("n")), "piece-counts")
     counts = np.zeros(size + 1, np.int64)
     for row in counted.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most `size`

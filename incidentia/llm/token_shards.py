@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from incidentia.llm.common import arrow_rows
+from incidentia.llm.common import arrow_rows, few_texts
 from incidentia.llm.tokens import ENCODE_BYTES, WordEncoder, largest_id, slices
 from incidentia.session import scratch_path, written
 
@@ -202,7 +202,8 @@ def write_shards(
     if largest_id(tokenizer) >= 1 << 16:
         raise ValueError(f"{tokenizer}: ids above 65,535 do not fit into 16 bits")
     spark, room = docs.sparkSession, size - 1
-    tokenised = written(_tokenised(docs, tokenizer, doc_id, text), "token-ids")
+    with few_texts(spark):
+        tokenised = written(_tokenised(docs, tokenizer, doc_id, text), "token-ids")
     parts = written(tokenised.groupBy("part").agg(F.sum("n").alias("tokens")), "token-counts")
     # One row per task of the scan.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -236,17 +237,18 @@ def write_shards(
         if held:
             yield pa.record_batch({"record": pa.array([record()], pa.binary())})
 
-    (
-        _spans(tokenised, room, permutation, bases, with_ids=True)
-        .select("slot", "offset", "ids")
-        .repartitionById(-(-count // records), F.floor(F.col("slot") / records).cast("int"))
-        .sortWithinPartitions("slot", "offset")
-        .mapInArrow(assemble, "record binary")
-        .select(F.col("record").cast("string"))
-        .write.option("lineSep", "\0\0")
-        .option("compression", "none")
-        .text(path)
-    )
+    with few_texts(spark):
+        (
+            _spans(tokenised, room, permutation, bases, with_ids=True)
+            .select("slot", "offset", "ids")
+            .repartitionById(-(-count // records), F.floor(F.col("slot") / records).cast("int"))
+            .sortWithinPartitions("slot", "offset")
+            .mapInArrow(assemble, "record binary")
+            .select(F.col("record").cast("string"))
+            .write.option("lineSep", "\0\0")
+            .option("compression", "none")
+            .text(path)
+        )
     return shards
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from incidentia.llm import (
+    common,
     decontamination,
     licenses,
     line_dedup,
@@ -565,6 +566,43 @@ def test_shards_refuse_ids_above_16_bits(documents, monkeypatch):
         token_shards.write_shards(documents, tokens.tokenizer_path(), "unused")
 
 
+@pytest.mark.parametrize(("module", "table"), [(token_shards, "token-ids"), (packing, "pieces")])
+def test_tokenising_holds_few_texts_at_a_time(spark, monkeypatch, module, table):
+    """Batches are bounded while texts are encoded, and as before afterwards."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = spark.range(4_000, numPartitions=1).selectExpr("id AS doc_id", "concat('some words ', id) AS text")
+
+    def batch_sizes(batches):
+        for batch in batches:
+            yield pa.record_batch({"n": pa.array([batch.num_rows])})
+
+    sizes = lambda: [r.n for r in docs.mapInArrow(batch_sizes, "n long").collect()]
+    seen, write, usual = {}, module.written, spark.conf.get(setting)
+
+    def spy(df, name):
+        seen[name] = sizes()
+        return write(df, name)
+
+    def run():
+        if module is packing:
+            return packing.pack(docs, tokens.tokenizer_path()).count()
+        return token_shards.materialise(docs, tokens.tokenizer_path(), size=64, records=512).count()
+
+    monkeypatch.setattr(module, "written", spy)
+    assert run() > 0
+    assert max(seen[table]) <= 1_000 and sum(seen[table]) == 4_000
+    assert spark.conf.get(setting) == usual and sizes() == [4_000]
+    # A smaller limit of the user's own stays; a failure leaves no setting behind.
+    spark.conf.set(setting, "100")
+    try:
+        with pytest.raises(ZeroDivisionError), common.few_texts(spark):
+            assert max(sizes()) == 100
+            1 / 0
+        assert spark.conf.get(setting) == "100"
+    finally:
+        spark.conf.set(setting, usual)
+
+
 # ---- 7: quality -----------------------------------------------------------------
 
 
