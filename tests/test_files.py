@@ -400,3 +400,17 @@ def test_a_store_that_hangs_falls_back_in_time(spark):
         probe=lambda: time.sleep(30), seconds=0.5,
     )
     assert used == "fallback" and wrote == ["fallback"] and isinstance(used.cause, TimeoutError)
+
+
+def test_a_cancelled_probe_leaves_no_cores_busy(spark):
+    """The next probe's time is not spent waiting for the tasks of the one before."""
+
+    def never(batches):
+        time.sleep(120)
+        yield from batches
+
+    assert spark.range(3).mapInArrow(lambda batches: batches, "id long").count() == 3
+    hangs = spark.range(0, 64, 1, 16).mapInArrow(never, "id long")
+    with pytest.raises(TimeoutError):
+        fallback.within(spark, 2, hangs.count)
+    assert fallback.within(spark, 1.5, spark.range(3).count) == 3
