@@ -104,6 +104,40 @@ def _whole(planes: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(">u8").ravel().astype(np.uint64)
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Distinct values in order; sorting is quicker here than the hash table of numpy."""
+    values = np.sort(values)
+    return values[_starts(values)]
+
+
+def _starts(values: np.ndarray) -> np.ndarray:
+    """Whether a run of equal values begins here."""
+    return np.concatenate((np.ones(min(1, len(values)), bool), values[1:] != values[:-1]))
+
+
+def _numbered(keys: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys (from 0, less than ``most``) in order, and the number of each key among them."""
+    bits = len(keys).bit_length()
+    if most.bit_length() + bits > 63:
+        return np.unique(keys, return_inverse=True)
+    # Sorted along with their places, which is quicker than an argsort.
+    keys = keys << bits
+    keys |= np.arange(len(keys))
+    keys.sort()
+    place = keys & ((1 << bits) - 1)
+    keys >>= bits
+    new = _starts(keys)
+    number = np.empty(len(keys), np.int64)
+    number[place] = np.cumsum(new) - 1
+    return keys[new], number
+
+
+def _by_home(homes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of each home one after the other, in order, and where each home's begin (plus the end)."""
+    order = np.argsort(homes.astype(np.min_scalar_type(buckets)), kind="stable")
+    return order, np.concatenate(([0], np.cumsum(np.bincount(homes, minlength=buckets))))
+
+
 # ---- Slices ---------------------------------------------------------------------
 
 SLICE = "slice bigint, doc_ids array<bigint>, held array<boolean>, edges binary, words binary, tokens bigint"
@@ -118,7 +152,7 @@ def _sliced(docs: DataFrame, doc_id: str, text: str, held: Column) -> DataFrame:
             for rows in slices(batch):
                 words, edges = split_words(pc.ascii_lower(rows["text"]))
                 coded = words.dictionary_encode()
-                own = coded.dictionary.cast(pa.large_binary()).to_pylist()
+                own = coded.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False)
                 marks = np.array([END_MARK, *map(xxhash.xxh64_intdigest, own)], np.uint64)
                 # Frequent words get small codes, which pack well.
                 codes = coded.indices.to_numpy() + 1 if len(words) else np.zeros(0, np.int64)
@@ -172,19 +206,19 @@ class Slice:
         before[1:] = self.line[:-1]
         before[self.edges[:-1]] = 0  # the end of another text
         size = len(self.marks)
-        pair, self.of = np.unique(self.line * size + before, return_inverse=True)
-        word, context = pair // size, pair % size
+        # Numbered in the order of words and contexts, so that only buckets are left to sort by.
+        by_mark, by_context = np.argsort(self.marks), np.lexsort((self.marks, ~known))
+        as_word, as_context = np.empty(size, np.int64), np.empty(size, np.int64)
+        as_word[by_mark] = as_context[by_context] = np.arange(size)
+        pair, self.of = _numbered(as_word[self.line] * size + as_context[before], size**2)
+        word, context = by_mark[pair // size], by_context[pair % size]
         count = np.bincount(self.of, self.train, len(pair)).astype(np.uint32)
         salt = np.where(known[word], self.marks[context], np.uint64(0))
         bucket = _home(self.marks[word] + salt * np.uint64(0x9E3779B97F4A7C15), buckets)
-        by_mark, as_context = np.empty(size, np.int64), np.empty(size, np.int64)
-        by_mark[np.argsort(self.marks)] = np.arange(size)
-        as_context[np.lexsort((self.marks, ~known))] = np.arange(size)
-        order = np.lexsort((as_context[context], by_mark[word], bucket))
+        order, self.cuts = _by_home(bucket, buckets)
         self.place = np.empty(len(pair), np.int64)
         self.place[order] = np.arange(len(pair))
         self.word, self.context, self.count = word[order], context[order], count[order]
-        self.bucket = bucket[order]
 
 
 # The contexts of the most frequent words; all others together are the last.
@@ -266,6 +300,7 @@ def _finite_sum(customers: np.ndarray, tables: np.ndarray, discount: float) -> n
     """log S by its sum over j <= t of alternating terms, which fall quickly
     where the tables are few against c^d."""
     c, t, out = customers, tables, np.zeros(len(customers))
+    of_tables, of_customers = _log_gamma(t + 1), _log_gamma(c)
     for j in range(1, 40):
         turn = j * discount
         if abs(turn - round(turn)) < 1e-9:
@@ -274,11 +309,21 @@ def _finite_sum(customers: np.ndarray, tables: np.ndarray, discount: float) -> n
         use = t >= j
         left = np.where(use, t - j, 0)
         size = (
-            _log_gamma(t + 1) - math.lgamma(j + 1) - _log_gamma(left + 1)
-            + _log_gamma(c - turn) - _log_gamma(c) - math.lgamma(-turn)
+            of_tables - math.lgamma(j + 1) - _log_gamma(left + 1)
+            + _log_gamma(c - turn) - of_customers - math.lgamma(-turn)
         )
         out += np.where(use, sign * np.exp(np.where(use, size, 0)), 0)
-    return np.log(np.maximum(out, 1e-300)) + _log_gamma(c) - t * math.log(discount) - _log_gamma(t + 1)
+    return np.log(np.maximum(out, 1e-300)) + of_customers - t * math.log(discount) - of_tables
+
+
+@functools.cache
+def _bands() -> np.ndarray:
+    """Numbers of customers at which bands end: dishes in a band, whose numbers
+    differ by an eighth at most, are drawn together."""
+    ends = [1]
+    while ends[-1] < EXACT:
+        ends.append(ends[-1] + 1 + ends[-1] // 8)
+    return np.array(ends)
 
 
 @functools.cache
@@ -325,10 +370,10 @@ class Law:
         out = np.minimum(self.customers, 1).astype(np.int64)
         small = np.flatnonzero((self.customers > 1) & (self.customers <= EXACT))
         small = small[np.argsort(self.customers[small], kind="stable")]
-        edges = np.flatnonzero(np.diff(self.customers[small])) + 1
-        for same in np.split(small, edges) if len(small) else []:
-            c = int(self.customers[same[0]])
-            for x in np.array_split(same, len(same) * c // CELLS + 1):
+        edges = np.searchsorted(self.customers[small], _bands(), side="right")
+        for like in np.split(small, edges):
+            c = int(self.customers[like[-1]]) if len(like) else 0
+            for x in np.array_split(like, len(like) * c // CELLS + 1) if c else []:
                 out[x] = self._written_out(x, c, draw)
         large = np.flatnonzero(self.customers > EXACT)
         for x in np.array_split(large, len(large) // 50_000 + 1) if len(large) else []:
@@ -336,16 +381,17 @@ class Law:
         return out
 
     def _written_out(self, x: np.ndarray, c: int, draw) -> np.ndarray:
-        j = np.arange(c)
+        """Dishes with up to ``c`` customers; to more tables than customers the law gives nothing."""
+        j, customers = np.arange(c), self.customers[x].astype(np.int64)
         table = np.repeat(self.first[x, None], c, axis=1)
         if self.total is not None:
             table[:, 1:] = self.later[x, None] + j[:-1]
             table /= self.total[x, None] + j
         law = np.cumsum(np.log((self.start[x, None] + self.discount * j) * table), axis=1)
-        law += _stirling_table(self.discount)[c, 1 : c + 1]
+        law += _stirling_table(self.discount)[customers, 1 : c + 1]
         law = np.cumsum(np.exp(law - law.max(axis=1, keepdims=True)), axis=1)
         at = (law <= (draw.random(len(x)) * law[:, -1])[:, None]).sum(axis=1)
-        return np.minimum(at, c - 1) + 1
+        return np.minimum(at, customers - 1) + 1
 
     def logarithm(self, x: np.ndarray, tables: np.ndarray) -> np.ndarray:
         t, d = tables.astype(float), self.discount
@@ -459,6 +505,7 @@ class Bucket:
     def __init__(self, marks, top, many, context, count, rare, buckets, moved=None):
         self.marks, self.top, self.context, self.count = marks, top, context, count
         self.many, self.word = many, np.repeat(np.arange(len(marks)), many)
+        self.begins = np.cumsum(many, dtype=np.int64) - many
         self.rare, self.buckets = rare, buckets
         self.seated = np.flatnonzero(count > 1)
         # At first each dish has one table.
@@ -469,8 +516,9 @@ class Bucket:
             self.tables[self.seated], seats, self.drawn, self.spread = moved
             self.seats = seats.astype(np.int64)
         # Of these contexts the bucket must know all tables; by home, in the order of marks.
-        asked = np.unique(context[self.seated])
-        self.asked = (asked[asked >= CONTEXT_WORDS] - CONTEXT_WORDS).astype(np.int64)
+        asked = np.zeros(CONTEXT_WORDS + len(rare) + 1, bool)
+        asked[context[self.seated]] = True
+        self.asked = np.flatnonzero(asked[CONTEXT_WORDS:])
         self.homes = _home(rare, buckets)
         self.reach = np.zeros(len(rare), np.int64)
 
@@ -498,19 +546,21 @@ class Bucket:
         for x in (np.flatnonzero(self.count == 1) if first else self.seated[:0], self.seated):
             x = x[self.context[x] >= CONTEXT_WORDS]
             sums.append(np.bincount(self.context[x] - CONTEXT_WORDS, self.tables[x], len(self.rare)))
-        single = np.flatnonzero(sums[0])
-        for home in np.unique(self.homes[np.concatenate((single, self.asked))]):
+        named = np.flatnonzero(sums[0]), self.asked
+        dealt = [_by_home(self.homes[x], self.buckets) for x in named]
+        for home in np.flatnonzero(np.diff(dealt[0][1]) + np.diff(dealt[1][1])):
             content = []
-            for x, tables in zip((single, self.asked), sums):
-                own = x[self.homes[x] == home]
+            for x, tables, (order, cuts) in zip(named, sums, dealt):
+                own = x[order[cuts[home] : cuts[home + 1]]]
                 content += [_planes(self.rare[own]), tables[own].astype(np.uint32)]
             yield int(home), pack(*content)
 
     def hear(self, sums: dict[int, bytes], own: bytes | None, keep: bool) -> None:
         """Take the tables of all buckets in the contexts that were asked for,
         and those in the contexts of the bucket's own words."""
+        order, cuts = _by_home(self.homes[self.asked], self.buckets)
         for home, content in sums.items():
-            (self.reach[self.asked[self.homes[self.asked] == home]],) = unpack(content)
+            (self.reach[self.asked[order[cuts[home] : cuts[home + 1]]]],) = unpack(content)
         if keep:
             tables = np.zeros(len(self.marks), np.uint32)
             if own is not None:
@@ -519,10 +569,14 @@ class Bucket:
             self.spread.append(tables)
 
     def in_parent(self) -> np.ndarray:
-        return np.bincount(self.word, self.tables, len(self.marks)).astype(np.int64)
+        return self.by_word(self.tables)
+
+    def by_word(self, values: np.ndarray) -> np.ndarray:
+        """Sums over the pairs of each word."""
+        return np.add.reduceat(values, self.begins, dtype=np.int64)
 
     def totals(self) -> Totals:
-        own = self.top[self.word] < 0
+        own = np.repeat(self.top < 0, self.many)
         context = np.minimum(self.context, CONTEXT_WORDS)
         by_context = [np.bincount(context, v, CONTEXTS) for v in (self.count, self.tables)]
         top = self.top[self.word[~own]]
@@ -531,7 +585,7 @@ class Bucket:
         return Totals(
             *(v.astype(np.int64) for v in (*by_context, *by_top)),
             np.zeros(CONTEXT_WORDS, np.int64),
-            len(np.unique(self.word[own & (self.count > 0)])),
+            int((self.by_word(self.count)[self.top < 0] > 0).sum()),
             int(self.tables[own].sum()),
             int(seats.sum()),
         )
@@ -560,18 +614,21 @@ class Bucket:
             self.drawn.append(tuple(v.astype(np.uint32) for v in kept))
         return self.totals()
 
-    def answers(self, positions: np.ndarray) -> tuple:
-        """Count and tables (over all samples) of pairs; for each of their words
-        the training count, customers and tables in the parent by sample, and
-        the tables in its context by sample (unless it is one of the most
-        frequent). Small whole numbers pack much better than the probabilities."""
+    def answers(self, asked: Iterator[np.ndarray]) -> Iterator[tuple]:
+        """For each array of ascending places: count and tables (over all samples)
+        of these pairs; for each of their words the training count, customers and
+        tables in the parent by sample, and the tables in its context by sample
+        (unless it is one of the most frequent). Small whole numbers pack much
+        better than the probabilities. What is the bucket's is made once, so that
+        an answer takes no more work than its pairs."""
         tables = len(self.drawn) * np.minimum(self.count, 1).astype(np.uint32)
         tables[self.seated] = np.sum([d[0] for d in self.drawn], axis=0)
-        of_word = np.bincount(self.word, self.count, len(self.marks)).astype(np.uint64)
-        word = np.unique(self.word[positions])
-        parent = [(d[1][word].astype(np.uint32), d[2][word].astype(np.uint32)) for d in self.drawn]
-        spread = [v[word] for v in self.spread]
-        return self.count[positions].astype(np.uint32), tables[positions], of_word[word], parent, spread
+        count, of_word = self.count.astype(np.uint32), self.by_word(self.count).astype(np.uint64)
+        for x in asked:
+            word = self.word[x]
+            word = word[_starts(word)]
+            parent = [(d[1][word], d[2][word]) for d in self.drawn]
+            yield count[x], tables[x], of_word[word], parent, [v[word] for v in self.spread]
 
 
 # ---- Model ----------------------------------------------------------------------
@@ -610,10 +667,9 @@ def _requests(sliced: DataFrame, frequent: np.ndarray, buckets: int) -> DataFram
             ):
                 own = Slice(words, edges, held)
                 own.pairs(frequent, buckets)
-                cuts = np.searchsorted(own.bucket, np.arange(buckets + 1))
-                for b in np.unique(own.bucket):
-                    x = slice(cuts[b], cuts[b + 1])
-                    first = np.concatenate(([True], np.diff(own.word[x]) != 0))
+                for b in np.flatnonzero(np.diff(own.cuts)):
+                    x = slice(own.cuts[b], own.cuts[b + 1])
+                    first = _starts(own.word[x])
                     many = np.diff(np.append(np.flatnonzero(first), len(first)))
                     word = own.word[x][first]
                     context = own.top[own.context[x]]
@@ -643,27 +699,23 @@ def _opened(requests: DataFrame, buckets: int) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         number = table["bucket"][0].as_py()
         asked = [unpack(b) for b in table["blob"].to_pylist()]
-        marks = np.concatenate([np.repeat(_whole(a[0]), a[2]) for a in asked])
-        top = np.concatenate([np.repeat(a[1], a[2]) for a in asked])
+        named, word = np.unique(np.concatenate([_whole(a[0]) for a in asked]), return_inverse=True)
+        top = np.empty(len(named), np.int16)
+        top[word] = np.concatenate([a[1] for a in asked])
+        word = np.repeat(word, np.concatenate([a[2] for a in asked]))
         others = [_whole(a[5]) for a in asked]
-        rare = np.unique(np.concatenate(others))
-        same = np.arange(CONTEXT_WORDS)
+        rare = _distinct(np.concatenate(others))
+        same, width = np.arange(CONTEXT_WORDS), CONTEXT_WORDS + len(rare)
         context = np.concatenate(
             [
                 np.concatenate((same, CONTEXT_WORDS + np.searchsorted(rare, other)))[a[3]]
                 for a, other in zip(asked, others)
             ]
-        ).astype(np.uint32)
-        count = np.concatenate([a[4] for a in asked])
-        order = np.lexsort((context, marks))
-        marks, context = marks[order], context[order]
-        word_new = np.concatenate(([True], marks[1:] != marks[:-1]))
-        new = word_new | np.concatenate(([True], context[1:] != context[:-1]))
-        place = np.empty(len(order), np.int64)
-        place[order] = np.cumsum(new) - 1
-        summed = np.bincount(place, count).astype(np.int64)
-        many = np.bincount((np.cumsum(word_new) - 1)[new])
-        own = Bucket(marks[word_new], top[order][word_new], many, context[new], summed, rare, buckets)
+        )
+        pair, place = _numbered(word * width + context, len(named) * width)
+        summed = np.bincount(place, np.concatenate([a[4] for a in asked])).astype(np.int64)
+        context = (pair % width).astype(np.uint32)
+        own = Bucket(named, top, np.bincount(pair // width), context, summed, rare, buckets)
         ends = np.cumsum([len(a[3]) for a in asked])
         steps = [np.diff(p, prepend=0).astype(np.uint32) for p in np.split(place, ends[:-1])]
         asks = pack(table["slice"].to_pylist(), steps)
@@ -762,7 +814,8 @@ def _answers(opened: DataFrame, letters: DataFrame, sums: DataFrame) -> DataFram
     def run(table: pa.Table) -> pa.Table:
         b, bucket, asks = _read(table, True)
         slices_, steps = unpack(asks)
-        found = [pack(*bucket.answers(np.cumsum(s, dtype=np.int64))) for s in steps]
+        places = (np.cumsum(s, dtype=np.int64) for s in steps)
+        found = [pack(*answer) for answer in bucket.answers(places)]
         return pa.table(
             {
                 "slice": pa.array(slices_, pa.int64()),
@@ -795,7 +848,8 @@ def _scored(sliced: DataFrame, answers: DataFrame, frequent, buckets: int, sampl
         count, tables = (np.concatenate([f[i] for f in found]) for i in (0, 1))
         pair = count - DISCOUNT * tables / len(samples)
         # Words come in runs, anew in each bucket.
-        runs = np.concatenate(([True], (np.diff(own.word) != 0) | (np.diff(own.bucket) != 0)))
+        runs = _starts(own.word)
+        runs[own.cuts[:-1][np.diff(own.cuts) > 0]] = True
         run_word = own.word[runs]
         known = np.zeros(len(own.marks))
         known[run_word] = np.concatenate([f[2] for f in found])

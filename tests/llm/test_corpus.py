@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 import textwrap
+import time
 import zlib
 
 import numpy as np
@@ -309,6 +310,53 @@ def test_pitman_yor_tables_of_contexts_add_up_over_buckets(spark, documents, mon
     assert all(one[i] == pytest.approx(whole[i], abs=0.15) for i in one)
 
 
+def test_pitman_yor_answers_cost_their_pairs_not_the_bucket():
+    """Many slices that ask for a few pairs each take about the work of one that asks for all."""
+    words, each, slices = 2000, 200, 400
+    size = words * each
+    draw = np.random.default_rng(1)
+    bucket = pitman_yor.Bucket(
+        np.arange(words, dtype=np.uint64), np.full(words, -1, np.int16), np.full(words, each),
+        np.tile(np.arange(each, dtype=np.uint32), words), draw.integers(1, 4, size),
+        np.zeros(0, np.uint64), 1,
+    )
+    bucket.hear({}, None, True)
+    bucket.drawn.append((bucket.tables[bucket.seated], bucket.in_parent(), bucket.seats))
+
+    def asked(parts):
+        begin = time.process_time()
+        found = list(bucket.answers(np.array_split(np.arange(size), parts)))
+        return found, time.process_time() - begin
+
+    (whole, one), (parts, many) = asked(1), asked(slices)
+    assert many < 20 * one + 0.2
+    for i in (0, 1):
+        assert np.array_equal(np.concatenate([p[i] for p in parts]), whole[0][i])
+    # A word counts in each slice that asks for it.
+    first = parts[0]
+    assert np.array_equal(first[2], bucket.by_word(bucket.count)[: len(first[2])])
+
+
+@pytest.mark.parametrize("most", [1000, 2**62])
+def test_numbered_pairs_are_the_distinct_ones(most):
+    keys = np.random.default_rng(2).integers(0, 1000, 5000) * (most // 1000)
+    for k in (keys, keys[:1], keys[:0]):
+        found, at = pitman_yor._numbered(k, most)
+        want, place = np.unique(k, return_inverse=True)
+        assert np.array_equal(found, want) and np.array_equal(at, place)
+
+
+def test_dishes_of_a_band_are_drawn_as_each_size_alone():
+    customers = np.sort(np.random.default_rng(3).integers(2, pitman_yor.EXACT + 1, 3000))
+    full = lambda v: np.full(len(customers), v)
+    law = pitman_yor.Law(customers, full(30.0), full(0.5), 0.8, full(1.5), full(5000.0))
+    draw = np.random.default_rng(4)
+    alone = [law._written_out(x, int(customers[x[0]]), draw)
+             for x in np.split(np.arange(len(customers)), np.flatnonzero(np.diff(customers)) + 1)]
+    found = law.draw(np.random.default_rng(4))
+    assert np.array_equal(found, np.concatenate(alone)) and (found <= customers).all()
+
+
 def one_by_one(c, start, discount, copies, seed):
     """Tables after c customers came in, one after the other."""
     draw, tables = np.random.default_rng(seed), np.ones(copies)
