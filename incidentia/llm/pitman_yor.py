@@ -61,7 +61,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from incidentia.llm.common import drop_written, free_shuffles
+from incidentia.llm.common import drop_written, few_texts, free_shuffles
 from incidentia.llm.tokens import slices
 from incidentia.llm.words import split_words
 from incidentia.session import scratch_path, written
@@ -143,41 +143,50 @@ def _by_home(homes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 SLICE = "slice bigint, doc_ids array<bigint>, held array<boolean>, edges binary, words binary, tokens bigint"
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices that go on from one batch to the next, so that batches may be small."""
+    rest = []
+    for batch in batches:
+        found = list(slices(pa.concat_batches([*rest, batch])))
+        yield from found[:-1]
+        rest = found[-1:]
+    yield from rest
+
+
 def _sliced(docs: DataFrame, doc_id: str, text: str, held: Column) -> DataFrame:
     """One row per slice of documents. To be written once before use."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            for rows in slices(batch):
-                words, edges = split_words(pc.ascii_lower(rows["text"]))
-                coded = words.dictionary_encode()
-                own = coded.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False)
-                marks = np.array([END_MARK, *map(xxhash.xxh64_intdigest, own)], np.uint64)
-                # Frequent words get small codes, which pack well.
-                codes = coded.indices.to_numpy() + 1 if len(words) else np.zeros(0, np.int64)
-                order = np.argsort(-np.bincount(codes, minlength=len(marks)), kind="stable")
-                order = np.concatenate(([0], order[order != 0]))
-                rank = np.empty_like(order)
-                rank[order] = np.arange(len(order))
-                texts = len(rows["text"])
-                line = np.zeros(len(codes) + texts, np.uint32)
-                line[np.arange(len(codes)) + np.repeat(np.arange(texts), np.diff(edges))] = rank[codes]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([number], pa.int64()),
-                        pa.array([rows["doc_id"].to_pylist()], pa.list_(pa.int64())),
-                        pa.array([rows["held"].to_pylist()], pa.list_(pa.bool_())),
-                        pa.array([(edges + np.arange(texts + 1)).astype(np.int64).tobytes()]),
-                        pa.array(
-                            [pack(marks[order], (line & 0xFFFF).astype(np.uint16),
-                                  (line >> 16).astype(np.uint16))], pa.binary()
-                        ),
-                        pa.array([len(line)], pa.int64()),
-                    ],
-                    names=[f.split()[0] for f in SLICE.split(", ")],
-                )
-                number += 1
+        for rows in _cut(batches):
+            words, edges = split_words(pc.ascii_lower(rows["text"]))
+            coded = words.dictionary_encode()
+            own = coded.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False)
+            marks = np.array([END_MARK, *map(xxhash.xxh64_intdigest, own)], np.uint64)
+            # Frequent words get small codes, which pack well.
+            codes = coded.indices.to_numpy() + 1 if len(words) else np.zeros(0, np.int64)
+            order = np.argsort(-np.bincount(codes, minlength=len(marks)), kind="stable")
+            order = np.concatenate(([0], order[order != 0]))
+            rank = np.empty_like(order)
+            rank[order] = np.arange(len(order))
+            texts = len(rows["text"])
+            line = np.zeros(len(codes) + texts, np.uint32)
+            line[np.arange(len(codes)) + np.repeat(np.arange(texts), np.diff(edges))] = rank[codes]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([number], pa.int64()),
+                    pa.array([rows["doc_id"].to_pylist()], pa.list_(pa.int64())),
+                    pa.array([rows["held"].to_pylist()], pa.list_(pa.bool_())),
+                    pa.array([(edges + np.arange(texts + 1)).astype(np.int64).tobytes()]),
+                    pa.array(
+                        [pack(marks[order], (line & 0xFFFF).astype(np.uint16),
+                              (line >> 16).astype(np.uint16))], pa.binary()
+                    ),
+                    pa.array([len(line)], pa.int64()),
+                ],
+                names=[f.split()[0] for f in SLICE.split(", ")],
+            )
+            number += 1
 
     rows = docs.select(
         F.col(doc_id).cast("bigint").alias("doc_id"),
@@ -899,7 +908,8 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
     repeated rows train the model as often as they occur. If all rows are held
     out, every token is unknown with probability 1. An empty table gives none.
     """
-    sliced = written(_sliced(docs, doc_id, text, held_out), "slices")
+    with few_texts(docs.sparkSession):
+        sliced = written(_sliced(docs, doc_id, text, held_out), "slices")
     tokens = sliced.agg(F.sum("tokens")).first()[0]
     if not tokens:
         return docs.sparkSession.createDataFrame([], SCORE)

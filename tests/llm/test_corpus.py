@@ -310,6 +310,18 @@ def test_pitman_yor_tables_of_contexts_add_up_over_buckets(spark, documents, mon
     assert all(one[i] == pytest.approx(whole[i], abs=0.15) for i in one)
 
 
+def test_pitman_yor_slices_do_not_end_with_a_batch():
+    texts = ["x" * n for n in (3, 5_000_000, 0, 4_000_000, 9_000_000, 20_000_000, 7, 1)]
+    rows = pa.record_batch({"doc_id": list(range(8)), "text": texts})
+    whole = [s["doc_id"].to_pylist() for s in pitman_yor._cut(iter([rows]))]
+    for most in (1, 3):
+        batches = [rows.slice(0, 0), *(rows.slice(i, most) for i in range(0, 8, most))]
+        found = list(pitman_yor._cut(iter(batches)))
+        assert pa.Table.from_batches(found).equals(pa.Table.from_batches([rows]))
+        assert len(found) <= len(whole) + 1
+    assert list(pitman_yor._cut(iter([]))) == []
+
+
 def test_pitman_yor_answers_cost_their_pairs_not_the_bucket():
     """Many slices that ask for a few pairs each take about the work of one that asks for all."""
     words, each, slices = 2000, 200, 400
